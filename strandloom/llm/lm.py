@@ -17,7 +17,7 @@ from strandloom.llm.suffix_tree import DEPTH, Tree, at_depth, grams, summed, sym
 U = tb.U
 END_WORD = U(1)
 #: Least relative frequency of a context: at most 1 / RARE contexts of each length.
-RARE = 2e-5
+RARE = 2e-6
 #: Words of at least this relative frequency are known to every task: 1 / COMMON at most.
 COMMON = 5e-6
 _FLUSH = 1 << 20
