@@ -66,19 +66,3 @@ def int_hash(key: Column, seed: Column | int) -> Column:
     k = k.bitwiseXOR(F.shiftright(k, 4))
     k = signed32(k * 2057)
     return k.bitwiseXOR(F.shiftright(k, 16))
-
-
-def int_hash_sql(key: str, seed: str) -> str:
-    """The same in DuckDB's SQL, as a scalar subquery-free expression over nested selects: use int_hash_cte for rows."""
-    fold = "(({0} + 2147483648) & 4294967295) - 2147483648".format
-    x = f"floor((({key}) * (({seed}) + 1) & 4294967295) * {GOLDEN!r})::BIGINT"
-    for kind in ("first", 12, "five", 4, "mult", 16):
-        if kind == "first":
-            x = f"list_transform([{x}], lambda v: {fold('(v * 32768 - v - 1)')})[1]"
-        elif kind == "five":
-            x = f"list_transform([{x}], lambda v: {fold('(v * 5)')})[1]"
-        elif kind == "mult":
-            x = f"list_transform([{x}], lambda v: {fold('(v * 2057)')})[1]"
-        else:
-            x = f"list_transform([{x}], lambda v: xor(v, v >> {kind}))[1]"
-    return x

@@ -5,29 +5,53 @@ Tables: features(id, f, v), signatures(id, k, h), neighbors(a, b, rank, shared,
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandloom.functions.hashing import MASK, UNSET, int_hash
+from strandloom.functions.hashing import GOLDEN, MASK, UNSET
+
+
 
-#: Hash functions that one aggregation computes side by side.
-WIDE = 32
+def mixed(keys: np.ndarray, seed: int) -> np.ndarray:
+    """int_hash of many keys: 32-bit arithmetic that wraps."""
+    with np.errstate(over="ignore"):
+        k = np.floor(((keys * (seed + 1)) & MASK) * GOLDEN).astype(np.int64).astype(np.int32)
+        k = ~k + (k << np.int32(15))
+        k ^= k >> np.int32(12)
+        k += k << np.int32(2)
+        k ^= k >> np.int32(4)
+        k *= np.int32(2057)
+        return k ^ (k >> np.int32(16))
 
 
 def minhash_signature(features: DataFrame, nhf: int, factor: int = 1) -> DataFrame:
     """id, k, h: for each of nhf * factor hash functions the least non-negative hash of the id's features.
 
-    Feature 0 counts as 1; values are ignored; ids whose hashes are all negative have UNSET. The functions are columns
-    of one aggregation, so rows are combined before the shuffle and never multiplied by the number of functions.
+    Feature 0 counts as 1; values are ignored; ids whose hashes are all negative have UNSET. Each Arrow batch gives the
+    minima of the ids that it holds, so features are never multiplied by the functions; the JVM takes minima of minima.
     """
-    f = F.when(F.col("f") == 0, 1).otherwise(F.col("f"))
-    total, out = nhf * factor, None
-    for lo in range(0, total, WIDE):
-        ks = range(lo, min(lo + WIDE, total))
-        least = features.groupBy("id").agg(*[F.min(F.when(int_hash(f, k) >= 0, int_hash(f, k))).alias(f"h{k}") for k in ks])
-        rows = least.select("id", F.posexplode(F.array(*[F.coalesce(F.col(f"h{k}"), F.lit(UNSET)) for k in ks])).alias("k", "h")).withColumn("k", F.col("k") + lo)
-        out = rows if out is None else out.union(rows)
-    return out
+    total = nhf * factor
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            ids = np.asarray(batch.column("id"))
+            f = np.maximum(np.asarray(batch.column("f")), 1)
+            order = np.argsort(ids, kind="stable")
+            ids, f = ids[order], f[order]
+            first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+            for k in range(total):
+                h = mixed(f, k).astype(np.int64)
+                h[h < 0] = UNSET
+                yield pa.RecordBatch.from_arrays([pa.array(ids[first]), pa.array(np.full(len(first), k, np.int32)), pa.array(np.minimum.reduceat(h, first))], ["id", "k", "h"])
+
+    rows = features.where("id is not null and f is not null").select(F.col("id").cast("long"), F.col("f").cast("long")).mapInArrow(run, "id long, k int, h long")
+    return rows.groupBy("id", "k").agg(F.min("h").alias("h"))
 
 
 def compact_signature(signatures: DataFrame, nhf: int) -> DataFrame:
@@ -110,7 +134,7 @@ def exact_knn(queries: DataFrame, vectors: DataFrame, knn: int, blocks: int = 16
     what is held for a query is blocks * knn rows, not all vectors.
     """
     dealt = vectors.select(F.col("id").alias("b"), F.col("vec").alias("y"), F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"))
-    asked = queries.select(F.col("id").alias("a"), F.col("vec").alias("x"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("block"))
+    asked = queries.select(F.col("id").alias("a"), F.col("vec").alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
     sims = asked.join(dealt, "block").select("a", "b", "block", F.round(dense_dot(F.col("x"), F.col("y")), 6).alias("sim"))
     first = Window.partitionBy("a", "block").orderBy(F.desc("sim"), "b")
     best = sims.withColumn("r", F.row_number().over(first)).where(F.col("r") <= knn)
