@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 
 def approx_density(neighbors: DataFrame) -> DataFrame:
-    """id, density: mean similarity to the neighbours other than itself; null without any."""
+    """id, density: mean similarity to the neighbours other than itself; null without any. Summed as decimals, so in any order alike."""
     other = F.col("a") != F.col("b")
-    return neighbors.groupBy(F.col("a").alias("id")).agg(F.round(F.sum(F.when(other, F.col("sim"))) / F.nullif(F.sum(other.cast("int")), F.lit(0)), 6).alias("density"))
+    return neighbors.groupBy(F.col("a").alias("id")).agg(F.round(F.sum(F.when(other, F.col("sim").cast("decimal(18,9)"))).cast("double") / F.nullif(F.sum(other.cast("int")), F.lit(0)), 6).alias("density"))
 
 
 def shared_neighbors(neighbors: DataFrame) -> DataFrame:

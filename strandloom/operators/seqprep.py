@@ -5,6 +5,7 @@ Sequences: seq_idx int, id string, header string, seq string.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,8 +17,8 @@ MAX_N = 15
 
 
 def normalize(seq: Column) -> Column:
-    """Upper case without white space, T as U, anything else but AUGC as N."""
-    return F.regexp_replace(F.translate(F.upper(F.regexp_replace(seq, r"\s", "")), "T", "U"), "[^AUGCN]", "N")
+    """Upper case (a-z) without white space, T as U, anything else but AUGC as N."""
+    return F.regexp_replace(F.translate(F.regexp_replace(seq, r"\s", ""), "abcdefghijklmnopqrstuvwxyzT", "ABCDEFGHIJKLMNOPQRSUUVWXYZU"), "[^AUGCN]", "N")
 
 
 def split_masked(sequences: DataFrame, max_n: int = MAX_N) -> DataFrame:
@@ -133,10 +134,11 @@ def near_duplicates(fragments: DataFrame, similarity: float = 0.9, k: int = 8, n
     same = Window.partitionBy("seq")
     first = fragments.withColumn("rep", F.min("value").over(same))
     reps = first.where("value = rep").select("value", "seq")
-    grams = shingles(reps, k)
+    reps = reps.persist(StorageLevel.MEMORY_AND_DISK)
+    grams = shingles(reps, k).persist(StorageLevel.MEMORY_AND_DISK)
     size = grams.groupBy("id").agg(F.count("*").alias("n"))
     n = reps.count()
-    pairs = candidate_pairs(minhash_signature(grams, nhf), n, max_bin_share(n), 2).where("a < b")
+    pairs = candidate_pairs(minhash_signature(grams, nhf).persist(StorageLevel.MEMORY_AND_DISK), n, max_bin_share(n), 2).where("a < b").persist(StorageLevel.MEMORY_AND_DISK)
     x = grams.select(F.col("id").alias("a"), "f")
     y = grams.select(F.col("id").alias("b"), "f")
     common = pairs.select("a", "b").join(x, "a").join(y, ["b", "f"]).groupBy("a", "b").agg(F.count("*").alias("c"))

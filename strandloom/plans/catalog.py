@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandloom.plans import similarity
+from strandloom.plans import relational, similarity
 
-_ALL = {**similarity.QUERIES}
+_ALL = {**similarity.QUERIES, **relational.QUERIES}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

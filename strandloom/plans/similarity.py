@@ -184,7 +184,7 @@ def approx_density(s, d):
     return density.approx_density(_exact(s, d))
 
 
-DENSITY = "SELECT a AS id, round(sum(sim) FILTER (a <> b) / nullif(count(*) FILTER (a <> b), 0), 6) AS density FROM {} GROUP BY a"
+DENSITY = "SELECT a AS id, round((sum(sim::DECIMAL(18,9)) FILTER (a <> b))::DOUBLE / nullif(count(*) FILTER (a <> b), 0), 6) AS density FROM {} GROUP BY a"
 
 
 def shared_neighbors(s, d):
@@ -197,7 +197,7 @@ shared AS (SELECT k.a, k.b, round(coalesce(c, 0) / sqrt(n1.n * coalesce(n2.n, 1)
 
 
 def shared_density(s, d):
-    return density.shared_density(_exact(s, d)).withColumn("density", F.round("density", 4))
+    return density.shared_density(_exact(s, d))
 
 
 def smoothed_density(s, d):
@@ -276,7 +276,7 @@ QUERIES = {
     "knn_predict_lsh": (knn_predict_lsh, KNN_PREDICT_LSH),
     "approx_density": (approx_density, f"WITH {EXACT} {DENSITY.format('knn')}"),
     "shared_neighbors": (shared_neighbors, f"WITH {SHARED} SELECT a, b, cosine FROM shared"),
-    "shared_density": (shared_density, f"WITH {SHARED}, w AS (SELECT a, b, sim * cosine AS sim FROM knn JOIN shared USING (a, b)) SELECT id, round(density, 4) AS density FROM ({DENSITY.format('w')})"),
+    "shared_density": (shared_density, f"WITH {SHARED}, w AS (SELECT a, b, sim * cosine AS sim FROM knn JOIN shared USING (a, b)) {DENSITY.format('w')}"),
     "smoothed_density": (smoothed_density, f"WITH {EXACT}, d AS ({DENSITY.format('knn')}) SELECT a AS id, round(avg(density), 6) AS density FROM knn JOIN d ON d.id = b GROUP BY a"),
     "true_density": (true_density, TRUE_DENSITY),
     "similarity_to_set": (similarity_to_set, f"WITH {EXACT} SELECT a, round(avg(sim), 6) AS avg_sim FROM knn JOIN vectors v ON v.id = b AND v.label = 0 GROUP BY a"),
