@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandloom.plans import relational, similarity
+from strandloom.plans import relational, similarity, structure
 
-_ALL = {**similarity.QUERIES, **relational.QUERIES}
+_ALL = {**similarity.QUERIES, **relational.QUERIES, **structure.QUERIES}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
