@@ -432,10 +432,10 @@ def tree_leaves(s, d):
 
 def feature_rows(s, d):
     t = trees.feature_rows(read(s, d, "part").select("p_partkey", "p_size", "p_retailprice"), ["p_size", "p_retailprice"], ["p_retailprice"])
-    return t.select("p_partkey", F.round("z_p_size", 3).alias("z_size"), F.round("z_p_retailprice", 3).alias("z_price"))
+    return t.select("p_partkey", F.col("z_p_size").alias("z_size"), F.col("z_p_retailprice").alias("z_price"))
 
 
-FEATURE_ROWS = "SELECT p_partkey, round((p_size - avg(p_size) OVER ()) / stddev_samp(p_size) OVER (), 3) AS z_size, round((ln(1 + p_retailprice) - avg(ln(1 + p_retailprice)) OVER ()) / stddev_samp(ln(1 + p_retailprice)) OVER (), 3) AS z_price FROM part"
+FEATURE_ROWS = "SELECT p_partkey, round((p_size - avg(p_size) OVER ()) / stddev_samp(p_size) OVER (), 6) AS z_size, round((ln(1 + p_retailprice) - avg(ln(1 + p_retailprice)) OVER ()) / stddev_samp(ln(1 + p_retailprice)) OVER (), 6) AS z_price FROM part"
 
 
 def stream_signatures(s, d):
