@@ -36,7 +36,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     time is its source's running word count divided by the source's weight; all copies are range-sorted by it and the
     queue is cut where the budget is spent. Sources that run out leave their share to the others by weight.
     Null text has no words, a null source is a source of its own (the last), repeated rows count each, an empty table
-    gives no rows. Columns: doc_id, source, size, source_size, target, copies, taken, and those of `keep`.
+    gives no rows. Columns: doc_id, source, size, source_size, target, copies, taken, text_hash, and those of `keep`.
     """
     rows = docs.select("doc_id", "source", F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"), F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_mixed"), F.xxhash64("text").alias("_text"), *keep)
     order = ["source", "_mixed", "_text"]
@@ -58,4 +58,4 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     last = spent.crossJoin(F.broadcast(budget)).where(F.col("_spent") + F.col("size") / 2 <= F.col("_budget")).agg(F.max(F.struct(*queue)).alias("_last"))
     served = [F.when((F.col("size") > 0) & (place(F.lit(e)) <= F.col("_last")), 1).otherwise(0) for e in range(most)]
     rows = at.crossJoin(F.broadcast(last)).withColumn("copies", sum(served[1:], served[0]))
-    return rows.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *keep)
+    return rows.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), F.col("_text").alias("text_hash"), *keep)
