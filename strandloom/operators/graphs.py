@@ -278,7 +278,7 @@ def encode_rk(vertices: DataFrame, edges: DataFrame, radius: int) -> DataFrame:
             rows.append((v["graph_id"].iloc[0], root, radius, _hash_list(codes_)))
         return pd.DataFrame(rows, columns=["graph_id", "vid", "r", "enc"])
 
-    return vertices.select("graph_id", "vid", "label").groupBy("graph_id").cogroup(edges.select("graph_id", "src", "dst", "label").groupBy("graph_id")).applyInPandas(one, "graph_id long, vid int, r int, enc long")
+    return vertices.select("graph_id", "vid", "label").groupBy("graph_id").cogroup(edges.select(F.col("graph_id").alias("gid"), F.col("src").alias("src"), F.col("dst").alias("dst"), F.col("label").alias("label")).groupBy("gid")).applyInPandas(one, "graph_id long, vid int, r int, enc long")
 
 
 def encodings(vertices: DataFrame, edges: DataFrame, radius: int) -> DataFrame:

@@ -69,7 +69,7 @@ def features_of(fragments: DataFrame, config: Config, structures: DataFrame | No
     pairs = graphs.base_pairs(folded)
     pv, pe = graphs.stacking(pairs, seqs.select("graph_id", F.length("seq").alias("n")))
     edges = e.unionByName(graphs.structure_edges(pairs)).unionByName(pe)
-    return graphs.graph_vectors(v.unionByName(pv), edges, min(config.nspdk_radius, 1), config.nspdk_distance)
+    return graphs.graph_vectors(v.unionByName(pv), edges, config.nspdk_radius, config.nspdk_distance)
 
 
 def cluster_round(fragments: DataFrame, features: DataFrame, black: DataFrame, state: RoundState, config: Config, number: int, root: str) -> DataFrame:

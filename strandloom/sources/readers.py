@@ -43,9 +43,10 @@ def read_fasta(spark: SparkSession, path: str, make_unique: bool = False, keep_r
     n = F.row_number().over(w)
     if make_unique:
         return rows.withColumn("n", n).withColumn("id", F.when(F.col("n") > 1, F.concat_ws("_", "id", (F.col("n") - 1).cast("string"))).otherwise(F.col("id"))).drop("n")
-    rows = rows.withColumns({"n": n, "first": F.first("seq").over(w)})
-    clash = F.when(F.col("seq") == F.col("first"), F.col("id")).otherwise(F.raise_error(F.concat(F.lit("different sequences under id "), F.col("id"))))
-    return rows.withColumn("id", clash).where("n = 1").drop("n", "first")
+    every = Window.partitionBy("id")
+    rows = rows.withColumns({"n": n, "first": F.min("seq").over(every), "last": F.max("seq").over(every)})
+    clash = F.when(F.col("first") == F.col("last"), F.col("id")).otherwise(F.raise_error(F.concat(F.lit("different sequences under id "), F.col("id"))))
+    return rows.withColumn("id", clash).where("n = 1").drop("n", "first", "last")
 
 
 def read_vienna(spark: SparkSession, path: str) -> DataFrame:
@@ -93,7 +94,7 @@ def read_sparse_text(spark: SparkSession, path: str) -> DataFrame:
     """id (from 0, empty lines don't count), f, v from lines of feature:value."""
     rows = numbered_lines(spark, path).where(F.trim("line") != "")
     at = Window.partitionBy("file").orderBy("no")
-    rows = rows.select((F.row_number().over(at) - 1).cast("long").alias("id"), F.explode(F.split(F.trim("line"), r"\s+")).alias("x"))
+    rows = rows.withColumn("id", (F.row_number().over(at) - 1).cast("long")).select("id", F.explode(F.split(F.trim("line"), r"\s+")).alias("x"))
     return rows.select("id", F.split("x", ":")[0].cast("long").alias("f"), F.split("x", ":")[1].cast("double").alias("v"))
 
 
