@@ -32,13 +32,13 @@ def targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: fl
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: int = 2, seed: int = 17, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every document with the words that a mix of `share` times all words takes of it.
 
-    Each source's documents are shuffled by a hash of doc_id and offered up to `most` times. A copy's virtual finish
+    Each source's documents are shuffled by the md5 of a seed and doc_id and offered up to `most` times. A copy's virtual finish
     time is its source's running word count divided by the source's weight; all copies are range-sorted by it and the
     queue is cut where the budget is spent. Sources that run out leave their share to the others by weight.
     Null text has no words, a null source is a source of its own (the last), repeated rows count each, an empty table
     gives no rows. Columns: doc_id, source, size, source_size, target, copies, taken, text_hash, and those of `keep`.
     """
-    rows = docs.select("doc_id", "source", F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"), F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_mixed"), F.xxhash64("text").alias("_text"), *keep)
+    rows = docs.select("doc_id", "source", F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"), F.md5(F.concat(F.lit(f"{seed}/"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("_mixed"), F.xxhash64("text").alias("_text"), *keep)
     order = ["source", "_mixed", "_text"]
     dealt = ranged(rows, *order)
     # as many rows as sources
