@@ -127,17 +127,36 @@ def unit(vectors: DataFrame) -> DataFrame:
     return vectors.withColumn("vec", F.transform("vec", lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(F.lit(0.0))))
 
 
-def exact_knn(queries: DataFrame, vectors: DataFrame, knn: int, blocks: int = 16) -> DataFrame:
-    """a, b, rank, sim: the knn largest dot products of each query over all vectors, itself included.
+def exact_knn(queries: DataFrame, vectors: DataFrame, knn: int, block: int = 1024) -> DataFrame:
+    """a, b, rank, sim: the knn largest dot products of each query over all vectors, itself included (ties: smaller id).
 
-    Vectors are dealt into blocks; each query meets each block, keeps the best knn of it, and then of all blocks, so
-    what is held for a query is blocks * knn rows, not all vectors.
+    Queries and vectors are packed into blocks of about `block` rows. A pair of blocks is one matrix product, of which
+    each query keeps its best knn; these are merged in the JVM. What a task holds is two blocks and their product.
     """
-    dealt = vectors.select(F.col("id").alias("b"), F.col("vec").alias("y"), F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"))
-    asked = queries.select(F.col("id").alias("a"), F.col("vec").alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
-    sims = asked.join(dealt, "block").select("a", "b", "block", F.round(dense_dot(F.col("x"), F.col("y")), 6).alias("sim"))
-    first = Window.partitionBy("a", "block").orderBy(F.desc("sim"), "b")
-    best = sims.withColumn("r", F.row_number().over(first)).where(F.col("r") <= knn)
+
+    def packed(df: DataFrame, name: str) -> DataFrame:
+        n = df.count()
+        rows = df.withColumn("_b", F.pmod(F.xxhash64("id"), F.lit(max(1, -(-n // block)))))
+        return rows.groupBy("_b").agg(F.collect_list(F.struct("id", "vec")).alias(name)).drop("_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parts(cell: pa.ListScalar) -> tuple[np.ndarray, np.ndarray]:
+            ids = np.asarray(cell.values.field("id"))
+            return ids, np.asarray(cell.values.field("vec").flatten(), dtype=np.float64).reshape(len(ids), -1)
+
+        for batch in batches:
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                (a, u), (b, v) = parts(x), parts(y)
+                order = np.argsort(b)
+                b, v = b[order], v[order]
+                sims = np.round(u @ v.T, 6)
+                best = np.argsort(-sims, axis=1, kind="stable")[:, :knn]
+                k = best.shape[1]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(a, k)), pa.array(b[best].ravel()), pa.array(np.take_along_axis(sims, best, axis=1).ravel())], ["a", "b", "sim"])
+
+    # all pairs of blocks are the operation itself
+    pairs = packed(queries, "x").crossJoin(packed(vectors, "y"))
+    best = pairs.mapInArrow(run, "a long, b long, sim double")
     last = Window.partitionBy("a").orderBy(F.desc("sim"), "b")
     return best.withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= knn).select("a", "b", "rank", "sim")
 

@@ -25,9 +25,9 @@ def split_masked(sequences: DataFrame, max_n: int = MAX_N) -> DataFrame:
     """seq_idx, part, seg, abs_start, abs_end: runs of N longer than max_n are segments of their own; lengths add up."""
     pieces = F.filter(F.split(F.regexp_replace("seq", f"(N{{{max_n + 1},}})", "|$1|"), r"\|"), lambda s: s != "")
     rows = sequences.where(F.length("seq") > 0).select("seq_idx", pieces.alias("p"))
-    ends = F.transform("p", lambda s, i: F.aggregate(F.slice(F.col("p"), F.lit(1), i + 1), F.lit(0), lambda a, t: a + F.length(t)))
-    rows = rows.select("seq_idx", F.posexplode(F.arrays_zip(F.col("p").alias("seg"), ends.alias("abs_end"))).alias("part", "z"))
-    return rows.select("seq_idx", F.col("part").cast("int").alias("part"), F.col("z.seg").alias("seg"), (F.col("z.abs_end") - F.length("z.seg") + 1).alias("abs_start"), F.col("z.abs_end").alias("abs_end"))
+    rows = rows.select("seq_idx", F.posexplode("p").alias("part", "seg"))
+    upto = F.sum(F.length("seg")).over(Window.partitionBy("seq_idx").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)).cast("int")
+    return rows.select("seq_idx", "part", "seg", (upto - F.length("seg") + 1).alias("abs_start"), upto.alias("abs_end"))
 
 
 def segment_status(segments: DataFrame, min_len: int, max_n: int = MAX_N) -> DataFrame:

@@ -12,8 +12,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts; dealt to all cores where the files are too few or too small to be split that far."""
+    t = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    cores = spark.sparkContext.defaultParallelism
+    return t if len(t.inputFiles()) >= cores else t.repartition(cores)
+
+
 def doc_features(spark: SparkSession, d: str) -> DataFrame:
-    return token_counts(read(spark, d, "documents"), "doc_id", "text")
+    return token_counts(documents(spark, d), "doc_id", "text")
 
 
 DOC_FEATURES = """
@@ -57,7 +64,7 @@ def overlaps_sql(left: str, right: str, percent: int, strand: bool = True, other
 
 def sequences(spark: SparkSession, d: str) -> DataFrame:
     """Whole document texts as residues: letters a-z by their code modulo 4, anything else N."""
-    t = read(spark, d, "documents").select((F.col("doc_id") + 1).cast("int").alias("seq_idx"), F.col("doc_id").cast("string").alias("id"), F.col("source").alias("header"), F.lower("text").alias("t"))
+    t = documents(spark, d).select((F.col("doc_id") + 1).cast("int").alias("seq_idx"), F.col("doc_id").cast("string").alias("id"), F.col("source").alias("header"), F.lower("text").alias("t"))
     return t.select("seq_idx", "id", "header", F.translate(F.regexp_replace("t", "[^a-z]", "N"), LETTERS, RESIDUES).alias("seq"))
 
 
