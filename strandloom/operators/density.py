@@ -32,7 +32,7 @@ def shared_density(neighbors: DataFrame) -> DataFrame:
 def smoothed_density(neighbors: DataFrame) -> DataFrame:
     """Mean of the members' densities over each neighbourhood, itself included."""
     d = approx_density(neighbors)
-    return neighbors.select("a", "b").join(d.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.round(F.avg("density"), 6).alias("density"))
+    return neighbors.select("a", "b").join(d.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.round(F.sum(F.col("density").cast("decimal(18,9)")).cast("double") / F.count("density"), 6).alias("density"))
 
 
 def true_density(sims: DataFrame) -> DataFrame:
@@ -42,7 +42,7 @@ def true_density(sims: DataFrame) -> DataFrame:
 
 def similarity_to_set(sims: DataFrame, members: DataFrame) -> DataFrame:
     """a, avg_sim: mean similarity of each a to the members, itself included if it is one."""
-    return sims.join(members.select(F.col("id").alias("b")), "b", "left_semi").groupBy("a").agg(F.round(F.avg("sim"), 6).alias("avg_sim"))
+    return sims.join(members.select(F.col("id").alias("b")), "b", "left_semi").groupBy("a").agg(F.round(F.sum(F.col("sim").cast("decimal(18,9)")).cast("double") / F.count("sim"), 6).alias("avg_sim"))
 
 
 def sampled(ids: DataFrame, fraction: float, seed: int) -> DataFrame:

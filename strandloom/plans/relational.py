@@ -411,7 +411,7 @@ QUERIES = {
     "evaluated_hits": (evaluated_hits, f"WITH {EVALUATED} SELECT rid, cluster, class, dup FROM evaluated"),
     "class_majority": (class_majority, f"WITH {EVALUATED}, {MAJORITY} SELECT cluster, class FROM own2"),
     "f_measure": (f_measure, F_MEASURE),
-    "macro_average": (macro_average, f"SELECT round(avg(precision), 3) AS precision, round(avg(recall), 3) AS recall, round(avg(f), 3) AS f, round(avg(accuracy), 3) AS accuracy FROM ({F_MEASURE})"),
+    "macro_average": (macro_average, "SELECT " + ", ".join(f"((2 * sum(round({c} * 1000)::BIGINT) + count(*)) // (2 * count(*)))::DOUBLE / 1000 AS {c}" for c in ("precision", "recall", "f", "accuracy")) + f" FROM ({F_MEASURE})"),
     "adjusted_rand": (adjusted_rand, ADJUSTED_RAND),
     "purity": (purity, PURITY),
     "subtree_quality": (subtree_quality, f"WITH p AS ({PURITY}) SELECT cluster, round(0.7::DOUBLE * purity + 0.3::DOUBLE * size / (SELECT max(size) FROM p), 4) AS quality FROM p"),

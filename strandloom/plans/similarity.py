@@ -277,9 +277,9 @@ QUERIES = {
     "approx_density": (approx_density, f"WITH {EXACT} {DENSITY.format('knn')}"),
     "shared_neighbors": (shared_neighbors, f"WITH {SHARED} SELECT a, b, cosine FROM shared"),
     "shared_density": (shared_density, f"WITH {SHARED}, w AS (SELECT a, b, sim * cosine AS sim FROM knn JOIN shared USING (a, b)) {DENSITY.format('w')}"),
-    "smoothed_density": (smoothed_density, f"WITH {EXACT}, d AS ({DENSITY.format('knn')}) SELECT a AS id, round(avg(density), 6) AS density FROM knn JOIN d ON d.id = b GROUP BY a"),
+    "smoothed_density": (smoothed_density, f"WITH {EXACT}, d AS ({DENSITY.format('knn')}) SELECT a AS id, round(sum(density::DECIMAL(18,9))::DOUBLE / count(density), 6) AS density FROM knn JOIN d ON d.id = b GROUP BY a"),
     "true_density": (true_density, TRUE_DENSITY),
-    "similarity_to_set": (similarity_to_set, f"WITH {EXACT} SELECT a, round(avg(sim), 6) AS avg_sim FROM knn JOIN vectors v ON v.id = b AND v.label = 0 GROUP BY a"),
+    "similarity_to_set": (similarity_to_set, f"WITH {EXACT} SELECT a, round(sum(sim::DECIMAL(18,9))::DOUBLE / count(sim), 6) AS avg_sim FROM knn JOIN vectors v ON v.id = b AND v.label = 0 GROUP BY a"),
     "dense_centers": (dense_centers, None),
     "refined_centers": (refined_centers, None),
     "center_rankings": (center_rankings, None),
