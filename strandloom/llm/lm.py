@@ -12,25 +12,37 @@ from pyspark.sql import functions as F
 
 from strandloom.llm import textbuf as tb
 from strandloom.llm.shared import cut, parts
-from strandloom.llm.suffix_tree import DEPTH, Tree, at_depth, grams, summed, symbols
+from strandloom.llm.suffix_tree import END, Base, branch, keyed, laid, summed
 
 U = tb.U
 END_WORD = U(1)
-#: Least relative frequency of a context: at most 1 / RARE contexts of each length.
-RARE = 2e-6
-#: Words of at least this relative frequency are known to every task: 1 / COMMON at most.
-COMMON = 5e-6
-_FLUSH = 1 << 20
+#: A context occurs so often at least, and tells so many nats; neither grows with the table.
+LEAST, NATS = 2, 10.0
+#: Bytes of the texts that ask for their probabilities together, and of those that a step holds.
+SLICE, STEP = 16 << 20, 2 << 20
+#: Log10 probabilities travel as whole numbers of 1 / SCALE.
+SCALE = 4096
 
-_COUNTS = "kind int, bucket int, keys binary, counts binary, total long"
+WORDS, RUNS, LOWS, TEXTS = range(4)
+_PACKED = "kind int, slice long, bucket int, ids array<long>, held array<boolean>, keys binary, counts binary"
 
 
-def _bytes(x: np.ndarray) -> bytes:
-    return np.ascontiguousarray(x).tobytes()
+def _squeezed(x: np.ndarray) -> bytes:
+    """An array's bytes, equal places together, compressed, behind their number."""
+    flat = np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T)
+    return len(x).to_bytes(8, "little") + (pa.Codec("zstd", 1).compress(flat.tobytes(), asbytes=True) if len(x) else b"")
 
 
-def _blob(x: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(x, dtype=kind)
+def _restored(x: bytes, kind: str) -> np.ndarray:
+    n, size = int.from_bytes(x[:8], "little"), np.dtype(kind).itemsize
+    if not n:
+        return np.zeros(0, kind)
+    flat = np.frombuffer(pa.Codec("zstd").decompress(x[8:], n * size, asbytes=True), np.uint8)
+    return np.ascontiguousarray(flat.reshape(size, n).T).view(kind).ravel()
+
+
+def _keys(x: bytes) -> np.ndarray:
+    return np.cumsum(_restored(x, "<u8"), dtype=U)
 
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -40,176 +52,190 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return buf, starts, ends, tb.owner(starts, docs)
 
 
-def _gram_bucket(keys: np.ndarray, n: int) -> np.ndarray:
-    """By the two symbols before the last, so all keys of a context of two or more symbols share a bucket."""
-    return (tb.mix((keys >> U(8)) & U(0xFFFF)) % U(n)).astype(np.int64)
+def _buckets(kind: int, keys: np.ndarray, n: int) -> np.ndarray:
+    """Runs by the LOW + 1 symbols before the last, so all keys of a longer context share a bucket."""
+    if kind == RUNS:
+        keys = tb.mix((keys >> U(8)) & U((1 << (8 * (Base.LOW + 1))) - 1))
+    return (keys % U(n)).astype(np.int64)
+
+
+def _dealt(kind: int, keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order that brings sorted keys together by bucket, sorted in each, and where each bucket begins."""
+    bucket = _buckets(kind, keys, n)
+    order = np.argsort(bucket.astype(np.uint16) if n < 1 << 16 else bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(n + 1))
+
+
+def _rows(kind: int, slice_id: int, buckets: list, ids: list, held: list, keys: list, counts: list) -> pa.RecordBatch:
+    m = len(buckets)
+    return pa.RecordBatch.from_arrays([pa.array([kind] * m, pa.int32()), pa.array([slice_id] * m, pa.int64()), pa.array(buckets, pa.int32()), pa.array(ids, pa.list_(pa.int64())), pa.array(held, pa.list_(pa.bool_())), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())], ["kind", "slice", "bucket", "ids", "held", "keys", "counts"])
+
 
+def _counted(keys: np.ndarray, held: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Different keys with their counts in training: 0 for those of held-out documents."""
+    k, c = np.unique(keys[~held], return_counts=True)
+    rest = np.unique(keys[held])
+    return [(k, c.astype(np.int64)), (rest, np.zeros(len(rest), np.int64))]
 
-def _dealt(kind: int, keys: np.ndarray, counts: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
-    bucket = (keys % U(n)).astype(np.int64) if kind == 0 else _gram_bucket(keys, n)
-    order = np.argsort(bucket, kind="stable")
-    keys, counts, bucket = keys[order], counts[order], bucket[order]
-    edge = np.searchsorted(bucket, np.arange(n + 1))
+
+def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    return summed(*map(np.concatenate, zip(*found, strict=True)))
+
+
+def _sent(kind: int, slice_id: int, keys: np.ndarray, counts: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
+    order, edge = _dealt(kind, keys, n)
+    keys, counts = keys[order], counts[order]
     has = [b for b in range(n) if edge[b] < edge[b + 1]]
     for lo in range(0, len(has), 64):
         some = has[lo : lo + 64]
-        yield pa.RecordBatch.from_arrays([
-            pa.array([kind] * len(some), pa.int32()), pa.array(some, pa.int32()), pa.array([_bytes(keys[edge[b] : edge[b + 1]]) for b in some], pa.binary()),
-            pa.array([_bytes(counts[edge[b] : edge[b + 1]]) for b in some], pa.binary()), pa.array([int(counts[edge[b] : edge[b + 1]].sum()) for b in some], pa.int64()),
-        ], ["kind", "bucket", "keys", "counts", "total"])
+        m = len(some)
+        yield _rows(kind, slice_id, some, [None] * m, [None] * m, [_squeezed(np.diff(keys[edge[b] : edge[b + 1]], prepend=U(0))) for b in some], [_squeezed(counts[edge[b] : edge[b + 1]]) for b in some])
 
 
-def gather(docs: DataFrame, n: int) -> DataFrame:
-    """Counts of all words (kind 0, by hash) and symbol runs (kind 1) of the texts: one row for each kind and bucket."""
+def pack(rows: DataFrame, n: int) -> DataFrame:
+    """Slices of about SLICE bytes: the normalised texts (TEXTS, a row for each), their different words (WORDS, by hash)
+    and short symbol runs (LOWS) with their counts in training, by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
-        sizes = [0, 0]
+        slice_id = TaskContext.get().partitionId() << 32
+        texts: list[np.ndarray] = []
+        ids: list[int | None] = []
+        flags: list[bool] = []
+        found: dict[int, list] = {WORDS: [], LOWS: []}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            yield _rows(TEXTS, slice_id, [-1], [ids], [flags], [_squeezed(np.concatenate(texts))], [b""])
+            for kind in found:
+                yield from _sent(kind, slice_id, *_merged(found[kind]), n)
+
         for batch in batches:
             col = batch.column("text")
-            for lo, hi in tb.slices(col):
+            for lo, hi in tb.slices(col, STEP):
                 buf, starts, ends, counts = _words(col.slice(lo, hi - lo))
-                found = (np.unique(tb.hashes(buf, starts, ends), return_counts=True), grams(symbols(buf, starts, ends, counts)[0]))
-                for kind, (k, c) in enumerate(found):
-                    held[kind].append((k, c.astype(np.int64)))
-                    sizes[kind] += len(k)
-                held[0].append((np.array([END_WORD]), np.array([hi - lo])))
-                for kind in (0, 1):
-                    if sizes[kind] > _FLUSH:
-                        merged = summed(*map(np.concatenate, zip(*held[kind], strict=True)))
-                        held[kind], sizes[kind] = [merged], 0
-                        if len(merged[0]) > 2 * _FLUSH:  # bounded memory: the same keys may come again
-                            yield from _dealt(kind, *merged, n)
-                            held[kind] = []
-        for kind in (0, 1):
-            if held[kind]:
-                yield from _dealt(kind, *summed(*map(np.concatenate, zip(*held[kind], strict=True))), n)
-
-    def merge(t: pa.Table) -> pa.Table:
-        rows = t.to_pydict()
-        keys, counts = summed(np.concatenate([_blob(x, "<u8") for x in rows["keys"]]), np.concatenate([_blob(x, "<i8") for x in rows["counts"]]))
-        return pa.table({"kind": pa.array(rows["kind"][:1], pa.int32()), "bucket": pa.array(rows["bucket"][:1], pa.int32()), "keys": pa.array([_bytes(keys)], pa.binary()), "counts": pa.array([_bytes(counts)], pa.binary()), "total": pa.array([int(counts.sum())], pa.int64())})
-
-    return docs.select("text").mapInArrow(run, _COUNTS).groupBy("kind", "bucket").applyInArrow(merge, _COUNTS)
-
-
-def _picked(counts: DataFrame, total_words: int, total_symbols: int, rare: float, common: float) -> tuple[np.ndarray, np.ndarray, Tree]:
-    """Common words with their counts, and the tree; what comes to the driver is bounded by 1 / common and 1 / rare."""
+                raw, begins = laid(buf, starts, ends, counts)
+                held = np.array(batch.column("held_out").slice(lo, hi - lo).to_pylist(), dtype=bool)
+                low = keyed(np.maximum(raw, 1), Base.LOW)[~np.repeat(held, np.diff(np.append(begins, len(raw))))]
+                k, c = np.unique(low.astype(np.uint32), return_counts=True)
+                found[LOWS].append((k.astype(U), c.astype(np.int64)))
+                # the end of each text is a token too
+                found[WORDS] += _counted(np.concatenate([tb.hashes(buf, starts, ends), np.full(hi - lo, END_WORD)]), np.concatenate([np.repeat(held, counts), held]))
+                texts.append(raw)
+                ids += batch.column("doc_id").slice(lo, hi - lo).to_pylist()
+                flags += held.tolist()
+                if sum(map(len, texts)) >= SLICE:
+                    yield from flush()
+                    slice_id += 1
+                    texts, ids, flags, found = [], [], [], {WORDS: [], LOWS: []}
+        if ids:
+            yield from flush()
+
+    return rows.mapInArrow(run, _PACKED)
+
+
+def _steps(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """Where the texts of a slice begin and stop, and ranges of them of about STEP bytes."""
+    stops = np.flatnonzero(raw == END) + 1
+    begins = np.concatenate([[0], stops[:-1]])
+    ranges, lo = [], 0
+    while lo < len(stops):
+        hi = min(max(int(np.searchsorted(stops, begins[lo] + STEP, "right")), lo + 1), len(stops))
+        ranges.append((lo, hi))
+        lo = hi
+    return begins, stops, ranges
+
+
+def runs(packed: DataFrame, n: int) -> DataFrame:
+    """The different symbol runs (RUNS) of the packed texts with their counts in training, by slice and bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                keys, n = _blob(row["keys"], "<u8"), _blob(row["counts"], "<i8")
-                if row["kind"] == 0:
-                    often = n >= common * total_words
-                    got = [(-1, keys[often], n[often])]
-                else:
-                    got = []
-                    for d in range(DEPTH + 1):
-                        k, c = at_depth(keys, n, d) if d else summed(keys & U(255), n)
-                        if d >= 2:
-                            context, back = np.unique(k >> U(8), return_inverse=True)
-                            enough = (np.bincount(back, weights=c, minlength=len(context)) >= rare * total_symbols)[back]
-                            k, c = k[enough], c[enough]
-                        got.append((d, k, c))
-                yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int32()), pa.array([_bytes(g[1]) for g in got], pa.binary()), pa.array([_bytes(g[2]) for g in got], pa.binary())], ["d", "keys", "counts"])
+                raw, held = _restored(row["keys"], "u1"), np.array(row["held"], dtype=bool)
+                begins, stops, ranges = _steps(raw)
+                found = []
+                for lo, hi in ranges:
+                    found += _counted(keyed(np.maximum(raw[begins[lo] : stops[hi - 1]], 1)), np.repeat(held[lo:hi], stops[lo:hi] - begins[lo:hi]))
+                for out in _sent(RUNS, row["slice"], *_merged(found), n):
+                    yield out.select(["slice", "kind", "bucket", "keys", "counts"])
 
-    rows = counts.mapInArrow(run, "d int, keys binary, counts binary").toArrow().to_pylist()
+    return packed.where(F.col("kind") == TEXTS).select("slice", "held", "keys").mapInArrow(run, "slice long, kind int, bucket int, keys binary, counts binary")
 
-    def level(d: int) -> tuple[np.ndarray, np.ndarray]:
-        own = [r for r in rows if r["d"] == d]
-        return summed(np.concatenate([np.zeros(0, U), *[_blob(r["keys"], "<u8") for r in own]]), np.concatenate([np.zeros(0, np.int64), *[_blob(r["counts"], "<i8") for r in own]]))
 
-    return *level(-1), Tree([level(d) for d in range(DEPTH + 1)], rare)
+def _totals(packed: DataFrame) -> tuple[int, int, Base]:
+    """Tokens and different words of training, and the base of the tree, which the alphabet bounds."""
 
+    def merge(t: pa.Table) -> pa.Table:
+        k, c = summed(np.concatenate([_keys(x.as_py()) for x in t.column("keys")]), np.concatenate([_restored(x.as_py(), "<i8") for x in t.column("counts")]))
+        k, c = k[c > 0], c[c > 0]
+        low = t.column("kind")[0].as_py() == LOWS
+        return pa.table({"total": pa.array([0 if low else int(c.sum())], pa.int64()), "v": pa.array([0 if low else len(k)], pa.int64()), "keys": pa.array([k.tobytes() if low else b""], pa.binary()), "counts": pa.array([c.tobytes() if low else b""], pa.binary())})
 
-_SCORED = "slice long, bucket int, ids array<long>, held array<boolean>, place binary, keys binary, sums binary"
+    rows = packed.where(F.col("kind").isin(WORDS, LOWS)).select("kind", "bucket", "keys", "counts").groupBy("kind", "bucket").applyInArrow(merge, "total long, v long, keys binary, counts binary").toArrow().to_pylist()
+    base = Base(*summed(np.concatenate([np.zeros(0, U), *[np.frombuffer(r["keys"], "<u8") for r in rows]]), np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(r["counts"], "<i8") for r in rows]])))
+    return sum(r["total"] for r in rows), sum(r["v"] for r in rows), base
 
 
-def score(docs: DataFrame, held_out: Column, rare: float = RARE, common: float = COMMON) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, least: int = LEAST, nats: float = NATS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document.
 
     Learns from the documents for which held_out isn't true. Tokens are words and an end for each text (null: empty).
     base_score is a unigram model with one added to each count. score is the log10 probability that the suffix tree
     gives the bytes of the words, with a space between, and the end; the two are probabilities of the same tokens.
-    Common words are looked up in every task; the others travel once, by hash bucket, to their counts, packed by
-    batches of documents. Repeated rows each give a row and count; without training rows scores are uniform.
+    The tree is never in one place: each bucket of contexts grows its branches from the counts of all texts and answers
+    the slices of texts that have them. Repeated rows each give a row and count; without training rows scores are uniform.
     """
     n = parts(docs.sparkSession)
-    rows = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    counts = cut(gather(rows.where("not held_out"), n))
-    sums = {r["kind"]: r for r in counts.groupBy("kind").agg(F.sum("total").alias("n"), F.sum(F.length("keys") / 8).cast("long").alias("v")).collect()}
-    total, kinds = (int(sums[0]["n"]), int(sums[0]["v"])) if 0 in sums else (0, 0)
-    words, times, tree = _picked(counts, total, int(sums[1]["n"]) if 1 in sums else 0, rare, common)
-    sent = docs.sparkSession.sparkContext.broadcast((words, times, tree))
+    packed = cut(pack(docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out")), n))
+    total, kinds, base = _totals(packed)
+    sent = docs.sparkSession.sparkContext.broadcast(base)
     scale = float(np.log10(total + kinds + 1))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, times, tree = sent.value
-        often = np.append(words, U(0))
-        log = np.log10(np.append(times, 0) + 1) - scale
-        slice_id = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            col = batch.column("text")
-            for lo, hi in tb.slices(col):
-                slice_id += 1
-                buf, starts, ends, counts = _words(col.slice(lo, hi - lo))
-                sums = np.zeros((hi - lo, 4))
-                sums[:, 0] = counts + 1
-                sums[:, 3] = tree.score(*symbols(buf, starts, ends, counts))
-                h = tb.hashes(buf, starts, ends)
-                doc = np.repeat(np.arange(hi - lo), counts)
-                # the end of each text is a token too
-                h, doc = np.concatenate([h, np.full(hi - lo, END_WORD)]), np.concatenate([doc, np.arange(hi - lo)])
-                at = np.searchsorted(words, h)
-                known = often[at] == h
-                known &= at < len(words)
-                sums[:, 1] = np.bincount(doc[known], minlength=hi - lo)
-                sums[:, 2] = np.bincount(doc[known], weights=log[at[known]], minlength=hi - lo)
-                part = batch.slice(lo, hi - lo)
-                yield _row([slice_id], [-1], [part.column("doc_id").to_pylist()], [part.column("held_out").to_pylist()], [b""], [b""], [_bytes(sums)])
-                h, doc = h[~known], doc[~known].astype(np.int32)
-                bucket = (h % U(n)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                h, doc, bucket = h[order], doc[order], bucket[order]
-                edge = np.searchsorted(bucket, np.arange(n + 1))
-                has = [b for b in range(n) if edge[b] < edge[b + 1]]
-                if has:
-                    m = len(has)
-                    yield _row([slice_id] * m, has, [[]] * m, [[]] * m, [_bytes(doc[edge[b] : edge[b + 1]]) for b in has], [_bytes(h[edge[b] : edge[b + 1]]) for b in has], [b""] * m)
-
-    def _row(slices: list, buckets: list, ids: list, held: list, place: list, keys: list, sums: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(slices, pa.int64()), pa.array(buckets, pa.int32()), pa.array(ids, pa.list_(pa.int64())), pa.array(held, pa.list_(pa.bool_())), *[pa.array(x, pa.binary()) for x in (place, keys, sums)]], ["slice", "bucket", "ids", "held", "place", "keys", "sums"])
-
-    def look_up(left: pa.Table, right: pa.Table) -> pa.Table:
-        """Of each batch's words in this bucket: known tokens and sum of logs by document."""
-        keys = np.concatenate([np.zeros(0, U), *[_blob(x.as_py(), "<u8") for x in right.column("keys")]])
-        log = np.concatenate([np.zeros(0, np.int64), *[_blob(x.as_py(), "<i8") for x in right.column("counts")]])
-        log = np.log10(np.append(log, 0) + 1) - scale
-        keys = np.append(keys, U(0))
-        out = []
-        for place, own in zip(left.column("place"), left.column("keys"), strict=True):
-            place, own = _blob(place.as_py(), "<i4"), _blob(own.as_py(), "<u8")
-            at = np.searchsorted(keys[:-1], own)
-            known = (keys[at] == own) & (at < len(keys) - 1)
-            at[~known] = len(keys) - 1
-            doc, back = np.unique(place, return_inverse=True)
-            made = np.stack([doc, np.bincount(back, weights=known), np.bincount(back, weights=log[at])], axis=1)
-            out.append(_bytes(made))
-        return pa.table({"slice": left.column("slice"), "found": pa.array(out, pa.binary())})
+    def answer(t: pa.Table) -> pa.Table:
+        """To each slice, for its keys of this bucket in order: counts of words, or log10 probabilities of runs."""
+        own = [_keys(x.as_py()) for x in t.column("keys")]
+        keys, counts = summed(np.concatenate(own), np.concatenate([_restored(x.as_py(), "<i8") for x in t.column("counts")]))
+        kind = t.column("kind")[0].as_py()
+        values = counts if kind == WORDS else np.rint(-SCALE * branch(keys, counts, sent.value, least, nats)).astype(np.int64)
+        return pa.table({"slice": t.column("slice"), "kind": t.column("kind"), "bucket": t.column("bucket"), "found": pa.array([_squeezed(values[np.searchsorted(keys, k)]) for k in own], pa.binary())})
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
-        row = left.to_pylist()[0]
-        sums = _blob(row["sums"], "<f8").reshape(-1, 4).copy()
-        for x in right.column("found"):
-            made = _blob(x.as_py(), "<f8").reshape(-1, 3)
-            sums[made[:, 0].astype(np.int64), 1:3] += made[:, 1:]
-        m = len(sums)
+        raw = _restored(left.column("keys")[0].as_py(), "u1")
+        begins, stops, ranges = _steps(raw)
+        m = len(stops)
+        sums = np.zeros((m, 4))
+        answers = right.select(["kind", "bucket", "found"]).to_pylist()
+        for kind in (WORDS, RUNS):
+            asked = []
+            for lo, hi in ranges:
+                part = raw[begins[lo] : stops[hi - 1]]
+                if kind == WORDS:
+                    starts, ends = tb.words(part, ~tb.SPACE)
+                    size = tb.owner(starts, np.append(begins[lo:hi], stops[hi - 1]) - begins[lo])
+                    # each text's end behind its words
+                    k = np.insert(tb.hashes(part, starts, ends), np.cumsum(size), END_WORD)
+                    size = size + 1
+                else:
+                    k, size = keyed(np.maximum(part, 1)), stops[lo:hi] - begins[lo:hi]
+                k, back = np.unique(k, return_inverse=True)
+                asked.append((lo, hi, k, back.astype(np.int32), np.cumsum(size) - size, size))
+            keys = np.unique(np.concatenate([x[2] for x in asked]))
+            order, edge = _dealt(kind, keys, n)
+            table = np.empty(len(keys), np.int64)
+            for r in answers:
+                if r["kind"] == kind:
+                    table[order[edge[r["bucket"]] : edge[r["bucket"] + 1]]] = _restored(r["found"], "<i8")
+            values = np.log10(table + 1) - scale if kind == WORDS else table / -SCALE
+            for lo, hi, k, back, first, size in asked:
+                at = np.searchsorted(keys, k)
+                if kind == WORDS:
+                    sums[lo:hi, 0] = size
+                    sums[lo:hi, 1] = np.add.reduceat((table[at] > 0).astype(np.int64)[back], first)
+                sums[lo:hi, 2 if kind == WORDS else 3] = np.add.reduceat(values[at][back], first)
         return pa.table({
-            "doc_id": pa.array(row["ids"], pa.int64()), "held_out": pa.array(row["held"], pa.bool_()), "n_tokens": pa.array(sums[:, 0].astype(np.int64)), "n_known": pa.array(np.rint(sums[:, 1]).astype(np.int64)),
+            "doc_id": pa.array(left.column("ids")[0].as_py(), pa.int64()), "held_out": pa.array(left.column("held")[0].as_py(), pa.bool_()), "n_tokens": pa.array(sums[:, 0].astype(np.int64)), "n_known": pa.array(np.rint(sums[:, 1]).astype(np.int64)),
             "train_tokens": pa.array([total] * m, pa.int64()), "base_score": pa.array(sums[:, 2]), "score": pa.array(sums[:, 3]),
         })
 
-    made = cut(rows.mapInArrow(run, _SCORED))
-    rest = made.where("bucket >= 0").select("slice", "bucket", "place", "keys").groupBy("bucket").cogroup(counts.where("kind = 0").select("bucket", "keys", "counts").groupBy("bucket")).applyInArrow(look_up, "slice long, found binary")
-    return made.where("bucket < 0").groupBy("slice").cogroup(rest.groupBy("slice")).applyInArrow(join, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    asking = packed.where(F.col("kind") == WORDS).select("slice", "kind", "bucket", "keys", "counts").union(runs(packed, n))
+    found = asking.groupBy("kind", "bucket").applyInArrow(answer, "slice long, kind int, bucket int, found binary")
+    return packed.where(F.col("kind") == TEXTS).select("slice", "ids", "held", "keys").groupBy("slice").cogroup(found.groupBy("slice")).applyInArrow(join, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

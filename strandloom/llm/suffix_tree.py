@@ -1,4 +1,4 @@
-"""A probabilistic suffix tree over the bytes of normalised text, as a table-driven machine."""
+"""A probabilistic suffix tree over the bytes of normalised text: in parts by context, or whole as a table-driven machine."""
 
 from __future__ import annotations
 
@@ -6,15 +6,15 @@ import numpy as np
 
 U = np.uint64
 #: Symbols of the longest context; a context and the symbol behind it fit into one 64-bit key.
-DEPTH = 5
+DEPTH = 7
 SPACE, END = 32, 10
 LANE = 512
 
 
-def symbols(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols of texts given by their words, and where each text begins: words with one space between, then END.
+def laid(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts given by their words, and where each text begins: words with one space between, then END.
 
-    A zero byte counts as byte 1; white space occurs in no word, so SPACE and END are unambiguous.
+    White space occurs in no word, so SPACE and END are unambiguous.
     """
     n = len(counts)
     empty = np.flatnonzero(counts == 0)
@@ -28,23 +28,35 @@ def symbols(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, counts: np.nd
     inner = np.ones(len(out), dtype=bool)
     inner[stop - 1] = False
     place = np.flatnonzero(inner)
-    out[place] = np.maximum(buf[place + np.repeat(at - begin, size - 1)], 1)
+    out[place] = buf[place + np.repeat(at - begin, size - 1)]
     out[stop[lasts] - 1] = END
     return out, np.concatenate([[0], stop[lasts]])[:-1].astype(np.int64) if n else np.zeros(0, np.int64)
 
 
-def grams(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (symbol in the lowest byte, the ones before it above) and counts; no key reaches beyond the END before it."""
+def symbols(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of texts as laid(), where a zero byte counts as byte 1, and where each text begins."""
+    out, begins = laid(buf, starts, ends, counts)
+    return np.maximum(out, 1), begins
+
+
+def keyed(text: np.ndarray, depth: int = DEPTH) -> np.ndarray:
+    """The key of each symbol: itself in the lowest byte, the ones before it above; none reaches beyond the END before it."""
     if not len(text):
-        return np.zeros(0, U), np.zeros(0, np.int64)
-    padded = np.concatenate([np.full(DEPTH, END, np.uint8), text]).astype(U)
+        return np.zeros(0, U)
+    padded = np.concatenate([np.full(depth, END, np.uint8), text]).astype(U)
     place = np.arange(len(text))
     ends = np.where(text == END, place, -1)
     since = place - np.concatenate([[-1], np.maximum.accumulate(ends)[:-1]])
-    key = padded[DEPTH:].copy()
-    for j in range(1, DEPTH + 1):
-        key |= np.where(since >= j, padded[DEPTH - j : len(padded) - j] << U(8 * j), U(0))
-    return np.unique(key, return_counts=True)
+    key = padded[depth:].copy()
+    for j in range(1, depth + 1):
+        key |= np.where(since >= j, padded[depth - j : len(padded) - j] << U(8 * j), U(0))
+    return key
+
+
+def grams(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys and their counts."""
+    key, counts = np.unique(keyed(text), return_counts=True)
+    return key, counts.astype(np.int64)
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,6 +74,112 @@ def at_depth(keys: np.ndarray, counts: np.ndarray, d: int) -> tuple[np.ndarray,
     return summed(keys[whole] & U((1 << (8 * (d + 1))) - 1), counts[whole])
 
 
+def _found(held: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the keys are in a sorted array, and whether they are."""
+    if not len(held):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(held, keys), len(held) - 1)
+    return at, held[at] == keys
+
+
+class Level:
+    """Contexts of d symbols with their counts, numbers of different next symbols, and the counts of those."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, d: int) -> None:
+        self.mask = U((1 << (8 * (d + 1))) - 1)
+        self.d = d
+        self.keys, self.counts = at_depth(keys, counts, d)
+        context = self.keys >> U(8)
+        self.first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(context) else np.zeros(0, np.int64)
+        self.context = context[self.first]
+        self.kinds = np.diff(np.append(self.first, len(context)))
+        self.n = np.add.reduceat(self.counts, self.first) if len(context) else np.zeros(0, np.int64)
+
+    def mixed(self, keys: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Probabilities of the keys' symbols given p, those by the shorter context; number of the context; is it here."""
+        own = keys & self.mask
+        c, here = _found(self.context, own >> U(8))
+        at, seen = _found(self.keys, own)
+        if not len(self.context):
+            return p, c, here
+        times = np.where(seen, self.counts[at], 0)
+        return np.where(here, (times + self.kinds[c] * p) / (self.n[c] + self.kinds[c]), p), c, here
+
+
+class Base:
+    """Distributions behind contexts of LOW symbols or less, which are always kept: as many as the alphabet allows."""
+
+    LOW = 2
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        seen = np.bincount((keys & U(255)).astype(np.int64), weights=counts, minlength=256)
+        self.p = (seen + 1) / (seen.sum() + 255)
+        self.levels = [Level(keys, counts, d) for d in range(1, self.LOW + 1)]
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        p = self.p[(keys & U(255)).astype(np.int64)]
+        for level in self.levels:
+            p = level.mixed(keys, p)[0]
+        return p
+
+
+def branch(keys: np.ndarray, counts: np.ndarray, base: Base, least: int, nats: float) -> np.ndarray:
+    """log10 probabilities of sorted keys by the part of the tree whose contexts of more than LOW symbols they hold.
+
+    counts are those of training (0: not in it). The keys must hold all keys of a context of LOW + 1 symbols or none. A
+    context is kept if it occurs `least` times at least and the divergence of its next-symbol distribution from that
+    of the context without its oldest symbol, times its count, is `nats` at least, or if a longer kept context ends in
+    it. So what is kept hangs on the context's own counts, never on the size of the table. Distributions are
+    interpolated as in Tree; the longest kept context decides.
+    """
+    # by symbol, then from the newest to the oldest before it: symbols behind a context of any length lie together
+    turned = keys.byteswap()
+    order = np.argsort(turned)
+    turned, counts = turned[order], counts[order]
+    back = turned << U(8)
+    across = np.argsort(back)  # and so do contexts
+
+    def parts(x: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        top = x >> U(64 - 8 * size)
+        fresh = np.concatenate([[True], top[1:] != top[:-1]])
+        return np.flatnonzero(fresh), np.cumsum(fresh) - 1
+
+    first, pair = parts(turned, base.LOW + 1)
+    p = base.of(turned[first].byteswap() & U((1 << (8 * (base.LOW + 1))) - 1))
+    levels = []
+    inner = None
+    for d in range(base.LOW + 1, DEPTH + 1):
+        above = pair
+        first, pair = parts(turned, d + 1)
+        at, number = parts(back[across], d)
+        context = np.empty(len(keys), np.int64)
+        context[across] = number
+        of = context[first]
+        times = np.add.reduceat(counts, first)
+        seen = times > 0
+        size = len(at)
+        n, kinds = np.bincount(of, times, size), np.bincount(of[seen], minlength=size)
+        shorter = p[above[first]]
+        here = (n > 0) & ((back[across[at]] >> U(64 - 8 * d)) & U(255) > 0)
+        weight = np.maximum(n + kinds, 1)
+        p = np.where(here[of], (times + kinds[of] * shorter) / weight[of], shorter)
+        # what was never seen behind the context keeps the shorter one's distribution, times kinds / (n + kinds)
+        gain = np.bincount(of[seen], p[seen] * np.log(p[seen] / shorter[seen]), size)
+        gain = gain + np.maximum(1 - np.bincount(of[seen], p[seen], size), 0) * np.log(np.where(here, kinds / weight, 1))
+        good = here & (n >= least) & (n * gain >= nats)
+        levels.append((good, context, pair, p, None if inner is None else inner[across[at]]))
+        inner = context
+    for (good, *_, shorter), (above, *_) in zip(levels[:0:-1], levels[-2::-1], strict=True):
+        above[shorter[good]] = True
+    first, pair = parts(turned, base.LOW + 1)
+    out = base.of(turned[first].byteswap() & U((1 << (8 * (base.LOW + 1))) - 1))[pair]
+    for good, context, pair, p, _ in levels:
+        out = np.where(good[context], p[pair], out)
+    told = np.empty(len(keys))
+    told[order] = np.log10(out)
+    return told
+
+
 class Tree:
     """States are the kept contexts, closed under taking suffixes; the root is state 0.
 

@@ -327,6 +327,58 @@ def test_scores(docs, empty):
     assert all(r.n_known == 0 for r in lm.score(docs, F.lit(True)).collect())
 
 
+def brute_tree(train, texts, least=2, nats=10.0):
+    """log10 probabilities of byte strings that end with a newline, by dictionaries of contexts."""
+    from strandloom.llm.suffix_tree import DEPTH, Base
+
+    n = defaultdict(Counter)
+    for t in train:
+        for i in range(len(t)):
+            for d in range(DEPTH + 1):
+                if d <= i + 1:
+                    n[(b"\n" + t)[i + 1 - d : i + 1]][t[i]] += 1
+    total = sum(n[b""].values())
+
+    def p(context, x):
+        if not context:
+            return (n[b""][x] + 1) / (total + 255)
+        c, less = n.get(context, {}), p(context[1:], x)
+        return (c.get(x, 0) + len(c) * less) / (sum(c.values()) + len(c)) if c else less
+
+    kept = {c for c in n if len(c) <= Base.LOW}
+    for c in n:
+        size = sum(n[c].values())
+        if len(c) > Base.LOW and size >= least and size * sum(p(c, x) * math.log(p(c, x) / p(c[1:], x)) for x in range(1, 256)) >= nats:
+            kept |= {c[i:] for i in range(len(c))}
+
+    def longest(c):
+        while c not in kept:
+            c = c[1:]
+        return c
+
+    return [sum(math.log10(p(longest((b"\n" + t)[max(i + 1 - DEPTH, 0) : i + 1]), t[i])) for i in range(len(t))) for t in texts], kept
+
+
+def test_scores_by_the_whole_tree(spark):
+    rows = [(i, text(i, 12)) for i in range(30)] + [(i, text(7, 30) + " Quartz vow") for i in range(30, 33)] + [(33, "abcdefgh zbcdefgy " * 40), (40, "\0 zz  Quartz"), (41, None)]
+    out = lm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), F.col("doc_id") % 5 == 2)
+    plain = {i: b" ".join((t or "").encode().translate(LOW).split()).replace(b"\0", b"\1") + b"\n" for i, t in rows}
+    want, kept = brute_tree([t for i, t in plain.items() if i % 5 != 2], plain.values())
+    assert max(map(len, kept)) > 5
+    want = dict(zip(plain, want, strict=True))
+    assert all(abs(r.score - want[r.doc_id]) <= len(plain[r.doc_id]) / lm.SCALE / 2 + 1e-6 for r in out.collect())
+
+
+def test_contexts_stay_when_the_table_grows(spark):
+    r = np.random.default_rng(0)
+    odd = " ".join("".join(r.choice(list("qxzjkvw"), 6)) for _ in range(12))
+    rows = [(i, odd) for i in range(9)]
+    few = spark.createDataFrame(rows + [(9, text(9, 2000))], "doc_id long, text string")
+    much = spark.createDataFrame(rows + [(i, text(i, 20_000)) for i in range(9, 59)], "doc_id long, text string")
+    a, b = (lm.score(t, F.col("doc_id") == 0).where("doc_id = 0").first().score / len(odd) for t in (few, much))
+    assert a > -0.3 and b > -0.3
+
+
 def test_suffix_tree_is_a_distribution():
     from strandloom.llm import suffix_tree as t
 
