@@ -51,6 +51,26 @@ def test_stages(spark, folder):
     assert all(r["size"] == len((r.text or "").encode()) + 1 for r in shards)
 
 
+def test_near_copies_down_to_08(spark):
+    r = np.random.default_rng(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    rows, want = [], set()
+    for i in range(150):
+        w = list(r.choice(vocabulary, 500))
+        rows.append((i, " ".join(w)))
+        for k, changed in enumerate((5, 9, 150)):
+            v = list(w)
+            for at in r.choice(500, changed, replace=False):
+                v[at] = f"x{i}-{at}"
+            a, b = ({tuple(x[j : j + 5]) for j in range(496)} for x in (w, v))
+            rows.append((1000 * (k + 1) + i, " ".join(v)))
+            if len(a & b) >= 0.8 * len(a | b):
+                want.add(rows[-1][0])
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS).repartition(4)
+    kept = {x.doc_id for x in corpus_pipeline.near_copies_stage(spark, docs, "").collect()}
+    assert len(want) > 250 and {i for i, _ in rows} - kept == want
+
+
 def test_run_equals_the_stages(spark, folder):
     root, _ = folder
     out = corpus_pipeline.run(spark, root)
