@@ -128,10 +128,16 @@ def unit(vectors: DataFrame) -> DataFrame:
 
 
 def exact_knn(queries: DataFrame, vectors: DataFrame, knn: int, block: int = 1024) -> DataFrame:
-    """a, b, rank, sim: the knn largest dot products of each query over all vectors, itself included (ties: smaller id).
+    """a, b, rank, sim: the knn largest dot products of each query over all vectors, itself included (ties: smaller id)."""
+    last = Window.partitionBy("a").orderBy(F.desc("sim"), "b")
+    return block_products(queries, vectors, knn, block).withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= knn).select("a", "b", "rank", "sim")
+
+
+def block_products(queries: DataFrame, vectors: DataFrame, knn: int | None = None, block: int = 1024) -> DataFrame:
+    """a, b, sim: of each query and block of vectors the knn largest dot products (none: all of them).
 
     Queries and vectors are packed into blocks of about `block` rows. A pair of blocks is one matrix product, of which
-    each query keeps its best knn; these are merged in the JVM. What a task holds is two blocks and their product.
+    each query keeps its best knn; the JVM merges these. What a task holds is two blocks and their product.
     """
 
     def packed(df: DataFrame, name: str) -> DataFrame:
@@ -156,9 +162,7 @@ def exact_knn(queries: DataFrame, vectors: DataFrame, knn: int, block: int = 102
 
     # all pairs of blocks are the operation itself
     pairs = packed(queries, "x").crossJoin(packed(vectors, "y"))
-    best = pairs.mapInArrow(run, "a long, b long, sim double")
-    last = Window.partitionBy("a").orderBy(F.desc("sim"), "b")
-    return best.withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= knn).select("a", "b", "rank", "sim")
+    return pairs.mapInArrow(run, "a long, b long, sim double")
 
 
 def kernel_matrix(features: DataFrame) -> DataFrame:

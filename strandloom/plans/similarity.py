@@ -132,7 +132,8 @@ def exact_knn(s, d):
 
 
 def full_ranking(s, d):
-    return lsh.full_ranking(lsh.exact_knn(vectors(s, d), vectors(s, d), 100).select("a", "b", "sim"))
+    v = vectors(s, d)
+    return lsh.full_ranking(lsh.block_products(v, v))
 
 
 FULL_RANKING = f"""WITH {VECTORS}, sims AS (SELECT x.id AS a, y.id AS b, round(list_dot_product(x.vec, y.vec), 6) AS sim FROM vectors x, vectors y),

@@ -194,3 +194,14 @@ def test_stream_equals_batch(spark, tmp_path):
     signatures.start(spark.readStream.schema(docs.schema).parquet(str(tmp_path / "in")), "doc_id", "text", str(tmp_path / "out")).awaitTermination()
     got = signatures.signatures(spark, str(tmp_path / "out"))
     assert got.exceptAll(lsh.minhash_signature(token_counts(docs, "doc_id", "text"), 16)).count() == 0 and got.count() == 320
+
+
+def test_full_ranking_has_all_others(spark, tmp_path):
+    from strandloom.plans import similarity
+
+    r = np.random.default_rng(3)
+    x = r.normal(size=(130, 64)).astype("float32")
+    spark.createDataFrame([(i, v.tolist(), i % 3) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    out = similarity.full_ranking(spark, str(tmp_path)).collect()
+    assert len(out) == 130 * 129
+    assert all(sorted(r.rank for r in out if r.a == a) == list(range(1, 130)) for a in (0, 77))
