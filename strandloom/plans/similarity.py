@@ -218,8 +218,11 @@ TRUE_DENSITY = f"WITH {VECTORS} SELECT x.id, round(avg(list_dot_product(x.vec, y
 
 
 def similarity_to_set(s, d):
-    k = _exact(s, d)
-    return density.similarity_to_set(k, read(s, d, "embeddings").where("label = 0").select(F.col("vec_id").alias("id")))
+    v = vectors(s, d)
+    members = v.join(read(s, d, "embeddings").where("label = 0").select(F.col("vec_id").alias("id")), "id", "left_semi")
+    # the sum over all members is one dot product with the sum of their vectors
+    m = members.agg(*[F.sum(F.col("vec")[i]).alias(f"c{i}") for i in range(64)], F.count("*").alias("n")).select(F.array(*[f"c{i}" for i in range(64)]).alias("t"), "n").where("n > 0")
+    return v.crossJoin(F.broadcast(m)).select(F.col("id").alias("a"), F.round(lsh.dense_dot(F.col("vec"), F.col("t")) / F.col("n"), 6).alias("avg_sim"))
 
 
 def _centers(s, d):

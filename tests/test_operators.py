@@ -205,3 +205,13 @@ def test_full_ranking_has_all_others(spark, tmp_path):
     out = similarity.full_ranking(spark, str(tmp_path)).collect()
     assert len(out) == 130 * 129
     assert all(sorted(r.rank for r in out if r.a == a) == list(range(1, 130)) for a in (0, 77))
+
+
+def test_similarity_to_the_whole_set(spark, tmp_path):
+    from strandloom.plans import similarity
+
+    x = np.random.default_rng(4).normal(size=(60, 64)).astype("float32")
+    spark.createDataFrame([(i, v.tolist(), i % 2) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    out = {r.a: r.avg_sim for r in similarity.similarity_to_set(spark, str(tmp_path)).collect()}
+    want = x.astype(float) @ x[::2].astype(float).T
+    assert sorted(out) == list(range(60)) and all(abs(out[i] - want[i].mean()) < 2e-6 for i in range(60))
