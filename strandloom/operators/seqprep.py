@@ -129,7 +129,8 @@ def shingles(fragments: DataFrame, k: int) -> DataFrame:
 def near_duplicates(fragments: DataFrame, similarity: float = 0.9, k: int = 8, nhf: int = 32) -> DataFrame:
     """value, keeper: fragments whose k-mer sets are alike by `similarity` at least, joined to chains; the least value keeps.
 
-    Equal texts are one candidate. Bins of a min-hash index propose pairs, exact Jaccard similarity decides.
+    Equal texts are one candidate. Bins of a min-hash index propose pairs, exact Jaccard similarity decides. Of bins too
+    large for all pairs each row is compared with the least and the greatest value in it.
     """
     same = Window.partitionBy("seq")
     first = fragments.withColumn("rep", F.min("value").over(same))
@@ -138,7 +139,11 @@ def near_duplicates(fragments: DataFrame, similarity: float = 0.9, k: int = 8, n
     grams = shingles(reps, k).persist(StorageLevel.MEMORY_AND_DISK)
     size = grams.groupBy("id").agg(F.count("*").alias("n"))
     n = reps.count()
-    pairs = candidate_pairs(minhash_signature(grams, nhf).persist(StorageLevel.MEMORY_AND_DISK), n, max_bin_share(n), 2).where("a < b").persist(StorageLevel.MEMORY_AND_DISK)
+    signed = minhash_signature(grams, nhf).persist(StorageLevel.MEMORY_AND_DISK)
+    small = candidate_pairs(signed, n, max_bin_share(n), 2).where("a < b").select("a", "b")
+    large = signed.groupBy("k", "h").agg(F.count("*").alias("size"), F.min("id").alias("lo"), F.max("id").alias("hi")).where(F.col("size") >= F.lit(max_bin_share(n) * n)).where("lo < hi")
+    ends = signed.join(large, ["k", "h"]).select("id", F.explode(F.array("lo", "hi")).alias("end")).where("id <> end")
+    pairs = small.union(ends.select(F.least("id", "end").alias("a"), F.greatest("id", "end").alias("b"))).distinct().persist(StorageLevel.MEMORY_AND_DISK)
     x = grams.select(F.col("id").alias("a"), "f")
     y = grams.select(F.col("id").alias("b"), "f")
     common = pairs.select("a", "b").join(x, "a").join(y, ["b", "f"]).groupBy("a", "b").agg(F.count("*").alias("c"))

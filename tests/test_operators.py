@@ -215,3 +215,20 @@ def test_similarity_to_the_whole_set(spark, tmp_path):
     out = {r.a: r.avg_sim for r in similarity.similarity_to_set(spark, str(tmp_path)).collect()}
     want = x.astype(float) @ x[::2].astype(float).T
     assert sorted(out) == list(range(60)) and all(abs(out[i] - want[i].mean()) < 2e-6 for i in range(60))
+
+
+def test_near_copies_in_large_bins(spark):
+    r = np.random.default_rng(6)
+    base = r.choice(list("ACGU"), 600)
+
+    def edited(i):
+        x = base.copy()
+        x[[i % 500 + 20, (7 * i) % 500 + 30]] = ["N", "ACGU"[i // 500]]
+        return "".join(x)
+
+    rows = [(i, edited(i)) for i in range(1300)] + [(2000 + i, "".join(r.choice(list("ACGU"), 600))) for i in range(20)]
+    out = {x.value: x.keeper for x in seqprep.near_duplicates(spark.createDataFrame(rows, "value long, seq string"), 0.9).collect()}
+    assert len({s for _, s in rows}) > 1200
+    assert all(out[v] == (0 if v < 2000 else v) for v, _ in rows)
+    pair = spark.createDataFrame(rows[:2], "value long, seq string")
+    assert {x.keeper for x in seqprep.near_duplicates(pair, 0.9).collect()} == {0}
