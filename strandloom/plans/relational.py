@@ -43,8 +43,10 @@ SELECT seqid, strand, min(start) AS start, max(stop) AS stop, count(*) AS n FROM
 
 
 def merge_fragments(s, d):
-    h = hits(s, d).where("name = '1.1'")
-    return intervals.merge_fragments(h.select(F.col("rid").alias("id"), "seqid", "start", "stop", "strand", "key", F.lit("").alias("seq"))).drop("seq")
+    # each model by itself
+    h = hits(s, d).withColumn("seqid", F.concat_ws("/", "name", "seqid"))
+    merged = intervals.merge_fragments(h.select(F.col("rid").alias("id"), "seqid", "start", "stop", "strand", "key", F.lit("").alias("seq"))).drop("seq")
+    return merged.withColumn("seqid", F.substring_index("seqid", "/", -1))
 
 
 def interval_keys(s, d):

@@ -232,3 +232,13 @@ def test_near_copies_in_large_bins(spark):
     assert all(out[v] == (0 if v < 2000 else v) for v, _ in rows)
     pair = spark.createDataFrame(rows[:2], "value long, seq string")
     assert {x.keeper for x in seqprep.near_duplicates(pair, 0.9).collect()} == {0}
+
+
+def test_fragments_of_all_models_are_merged(spark, tmp_path):
+    from strandloom.plans import relational
+
+    # models 1, 1, 2 and 3 on one sequence and strand: only the first two may merge
+    rows = [(n, 1, 5, p, 10.0, "N", 1.0, "1995-01-01") for n, p in enumerate((1, 21, 2, 3))]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_suppkey long, l_partkey long, l_quantity double, l_returnflag string, l_extendedprice double, l_shipdate string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    out = relational.merge_fragments(spark, str(tmp_path)).collect()
+    assert sorted(r.id for r in out) == ["1.1", "17.1", "25.1"] and {r.seqid for r in out} == {"5"}
