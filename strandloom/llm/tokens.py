@@ -20,19 +20,36 @@ from strandloom.llm.textbuf import slices
 #: Ids in one file, about; a document is never split.
 FILE_IDS = 1 << 20
 #: Pieces that a worker remembers at most; beyond that it begins anew.
-_KNOWN = 2_000_000
+_KNOWN = 1_500_000
 #: UTF-8 of white space beyond ASCII.
 _WIDE = [chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 _LEAD = np.zeros(256, dtype=bool)
 _LEAD[[w[0] for w in _WIDE]] = True
 
 
+def _places(starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of the spans, one span after another."""
+    return np.arange(int(size.sum())) + np.repeat(starts - (np.cumsum(size) - size), size)
+
+
+def _differ(a: np.ndarray, at: np.ndarray, size: np.ndarray, b: np.ndarray, bat: np.ndarray, bsize: np.ndarray) -> np.ndarray:
+    """Which spans of a aren't the span of b beside them, given that their hashes are equal: up to eight bytes, sizes tell."""
+    out = size != bsize
+    check = np.flatnonzero(~out & (size > 8))
+    if len(check):
+        n = size[check]
+        same = a[_places(at[check], n)] == b[_places(bat[check], n)]
+        out[check] = ~np.logical_and.reduceat(same, np.cumsum(n) - n)
+    return out
+
+
 class Encoder:
     """Ids of whole texts by a byte-level BPE of the tokenizers library, no special tokens.
 
     Its pre-tokenisation starts a new piece at every single space between other characters, so what lies between two
-    such spaces is encoded once and then found again by its 64-bit hash. Texts with other runs of white space, at the
-    ends too, or with white space beyond ASCII go to the library whole.
+    such spaces is encoded once and then found again by its 64-bit hash, size and bytes. Texts with other runs of white
+    space, at the ends too, with white space beyond ASCII, or with a piece whose hash another piece has go to the
+    library whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -44,10 +61,13 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)  # sorted; for each, place and number of its ids
+        self.keys = np.zeros(0, np.uint64)  # sorted; for each, place and number of its ids and of its bytes
         self.at = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
+        self.text_at = np.zeros(0, np.int64)
+        self.text_size = np.zeros(0, np.int64)
+        self.text = np.zeros(0, np.uint8)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.bpe.encode_batch_fast(texts, add_special_tokens=False)]
@@ -75,8 +95,10 @@ class Encoder:
         at = np.zeros(len(keys), np.int64)
         at[order] = len(self.flat) + np.cumsum(size[order]) - size[order]
         place = np.searchsorted(self.keys, keys)
-        self.keys, self.at, self.size = (np.insert(x, place, y) for x, y in ((self.keys, keys), (self.at, at), (self.size, size)))
+        text_at, text_size = len(self.text) + np.cumsum(hi - lo) - (hi - lo), hi - lo
+        self.keys, self.at, self.size, self.text_at, self.text_size = (np.insert(x, place, y) for x, y in ((self.keys, keys), (self.at, at), (self.size, size), (self.text_at, text_at), (self.text_size, text_size)))
         self.flat = np.concatenate([self.flat, *ids])
+        self.text = np.concatenate([self.text, buf[_places(lo, hi - lo)]])
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one text after another, and how many each has."""
@@ -110,10 +132,16 @@ class Encoder:
         if new.any():
             self._learn(keys[new], buf, lo[first[new]], hi[first[new]])
             place = np.searchsorted(self.keys, keys)
+        rep = first[back]
+        clash = _differ(buf, lo, hi - lo, buf, lo[rep], (hi - lo)[rep])
+        clash |= _differ(buf, lo[first], (hi - lo)[first], self.text, self.text_at[place], self.text_size[place])[back]
+        if clash.any():
+            odd[of[clash]] = True
+            keep = ~odd[of]
+            back, of = back[keep], of[keep]
         at, size = self.at[place][back], self.size[place][back]
         counts = np.bincount(of, weights=size, minlength=n).astype(np.int64)
-        start = np.cumsum(size) - size
-        flat = self.flat[np.arange(int(size.sum())) + np.repeat(at - start, size)]
+        flat = self.flat[_places(at, size)]
         if odd.any():
             whole = np.flatnonzero(odd)
             got = self._whole([buf[docs[d] : docs[d + 1] - 1].tobytes().decode() for d in whole.tolist()])

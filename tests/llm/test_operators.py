@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from strandloom.llm import codes, crf, decontaminate, fingerprint, language, lm, mixing, ordered, quality, reputation, sharding, simhash, tokens
+from strandloom.llm import codes, crf, decontaminate, fingerprint, language, lm, mixing, ordered, quality, reputation, sharding, simhash, textbuf, tokens
 from strandloom.llm.automaton import Automaton
 from strandloom.llm.components import components
 
@@ -294,6 +294,43 @@ def test_encoder_agrees_with_the_library(texts):
     assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])][: len(texts)] == [x.ids for x in e.bpe.encode_batch(texts, add_special_tokens=False)] if texts else not len(flat)
 
 
+def thue_morse(n):
+    a, b = "a", "b"
+    for _ in range(n):
+        a, b = a + b, b + a
+    return a, b
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.integers(3, 12), st.lists(st.sampled_from(["{a}", "{b}", "x {a} {b} y", "{b} {b}", "{a}{b}"]), max_size=5))
+def test_words_that_collide_by_power_sums(n, forms):
+    a, b = thue_morse(n)
+    texts = [x.format(a=a, b=b) for x in ["{a}", "{b}", *forms]]
+    e = tokens.encoder(PATH)
+    flat, counts = e(pa.array(texts))
+    assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == [x.ids for x in e.bpe.encode_batch(texts, add_special_tokens=False)]
+    buf = np.frombuffer(f"{a} {b} {a}\n".encode(), np.uint8)
+    h = textbuf.hashes(buf, *textbuf.words(buf, ~textbuf.SPACE))
+    assert h[0] == h[2] != h[1]
+
+
+def test_encoder_with_a_hash_that_always_collides(monkeypatch):
+    e = tokens.Encoder(PATH)
+    monkeypatch.setattr(tokens.tb, "hashes", lambda buf, lo, hi: (hi - lo).astype(np.uint64) // np.uint64(12))
+    for texts in (["the cat sat", "on another mat", "extraordinarily extraordinariLy long"], ["a dog sat", "the cat sat", "extraordinariLy so"]):
+        flat, counts = e(pa.array(texts))
+        assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == [x.ids for x in e.bpe.encode_batch(texts, add_special_tokens=False)]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.binary(max_size=90).map(lambda x: x.replace(b" ", b"_")), min_size=1, max_size=30))
+def test_word_hashes_tell_words_apart(words):
+    buf = np.frombuffer(b" ".join(words) + b"\n", np.uint8)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    h = textbuf.hashes(buf, ends - [len(w) for w in words], ends)
+    assert len(set(h.tolist())) == len(set(words)) == len(set(zip(words, h.tolist(), strict=True)))
+
+
 def test_token_files(docs, empty):
     bpe = tokens.encoder(PATH).bpe
     out = tokens.read(tokens.write(docs, PATH, file_ids=500)).collect()
