@@ -16,7 +16,6 @@ U = tb.U
 #: Documents of each language that are learnt from, about; chosen by a hash of doc_id.
 SAMPLE = 400
 TABLE = 1 << 17
-LONGEST = 256
 
 
 def word_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -60,17 +59,22 @@ class WordModel:
     def __init__(self, names: list[str], table: np.ndarray, transition: np.ndarray) -> None:
         self.names, self.table, self.transition = names, table, transition
 
+    def words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Marginal probability of each language for every word, and the word's document."""
+        rows, begins, line, doc = word_features(texts)
+        if not len(begins) or not self.names:
+            return np.zeros((len(begins), len(self.names))), doc
+        return marginals(np.add.reduceat(self.table[rows], begins, axis=0), *chains(line), self.transition)[0], doc
+
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         """The language whose words hold most of a text by their marginals, and its share; `und` without letters."""
-        rows, begins, line, doc = word_features(texts)
+        p, doc = self.words(texts)
         n, k = len(texts), len(self.names)
         buf, docs = tb.joined(texts)
         plain = ((buf >= 65) & (buf < 91)) | ((buf >= 97) & (buf < 123))
         sums = np.zeros((n, max(k, 1)))
-        if len(begins) and k:
-            p, _, _ = marginals(np.add.reduceat(self.table[rows], begins, axis=0), *chains(line, LONGEST), self.transition)
-            for j in range(k):
-                sums[:, j] = np.bincount(doc, weights=p[:, j], minlength=n)
+        for j in range(k):
+            sums[:, j] = np.bincount(doc, weights=p[:, j], minlength=n)
         best = sums.argmax(axis=1)
         share = sums[np.arange(n), best] / np.maximum(sums.sum(axis=1), 1e-300)
         count = np.concatenate([[0], np.cumsum(plain)])
@@ -97,7 +101,7 @@ def train(texts: list[str], langs: list[str], epochs: int = 3, batch: int = 32,
             rows, begins, line, doc = word_features(pa.array([texts[i] for i in some], pa.large_string()))
             if not len(begins):
                 continue
-            runs = chains(line, LONGEST)
+            runs = chains(line)
             p, expected, _ = marginals(np.add.reduceat(table[rows], begins, axis=0), *runs, transition, pairs=True)
             label = y[some][doc]
             # documents count alike, however long
@@ -139,8 +143,9 @@ def learn(docs: DataFrame, usable: Column, sample: int = SAMPLE) -> WordModel:
 def identify(docs: DataFrame, model: WordModel) -> DataFrame:
     """doc_id, lang_pred, score of every document: the language with the largest sum of word marginals, and its share.
 
-    `und` with score 0 if the text is null, empty or without letters, or if nothing could be learnt. Chains are the
-    words of a line, cut every 256. Repeated rows each give a row; an empty table gives none.
+    `und` with score 0 if the text is null, empty or without letters, or if nothing could be learnt. A chain is
+    all words of a line, however many. Languages with equal sums: the first by name. Repeated rows each give a row; an
+    empty table gives none.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -15,7 +15,11 @@ from strandloom.llm.crf import chains, marginals
 
 #: Labelled documents of each label that are learnt from, about; chosen by a hash of doc_id.
 SAMPLE = 600
-LONGEST = 256
+#: Probability that a line's label differs from its document's.
+NOISE = 0.1
+#: Ridge on the transitions. Labelled documents hardly ever change sides, which says little about those that do: what
+#: lines look like shall decide, and transitions no more than they must.
+RIGID = 0.03
 _OWN = 16
 
 _CLASS = np.zeros(256, dtype=np.int64)  # 0 other, 1 upper, 2 lower, 3 digit, 4 space, 5 sentence marks, 6 symbols, 7 bar, 8 exclamation
@@ -75,21 +79,31 @@ class LineModel:
     def __init__(self, weights: np.ndarray, transition: np.ndarray, slope: float = 1.0, offset: float = 0.0, none: float = 0.5) -> None:
         self.weights, self.transition, self.slope, self.offset, self.none = weights, transition, slope, offset, none
 
-    def share(self, texts: pa.Array) -> np.ndarray:
-        """Length-weighted mean of the lines' marginal probabilities of being good; texts without words: not a number."""
+    def lines(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Marginal probability of being good, length in bytes and text of every line that has a word."""
         x, size, doc = line_features(texts)
-        p, _, _ = marginals(x @ self.weights, *chains(doc, LONGEST), self.transition)
+        return marginals(x @ self.weights, *chains(doc), self.transition)[0][:, 1], size, doc
+
+    def share(self, texts: pa.Array) -> np.ndarray:
+        """Length-weighted mean of the lines' probabilities; texts without words: not a number."""
+        p, size, doc = self.lines(texts)
         total = np.bincount(doc, weights=size, minlength=len(texts))
         with np.errstate(invalid="ignore"):
-            return np.bincount(doc, weights=size * p[:, 1], minlength=len(texts)) / total
+            return np.bincount(doc, weights=size * p, minlength=len(texts)) / total
 
     def score(self, texts: pa.Array) -> np.ndarray:
         p = np.clip(self.share(texts), 1e-6, 1 - 1e-6)
         return np.where(np.isnan(p), self.none, 1 / (1 + np.exp(-(self.slope * np.log(p / (1 - p)) + self.offset))))
 
 
-def train(texts: list[str], labels: list[int], steps: int = 150, penalty: float = 1e-3) -> LineModel:
-    """Lines take their document's label; likelihood by Adam; then the share of good lines is calibrated against the labels."""
+def train(texts: list[str], labels: list[int], steps: int = 150, penalty: float = 1e-3, rigid: float = RIGID) -> LineModel:
+    """The lines' labels are latent: a document's label is seen on each of its lines, wrongly with probability NOISE.
+
+    The likelihood of what is seen is climbed by Adam; its gradient is the difference of two runs of forward-backward,
+    with and without the seen labels. So a line that looks like those of the other kind may have their label, and
+    transitions learn how often labels change inside documents. Then the share of good lines is calibrated against the
+    documents' labels.
+    """
     y = np.array(labels, dtype=np.int64)
     column = pa.array(texts, pa.large_string())
     x, size, doc = line_features(column)
@@ -97,18 +111,16 @@ def train(texts: list[str], labels: list[int], steps: int = 150, penalty: float
         flat = float(y.mean()) if len(y) else 0.5
         c = np.log((flat + 1e-3) / (1 - flat + 1e-3))
         return LineModel(np.zeros((x.shape[1], 2)), np.zeros((2, 2)), 0.0, c, flat)
-    runs = chains(doc, LONGEST)
-    target = np.eye(2)[y[doc]]
-    inner = np.ones(len(doc), dtype=bool)
-    inner[runs[0]] = False
-    at = np.flatnonzero(inner)
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (y[doc[at - 1]], y[doc[at]]), 1)
+    runs = chains(doc)
+    seen = np.log(np.where(np.eye(2, dtype=bool)[y[doc]], 1 - NOISE, NOISE))
     theta = np.zeros((x.shape[1] + 2, 2))
+    ridge = np.where(np.arange(len(theta)) < x.shape[1], penalty, rigid)[:, None]
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
-        p, expected, _ = marginals(x @ theta[:-2], *runs, theta[-2:], pairs=True)
-        g = np.concatenate([x.T @ (p - target), expected - seen]) / len(doc) + penalty * theta
+        emission = x @ theta[:-2]
+        free, moves, _ = marginals(emission, *runs, theta[-2:], pairs=True)
+        held, told, _ = marginals(emission + seen, *runs, theta[-2:], pairs=True)
+        g = np.concatenate([x.T @ (free - held), moves - told]) / len(doc) + ridge * theta
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         theta -= 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     model = LineModel(theta[:-2], theta[-2:])
@@ -147,7 +159,7 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMP
 def score(docs: DataFrame, model: LineModel) -> DataFrame:
     """doc_id, score (0 to 1, higher: better) of every document; a text without words has the model's rate for these.
 
-    Repeated rows each give a row; an empty table gives none. Chains of lines are cut every 256 lines.
+    Repeated rows each give a row; an empty table gives none. A document is one chain, however many lines it has.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.llm import decontaminate, fingerprint, language, lm, mixing, quality, reputation, sharding, simhash, tokens
@@ -12,6 +12,11 @@ from strandloom.llm.oracles import ORACLES
 from strandloom.llm.shared import id_crc, read
 
 
+def _held(mod: int, left: int) -> Column:
+    """Whether crc32 of doc_id leaves `left`; a row without doc_id isn't held out."""
+    return F.coalesce(id_crc(F.col("doc_id"), mod) == left, F.lit(False))
+
+
 def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_edits(read(spark, sf_dir, "documents"))
 
@@ -22,9 +27,9 @@ def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    model = quality.learn(docs, read(spark, sf_dir, "labels"), id_crc(F.col("doc_id"), 3) != 1)
+    model = quality.learn(docs, read(spark, sf_dir, "labels"), ~_held(3, 1))
     scored = quality.score(docs, model)
-    return scored.select("doc_id", (id_crc(F.col("doc_id"), 3) == 1).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+    return scored.select("doc_id", _held(3, 1).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
 def op4_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,8 +46,8 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    model = language.learn(docs, id_crc(F.col("doc_id"), 5) != 0)
-    return language.identify(docs, model).select("doc_id", (id_crc(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
+    model = language.learn(docs, ~_held(5, 0))
+    return language.identify(docs, model).select("doc_id", _held(5, 0).alias("held_out"), "lang_pred", "score")
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +61,7 @@ def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score(read(spark, sf_dir, "documents"), id_crc(F.col("doc_id"), 7) == 2)
+    return lm.score(read(spark, sf_dir, "documents"), _held(7, 2))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -454,6 +454,31 @@ def test_chains_against_enumeration():
         assert np.allclose(p, want / total) and np.allclose(pairs, both / total) and abs(z - math.log(total)) < 1e-9
 
 
+def test_long_chains_are_whole():
+    r = np.random.default_rng(6)
+    for k, lengths in ((2, [10_000, 3, 256, 257]), (4, [1, 513, 10_000])):
+        e, a = 3 * r.normal(size=(sum(lengths), k)), r.normal(size=(k, k)) + 3 * np.eye(k)
+        starts = np.cumsum(lengths) - lengths
+        p, pairs, z = crf.marginals(e, starts, np.array(lengths), a, pairs=True)
+        want, both, total = np.zeros((0, k)), np.zeros((k, k)), 0.0
+        for at, n in zip(starts, lengths, strict=True):
+            f, b = np.exp(e[at : at + n]), np.ones((n, k))
+            x = f.copy()
+            for t in range(n):
+                f[t] = x[t] * (f[t - 1] @ np.exp(a) if t else 1)
+                total += math.log(f[t].sum())
+                f[t] /= f[t].sum()
+            for t in range(n - 2, -1, -1):
+                b[t] = np.exp(a) @ (x[t + 1] * b[t + 1])
+                b[t] /= b[t].sum()
+            q = f * b
+            want = np.concatenate([want, q / q.sum(axis=1, keepdims=True)])
+            for t in range(n - 1):
+                y = f[t][:, None] * np.exp(a) * (x[t + 1] * b[t + 1])[None]
+                both += y / y.sum()
+        assert np.abs(p - want).max() < 1e-9 and np.allclose(pairs, both) and abs(z - total) < 1e-6
+
+
 def junk(seed):
     return " | ".join(np.random.default_rng(seed).choice(WORDS, 30)) + "\n" + "BUY!! NOW!! " * 10
 
@@ -470,6 +495,11 @@ def test_quality(spark, docs, empty):
     assert quality.score(empty, model).count() == 0
     kept = {r.doc_id for r in quality.keep_good(t.select("doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(1).cast("long").alias("n_chars")), model).collect()}
     assert kept == set(range(1, 200, 2))
+    halves = [("\n".join(text(900 + j, 40) + "." for j in range(6)), 1), ("\n".join(junk(j) for j in range(6)), 0)]
+    for (a, first), (b, second) in (halves, halves[::-1]):
+        p, _, _ = model.lines(pa.array([a + "\n" + b]))
+        k = a.count("\n") + 1
+        assert ((p[:k] >= 0.5) == first).mean() > 0.9 and ((p[k:] >= 0.5) == second).mean() > 0.9
     blind = quality.learn(empty, labels.limit(0), F.lit(True))
     assert {round(r.score, 3) for r in quality.score(docs, blind).collect()} == {0.5}
 
@@ -489,6 +519,9 @@ def test_language(spark, docs, empty):
     mixed = pa.array([make("aa", 900, 60) + " " + make("bb", 901, 20), "12 34 !!", None, "日本"])
     names, share = model.predict(mixed)
     assert names[0] == "aa" and 0.6 < share[0] < 0.9 and names[1:3] == ["und", "und"] and names[3] in parts and share[1] == 0
+    order = ["aa", "bb", "cc", "aa"]
+    p, _ = model.words(pa.array([" ".join(make(x, 950 + j, 250) for j, x in enumerate(order))]))
+    assert (p.argmax(axis=1) == np.repeat([model.names.index(x) for x in order], 250)).mean() > 0.97
     assert len(language.identify(docs, model).collect()) == len(table()) and language.identify(empty, model).count() == 0
     assert {r.lang_pred for r in language.identify(docs, language.learn(empty, F.lit(True))).collect()} == {"und"}
 
