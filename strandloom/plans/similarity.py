@@ -136,9 +136,8 @@ def full_ranking(s, d):
     return lsh.full_ranking(lsh.block_products(v, v))
 
 
-FULL_RANKING = f"""WITH {VECTORS}, sims AS (SELECT x.id AS a, y.id AS b, round(list_dot_product(x.vec, y.vec), 6) AS sim FROM vectors x, vectors y),
-best AS (SELECT * FROM sims QUALIFY row_number() OVER (PARTITION BY a ORDER BY sim DESC, b) <= 100)
-SELECT a, b, sim, (row_number() OVER (PARTITION BY a ORDER BY sim DESC, b))::INT AS rank FROM best WHERE a <> b"""
+FULL_RANKING = f"""WITH {VECTORS}, sims AS (SELECT x.id AS a, y.id AS b, round(list_dot_product(x.vec, y.vec), 6) AS sim FROM vectors x JOIN vectors y ON x.id <> y.id)
+SELECT a, b, sim, (row_number() OVER (PARTITION BY a ORDER BY sim DESC, b))::INT AS rank FROM sims"""
 
 
 def _part_features(s, d):
@@ -283,7 +282,7 @@ QUERIES = {
     "shared_density": (shared_density, f"WITH {SHARED}, w AS (SELECT a, b, sim * cosine AS sim FROM knn JOIN shared USING (a, b)) {DENSITY.format('w')}"),
     "smoothed_density": (smoothed_density, f"WITH {EXACT}, d AS ({DENSITY.format('knn')}) SELECT a AS id, round(sum(density::DECIMAL(18,9))::DOUBLE / count(density), 6) AS density FROM knn JOIN d ON d.id = b GROUP BY a"),
     "true_density": (true_density, TRUE_DENSITY),
-    "similarity_to_set": (similarity_to_set, f"WITH {EXACT} SELECT a, round(sum(sim::DECIMAL(18,9))::DOUBLE / count(sim), 6) AS avg_sim FROM knn JOIN vectors v ON v.id = b AND v.label = 0 GROUP BY a"),
+    "similarity_to_set": (similarity_to_set, f"WITH {VECTORS} SELECT x.id AS a, round(avg(list_dot_product(x.vec, y.vec)), 6) AS avg_sim FROM vectors x, vectors y WHERE y.label = 0 GROUP BY x.id"),
     "dense_centers": (dense_centers, None),
     "refined_centers": (refined_centers, None),
     "center_rankings": (center_rankings, None),
