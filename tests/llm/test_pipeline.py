@@ -71,6 +71,33 @@ def test_near_copies_down_to_08(spark):
     assert len(want) > 250 and {i for i, _ in rows} - kept == want
 
 
+def test_rows_are_told_apart_by_id_and_text(spark):
+    a, near, b = text(1, 80), text(1, 79), text(2, 90)
+    rows = [(1, a, "s"), (5, a, "s"), (5, b, "s"), (5, b, "t"), (7, near + " tail", "s"), (None, a, "s"), (None, a, "t"), (None, None, "s"), (8, None, "s"), (9, "", "s"), (10, "x" * 200_000, "s")]
+    docs = spark.createDataFrame([(i, t, "en", s, 1, "extra", "row", 3) for i, t, s in rows], DOCS + ", digest string, row string, near long").repartition(3)
+    out = corpus_pipeline.near_copies_stage(spark, docs, "")
+    assert out.columns == [x.split()[0] for x in DOCS.split(", ")]
+    want = Counter([(1, a, "s"), (5, b, "s"), (None, a, "s"), (None, a, "t"), (None, None, "s"), (8, None, "s"), (10, "x" * 200_000, "s")])
+    assert Counter((r.doc_id, r.text, r.source) for r in out.collect()) == want
+
+
+def test_stages_of_odd_rows(spark, folder):
+    root, item = folder
+    rows = [(1, text(1, 60)), (1, text(2, 60)), (1, text(1, 60)), (None, text(3, 60)), (None, text(3, 60)), (None, None), (2, ""), (3, item), (4, "a " * 50_000)]
+    docs = spark.createDataFrame([(i, t, "en", None, 1, 5, "z") for i, t in rows], DOCS + ", size long, shard string").repartition(2)
+    whole = Counter(rows)
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = [(r.doc_id, r.text) for r in stage(spark, docs, root).collect()]
+        if k == 1:
+            assert Counter(out) == Counter([(1, text(1, 60)), (1, text(2, 60)), (None, text(3, 60)), (None, text(3, 60)), (None, None), (2, ""), (3, item), (4, "a " * 50_000)])
+        elif k == 2:
+            assert Counter(out) == whole - Counter([(3, item)])
+        elif k == 3:
+            assert set(out) <= set(rows) and max(Counter(out).values()) <= 2 * max(whole.values())
+        elif k == 4:
+            assert Counter(out) == whole
+
+
 def test_run_equals_the_stages(spark, folder):
     root, _ = folder
     out = corpus_pipeline.run(spark, root)
