@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.shared import cut
+from strandloom.llm.shared import cut, salted_join
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,8 +16,8 @@ def components(edges: DataFrame) -> DataFrame:
         seen = mark
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = salted_join(both, least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         under = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(under, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = salted_join(large, under, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = cut(small.union(under.select("u", F.col("m").alias("v"))).distinct())
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -54,6 +54,17 @@ def id_crc(c: Column, mod: int) -> Column:
     return F.crc32(c.cast("string")) % mod
 
 
+#: Into how many parts the rows of one key are dealt where a join would bring them all together.
+SALTS = 8
+
+
+def salted_join(rows: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """rows joined by `key` with `small`, which has a row for each key: the rows of any key go to SALTS tasks."""
+    left = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.join(right, [key, "_salt"], how).drop("_salt")
+
+
 def ranged(df: DataFrame, *order: str) -> DataFrame:
     """Rows dealt into contiguous ranges of the order, with the range's number in _pid; stored, so the numbers stay.
 

@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from strandloom.llm.components import components
 from strandloom.llm import textbuf as tb
-from strandloom.llm.shared import cut
+from strandloom.llm.shared import cut, salted_join
 from strandloom.llm.textbuf import slices
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -141,8 +141,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, tile: int = TILE) ->
     nodes = own.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(links(nodes.select("fp"), radius, tile))
     named = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = named.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
+    least = named.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("n")).where("n > 1").drop("n")
+    named = salted_join(named, least, "root", "left").select(F.col("fp").alias("_fp"), F.coalesce("component_id", "first").alias("component_id"))
     return own.join(named, F.col("fp") == F.col("_fp")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -235,8 +235,10 @@ def confirmed_near_duplicates(docs: DataFrame, least: float = ALIKE, radius: int
     by_fp = rows.groupBy("fp").agg(F.min("row").alias("first"))
     roots = components(links(by_fp.select("fp"), radius, tile))
     of_fp = by_fp.select("fp").join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("of"))
-    first = of_fp.join(by_fp, "fp").groupBy("of").agg(F.min("first").alias("near"))
-    own = cut(rows.select("row", "doc_id", "digest", "fp", "bands").join(of_fp.join(first, "of").select("fp", "near"), "fp").select("row", "near", "doc_id", "digest", "bands"))
+    of_fp = of_fp.join(by_fp, "fp")
+    first = of_fp.groupBy("of").agg(F.min("first").alias("near"), F.count("*").alias("n")).where("n > 1").drop("n")
+    near = salted_join(of_fp, first, "of", "left").select("fp", F.coalesce("near", "first").alias("near"))
+    own = cut(rows.select("row", "doc_id", "digest", "fp", "bands").join(near, "fp").select("row", "near", "doc_id", "digest", "bands"))
     bands = own.select("row", F.explode("bands").alias("band"))
     ends = bands.groupBy("band").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).where("lo < hi")
     met = bands.join(ends, "band").select("row", F.explode(F.array("lo", "hi")).alias("end")).where("row <> end")
@@ -249,5 +251,6 @@ def confirmed_near_duplicates(docs: DataFrame, least: float = ALIKE, radius: int
     pairs = met.join(text.select(F.col("row").alias("a"), F.col("text").alias("x")), "a").join(text.select(F.col("row").alias("b"), F.col("text").alias("y")), "b")
     joined = components(_alike(pairs, least))
     groups = own.join(joined, F.col("near") == F.col("node"), "left").select("doc_id", "digest", F.coalesce("root", "near").alias("group"))
-    heads = groups.groupBy("group").agg(F.min(F.struct("doc_id", "digest")).alias("head"))
-    return groups.join(heads, "group").select("doc_id", "digest", F.col("head.doc_id").alias("root_id"), F.col("head.digest").alias("root_digest"))
+    heads = groups.groupBy("group").agg(F.min(F.struct("doc_id", "digest")).alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
+    headed = salted_join(groups, heads, "group", "left")
+    return headed.select("doc_id", "digest", F.coalesce("head.doc_id", "doc_id").alias("root_id"), F.coalesce("head.digest", "digest").alias("root_digest"))
