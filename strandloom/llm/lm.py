@@ -1,4 +1,4 @@
-"""Language-model scores of documents by a probabilistic suffix tree, beside a unigram base."""
+"""Language-model scores of documents by a probabilistic suffix tree over words, beside a unigram base."""
 
 from __future__ import annotations
 
@@ -11,20 +11,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.llm import textbuf as tb
-from strandloom.llm.shared import cut, parts
-from strandloom.llm.suffix_tree import END, Base, branch, keyed, laid, summed
+from strandloom.llm.shared import cut, parts, release
+from strandloom.llm.suffix_tree import END, Texts
 
 U = tb.U
-END_WORD = U(1)
-#: A context occurs so often at least, and tells so many nats; neither grows with the table.
-LEAST, NATS = 2, 10.0
-#: Bytes of the texts that ask for their probabilities together, and of those that a step holds.
-SLICE, STEP = 16 << 20, 2 << 20
-#: Log10 probabilities travel as whole numbers of 1 / SCALE.
-SCALE = 4096
+#: A context occurs so often at least, and gains so many nats; neither grows with the table.
+LEAST, NATS = 2, 2.0
+#: Bytes of the texts that ask for their counts together, and of those that a step holds.
+SLICE, STEP = 8 << 20, 2 << 20
+#: Gains travel as whole numbers of 1 / SCALE nats.
+SCALE = 256
 
-WORDS, RUNS, LOWS, TEXTS = range(4)
-_PACKED = "kind int, slice long, bucket int, ids array<long>, held array<boolean>, keys binary, counts binary"
+WORDS, RUNS, CONTEXTS = range(3)
+_SLICES = "slice long, ids array<long>, held array<boolean>, sizes array<int>, words binary, codes binary"
+_ASKS = "slice long, kind int, bucket int, keys binary, sums binary"
 
 
 def _squeezed(x: np.ndarray) -> bytes:
@@ -42,200 +42,158 @@ def _restored(x: bytes, kind: str) -> np.ndarray:
 
 
 def _keys(x: bytes) -> np.ndarray:
+    """Sorted keys, which travel as differences."""
     return np.cumsum(_restored(x, "<u8"), dtype=U)
 
 
-def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    buf, docs = tb.joined(texts)
-    buf = tb.LOWER[buf]
-    starts, ends = tb.words(buf, ~tb.SPACE)
-    return buf, starts, ends, tb.owner(starts, docs)
-
-
-def _buckets(kind: int, keys: np.ndarray, n: int) -> np.ndarray:
-    """Runs by the LOW + 1 symbols before the last, so all keys of a longer context share a bucket."""
-    if kind == RUNS:
-        keys = tb.mix((keys >> U(8)) & U((1 << (8 * (Base.LOW + 1))) - 1))
-    return (keys % U(n)).astype(np.int64)
-
-
-def _dealt(kind: int, keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The order that brings sorted keys together by bucket, sorted in each, and where each bucket begins."""
-    bucket = _buckets(kind, keys, n)
-    order = np.argsort(bucket.astype(np.uint16) if n < 1 << 16 else bucket, kind="stable")
-    return order, np.searchsorted(bucket[order], np.arange(n + 1))
-
-
-def _rows(kind: int, slice_id: int, buckets: list, ids: list, held: list, keys: list, counts: list) -> pa.RecordBatch:
-    m = len(buckets)
-    return pa.RecordBatch.from_arrays([pa.array([kind] * m, pa.int32()), pa.array([slice_id] * m, pa.int64()), pa.array(buckets, pa.int32()), pa.array(ids, pa.list_(pa.int64())), pa.array(held, pa.list_(pa.bool_())), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())], ["kind", "slice", "bucket", "ids", "held", "keys", "counts"])
-
-
-def _counted(keys: np.ndarray, held: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Different keys with their counts in training: 0 for those of held-out documents."""
-    k, c = np.unique(keys[~held], return_counts=True)
-    rest = np.unique(keys[held])
-    return [(k, c.astype(np.int64)), (rest, np.zeros(len(rest), np.int64))]
-
-
-def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    return summed(*map(np.concatenate, zip(*found, strict=True)))
-
-
-def _sent(kind: int, slice_id: int, keys: np.ndarray, counts: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
-    order, edge = _dealt(kind, keys, n)
-    keys, counts = keys[order], counts[order]
-    has = [b for b in range(n) if edge[b] < edge[b + 1]]
-    for lo in range(0, len(has), 64):
-        some = has[lo : lo + 64]
-        m = len(some)
-        yield _rows(kind, slice_id, some, [None] * m, [None] * m, [_squeezed(np.diff(keys[edge[b] : edge[b + 1]], prepend=U(0))) for b in some], [_squeezed(counts[edge[b] : edge[b + 1]]) for b in some])
-
-
-def pack(rows: DataFrame, n: int) -> DataFrame:
-    """Slices of about SLICE bytes: the normalised texts (TEXTS, a row for each), their different words (WORDS, by hash)
-    and short symbol runs (LOWS) with their counts in training, by bucket."""
+def pack(rows: DataFrame) -> DataFrame:
+    """Slices of about SLICE bytes of texts: their documents, the hashes of their different words, and codes of all words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slice_id = TaskContext.get().partitionId() << 32
-        texts: list[np.ndarray] = []
+        found: list[tuple[np.ndarray, np.ndarray]] = []
         ids: list[int | None] = []
         flags: list[bool] = []
-        found: dict[int, list] = {WORDS: [], LOWS: []}
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            yield _rows(TEXTS, slice_id, [-1], [ids], [flags], [_squeezed(np.concatenate(texts))], [b""])
-            for kind in found:
-                yield from _sent(kind, slice_id, *_merged(found[kind]), n)
+        held = 0
+
+        def flush() -> pa.RecordBatch:
+            coded = pa.array(np.concatenate([h for h, _ in found])).dictionary_encode()
+            words = np.asarray(coded.dictionary)
+            order = np.argsort(words)
+            rank = np.empty(len(order), np.uint32)
+            rank[order] = np.arange(len(order))
+            words = words[order]
+            sizes = np.concatenate([n for _, n in found]).astype(np.int32)
+            return pa.RecordBatch.from_arrays([
+                pa.array([slice_id], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([flags], pa.list_(pa.bool_())), pa.array([sizes], pa.list_(pa.int32())),
+                pa.array([_squeezed(np.diff(words, prepend=U(0)))], pa.binary()), pa.array([_squeezed(rank[np.asarray(coded.indices)])], pa.binary()),
+            ], ["slice", "ids", "held", "sizes", "words", "codes"])
 
         for batch in batches:
             col = batch.column("text")
             for lo, hi in tb.slices(col, STEP):
-                buf, starts, ends, counts = _words(col.slice(lo, hi - lo))
-                raw, begins = laid(buf, starts, ends, counts)
-                held = np.array(batch.column("held_out").slice(lo, hi - lo).to_pylist(), dtype=bool)
-                low = keyed(np.maximum(raw, 1), Base.LOW)[~np.repeat(held, np.diff(np.append(begins, len(raw))))]
-                k, c = np.unique(low.astype(np.uint32), return_counts=True)
-                found[LOWS].append((k.astype(U), c.astype(np.int64)))
-                # the end of each text is a token too
-                found[WORDS] += _counted(np.concatenate([tb.hashes(buf, starts, ends), np.full(hi - lo, END_WORD)]), np.concatenate([np.repeat(held, counts), held]))
-                texts.append(raw)
+                buf, docs = tb.joined(col.slice(lo, hi - lo))
+                buf = tb.LOWER[buf]
+                starts, ends = tb.words(buf, ~tb.SPACE)
+                counts = tb.owner(starts, docs)
+                found.append((np.insert(tb.hashes(buf, starts, ends), np.cumsum(counts), END), counts + 1))
                 ids += batch.column("doc_id").slice(lo, hi - lo).to_pylist()
-                flags += held.tolist()
-                if sum(map(len, texts)) >= SLICE:
-                    yield from flush()
-                    slice_id += 1
-                    texts, ids, flags, found = [], [], [], {WORDS: [], LOWS: []}
+                flags += batch.column("held_out").slice(lo, hi - lo).to_pylist()
+                held += len(buf)
+                if held >= SLICE:
+                    yield flush()
+                    slice_id, found, ids, flags, held = slice_id + 1, [], [], [], 0
         if ids:
-            yield from flush()
+            yield flush()
 
-    return rows.mapInArrow(run, _PACKED)
+    return rows.mapInArrow(run, _SLICES)
 
 
-def _steps(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
-    """Where the texts of a slice begin and stop, and ranges of them of about STEP bytes."""
-    stops = np.flatnonzero(raw == END) + 1
-    begins = np.concatenate([[0], stops[:-1]])
-    ranges, lo = [], 0
-    while lo < len(stops):
-        hi = min(max(int(np.searchsorted(stops, begins[lo] + STEP, "right")), lo + 1), len(stops))
-        ranges.append((lo, hi))
-        lo = hi
-    return begins, stops, ranges
+def _texts(row: dict) -> Texts:
+    return Texts(_keys(row["words"]), _restored(row["codes"], "<u4"), np.array(row["sizes"], dtype=np.int64), np.array(row["held"], dtype=bool))
 
 
-def runs(packed: DataFrame, n: int) -> DataFrame:
-    """The different symbol runs (RUNS) of the packed texts with their counts in training, by slice and bucket."""
+def _edges(keys: np.ndarray, top: int, n: int) -> np.ndarray:
+    """Where each bucket begins in the sorted keys of `top` bits: buckets are ranges of hashes."""
+    return np.append(np.searchsorted(keys, np.array([b * (1 << top) // n for b in range(n)], dtype=U)), len(keys))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                raw, held = _restored(row["keys"], "u1"), np.array(row["held"], dtype=bool)
-                begins, stops, ranges = _steps(raw)
-                found = []
-                for lo, hi in ranges:
-                    found += _counted(keyed(np.maximum(raw[begins[lo] : stops[hi - 1]], 1)), np.repeat(held[lo:hi], stops[lo:hi] - begins[lo:hi]))
-                for out in _sent(RUNS, row["slice"], *_merged(found), n):
-                    yield out.select(["slice", "kind", "bucket", "keys", "counts"])
 
-    return packed.where(F.col("kind") == TEXTS).select("slice", "held", "keys").mapInArrow(run, "slice long, kind int, bucket int, keys binary, counts binary")
+def _sent(slice_id: int, kind: int, keys: np.ndarray, sums: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
+    edge = _edges(keys, 64 if kind == WORDS else 63, n)
+    has = np.flatnonzero(edge[1:] > edge[:-1]).tolist()
+    for lo in range(0, len(has), 64):
+        some = has[lo : lo + 64]
+        m = len(some)
+        yield pa.RecordBatch.from_arrays([
+            pa.array([slice_id] * m, pa.int64()), pa.array([kind] * m, pa.int32()), pa.array(some, pa.int32()),
+            pa.array([_squeezed(np.diff(keys[edge[b] : edge[b + 1]], prepend=U(0))) for b in some], pa.binary()), pa.array([_squeezed(sums[edge[b] : edge[b + 1]]) for b in some], pa.binary()),
+        ], ["slice", "kind", "bucket", "keys", "sums"])
 
 
-def _totals(packed: DataFrame) -> tuple[int, int, Base]:
-    """Tokens and different words of training, and the base of the tree, which the alphabet bounds."""
+def _received(answers: list[dict], kind: int, number: str) -> np.ndarray:
+    """What came back for the sorted keys of a kind: buckets are ranges, so their answers follow one another."""
+    own = sorted((r["bucket"], r["found"]) for r in answers if r["kind"] == kind)
+    return np.concatenate([np.zeros(0, number), *[_restored(x, number) for _, x in own]])
 
-    def merge(t: pa.Table) -> pa.Table:
-        k, c = summed(np.concatenate([_keys(x.as_py()) for x in t.column("keys")]), np.concatenate([_restored(x.as_py(), "<i8") for x in t.column("counts")]))
-        k, c = k[c > 0], c[c > 0]
-        low = t.column("kind")[0].as_py() == LOWS
-        return pa.table({"total": pa.array([0 if low else int(c.sum())], pa.int64()), "v": pa.array([0 if low else len(k)], pa.int64()), "keys": pa.array([k.tobytes() if low else b""], pa.binary()), "counts": pa.array([c.tobytes() if low else b""], pa.binary())})
 
-    rows = packed.where(F.col("kind").isin(WORDS, LOWS)).select("kind", "bucket", "keys", "counts").groupBy("kind", "bucket").applyInArrow(merge, "total long, v long, keys binary, counts binary").toArrow().to_pylist()
-    base = Base(*summed(np.concatenate([np.zeros(0, U), *[np.frombuffer(r["keys"], "<u8") for r in rows]]), np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(r["counts"], "<i8") for r in rows]])))
-    return sum(r["total"] for r in rows), sum(r["v"] for r in rows), base
+def _answered(asks: DataFrame, nats: float) -> DataFrame:
+    """slice, kind, bucket, found, total, kinds: to each slice the sums of its keys over all slices, or for contexts whether they are kept.
+
+    total and kinds are a bucket's sum and its number of keys with a sum above zero.
+    """
+
+    def answer(t: pa.Table) -> pa.Table:
+        own = [_keys(x.as_py()) for x in t.column("keys")]
+        size = np.cumsum([len(x) for x in own])[:-1]
+        keys = np.concatenate(own)
+        order = np.argsort(keys)
+        keys = keys[order]
+        edge = np.append(True, keys[1:] != keys[:-1])
+        sums = np.add.reduceat(np.concatenate([_restored(x.as_py(), "<i8") for x in t.column("sums")])[order], np.flatnonzero(edge))
+        kind = t.column("kind")[0].as_py()
+        values = (sums >= nats * SCALE).astype(np.uint8) if kind == CONTEXTS else sums
+        back = np.empty(len(order), values.dtype)
+        back[order] = values[np.cumsum(edge) - 1]
+        m = len(own)
+        return pa.table({
+            "slice": t.column("slice"), "kind": t.column("kind"), "bucket": t.column("bucket"), "found": pa.array([_squeezed(x) for x in np.split(back, size)], pa.binary()),
+            "total": pa.array([int(sums.sum())] * m, pa.int64()), "kinds": pa.array([int((sums > 0).sum())] * m, pa.int64()),
+        })
+
+    return asks.groupBy("kind", "bucket").applyInArrow(answer, "slice long, kind int, bucket int, found binary, total long, kinds long")
 
 
 def score(docs: DataFrame, held_out: Column, least: int = LEAST, nats: float = NATS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document.
 
     Learns from the documents for which held_out isn't true. Tokens are words and an end for each text (null: empty).
-    base_score is a unigram model with one added to each count. score is the log10 probability that the suffix tree
-    gives the bytes of the words, with a space between, and the end; the two are probabilities of the same tokens.
-    The tree is never in one place: each bucket of contexts grows its branches from the counts of all texts and answers
-    the slices of texts that have them. Repeated rows each give a row and count; without training rows scores are uniform.
+    base_score is a unigram model with one added to each count; it is the tree's root. Below it are contexts of one and
+    two words. Each mixes the shorter context's distribution into its own counts; it is kept if it occurs `least` times
+    and gains `nats` over the shorter one, by counts that leave out the place that is judged; the longest kept context
+    scores a word. So both scores are log10 probabilities of the same tokens.
+    Repeated rows each give a row and count; without training rows all probabilities are one, as the base has it.
+
+    The tree is never in one place. Slices of texts send the counts of their words and runs of words to buckets of
+    hashes and get the corpus's counts back; then the gains of their contexts, and learn which are kept. What a bucket
+    has of a key is a row for each slice at most, so no word, run or context is hot.
     """
-    n = parts(docs.sparkSession)
-    packed = cut(pack(docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out")), n))
-    total, kinds, base = _totals(packed)
-    sent = docs.sparkSession.sparkContext.broadcast(base)
-    scale = float(np.log10(total + kinds + 1))
+    spark = docs.sparkSession
+    n = parts(spark)
+    packed = cut(pack(docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))))
 
-    def answer(t: pa.Table) -> pa.Table:
-        """To each slice, for its keys of this bucket in order: counts of words, or log10 probabilities of runs."""
-        own = [_keys(x.as_py()) for x in t.column("keys")]
-        keys, counts = summed(np.concatenate(own), np.concatenate([_restored(x.as_py(), "<i8") for x in t.column("counts")]))
-        kind = t.column("kind")[0].as_py()
-        values = counts if kind == WORDS else np.rint(-SCALE * branch(keys, counts, sent.value, least, nats)).astype(np.int64)
-        return pa.table({"slice": t.column("slice"), "kind": t.column("kind"), "bucket": t.column("bucket"), "found": pa.array([_squeezed(values[np.searchsorted(keys, k)]) for k in own], pa.binary())})
-
-    def join(left: pa.Table, right: pa.Table) -> pa.Table:
-        raw = _restored(left.column("keys")[0].as_py(), "u1")
-        begins, stops, ranges = _steps(raw)
-        m = len(stops)
-        sums = np.zeros((m, 4))
-        answers = right.select(["kind", "bucket", "found"]).to_pylist()
-        for kind in (WORDS, RUNS):
-            asked = []
-            for lo, hi in ranges:
-                part = raw[begins[lo] : stops[hi - 1]]
-                if kind == WORDS:
-                    starts, ends = tb.words(part, ~tb.SPACE)
-                    size = tb.owner(starts, np.append(begins[lo:hi], stops[hi - 1]) - begins[lo])
-                    # each text's end behind its words
-                    k = np.insert(tb.hashes(part, starts, ends), np.cumsum(size), END_WORD)
-                    size = size + 1
-                else:
-                    k, size = keyed(np.maximum(part, 1)), stops[lo:hi] - begins[lo:hi]
-                k, back = np.unique(k, return_inverse=True)
-                asked.append((lo, hi, k, back.astype(np.int32), np.cumsum(size) - size, size))
-            keys = np.unique(np.concatenate([x[2] for x in asked]))
-            order, edge = _dealt(kind, keys, n)
-            table = np.empty(len(keys), np.int64)
-            for r in answers:
-                if r["kind"] == kind:
-                    table[order[edge[r["bucket"]] : edge[r["bucket"] + 1]]] = _restored(r["found"], "<i8")
-            values = np.log10(table + 1) - scale if kind == WORDS else table / -SCALE
-            for lo, hi, k, back, first, size in asked:
-                at = np.searchsorted(keys, k)
-                if kind == WORDS:
-                    sums[lo:hi, 0] = size
-                    sums[lo:hi, 1] = np.add.reduceat((table[at] > 0).astype(np.int64)[back], first)
-                sums[lo:hi, 2 if kind == WORDS else 3] = np.add.reduceat(values[at][back], first)
+    def asks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                t = _texts(row)
+                yield from _sent(row["slice"], WORDS, t.words, t.counts(), n)
+                yield from _sent(row["slice"], RUNS, *t.asked(), n)
+
+    counted = cut(_answered(packed.mapInArrow(asks, _ASKS), nats))
+    release(spark)  # what was asked lies behind the cut now
+    whole = counted.where(F.col("kind") == WORDS).groupBy("bucket").agg(F.first("total").alias("total"), F.first("kinds").alias("kinds")).agg(F.coalesce(F.sum("total"), F.lit(0)).alias("total"), F.coalesce(F.sum("kinds"), F.lit(0)).alias("kinds")).first()
+    total, kinds = whole["total"], whole["kinds"]
+
+    def told(left: pa.Table, answers: list[dict]) -> Texts:
+        t = _texts(left.to_pylist()[0])
+        t.told(_received(answers, WORDS, "<i8"), _received(answers, RUNS, "<i8"), total, kinds)
+        return t
+
+    def gains(left: pa.Table, right: pa.Table) -> pa.Table:
+        keys, sums = told(left, right.to_pylist()).gains(least)
+        rows = list(_sent(left.column("slice")[0].as_py(), CONTEXTS, keys, np.rint(sums * SCALE).astype(np.int64), n))
+        return pa.Table.from_batches(rows, schema=rows[0].schema if rows else pa.schema([("slice", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("sums", pa.binary())]))
+
+    def result(left: pa.Table, right: pa.Table) -> pa.Table:
+        answers = right.to_pylist()
+        t = told(left, answers)
+        known, base, best = t.scores(_received(answers, CONTEXTS, "u1").astype(bool), least)
+        m = len(known)
         return pa.table({
-            "doc_id": pa.array(left.column("ids")[0].as_py(), pa.int64()), "held_out": pa.array(left.column("held")[0].as_py(), pa.bool_()), "n_tokens": pa.array(sums[:, 0].astype(np.int64)), "n_known": pa.array(np.rint(sums[:, 1]).astype(np.int64)),
-            "train_tokens": pa.array([total] * m, pa.int64()), "base_score": pa.array(sums[:, 2]), "score": pa.array(sums[:, 3]),
+            "doc_id": pa.array(left.column("ids")[0].as_py(), pa.int64()), "held_out": pa.array(left.column("held")[0].as_py(), pa.bool_()), "n_tokens": pa.array(t.sizes), "n_known": pa.array(known),
+            "train_tokens": pa.array([total] * m, pa.int64()), "base_score": pa.array(base), "score": pa.array(best),
         })
 
-    asking = packed.where(F.col("kind") == WORDS).select("slice", "kind", "bucket", "keys", "counts").union(runs(packed, n))
-    found = asking.groupBy("kind", "bucket").applyInArrow(answer, "slice long, kind int, bucket int, found binary")
-    return packed.where(F.col("kind") == TEXTS).select("slice", "ids", "held", "keys").groupBy("slice").cogroup(found.groupBy("slice")).applyInArrow(join, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    own = packed.groupBy("slice")
+    found = counted.select("slice", "kind", "bucket", "found")
+    kept = _answered(own.cogroup(found.groupBy("slice")).applyInArrow(gains, _ASKS), nats).select("slice", "kind", "bucket", "found")
+    return own.cogroup(found.union(kept).groupBy("slice")).applyInArrow(result, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

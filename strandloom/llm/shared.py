@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -28,6 +30,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files that lie behind cuts and that nobody refers to any more.
+
+    Spark does so when the driver's collector finds out, which on a large heap may take longer than the job. What one
+    collection finds may be what held the next thing, and it goes in the background: hence three, with a pause.
+    """
+    for _ in range(3):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.7)
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
     """The same rows as a Parquet table of the shared folder."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -1,265 +1,135 @@
-"""A probabilistic suffix tree over the bytes of normalised text: in parts by context, or whole as a table-driven machine."""
+"""A probabilistic suffix tree over words, of which each slice of the texts holds what its own words need."""
 
 from __future__ import annotations
 
 import numpy as np
 
-U = np.uint64
-#: Symbols of the longest context; a context and the symbol behind it fit into one 64-bit key.
-DEPTH = 7
-SPACE, END = 32, 10
-LANE = 512
-
-
-def laid(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Texts given by their words, and where each text begins: words with one space between, then END.
-
-    White space occurs in no word, so SPACE and END are unambiguous.
-    """
-    n = len(counts)
-    empty = np.flatnonzero(counts == 0)
-    first = np.cumsum(counts) - counts
-    at = np.insert(starts, first[empty], 0)
-    size = np.insert(ends - starts, first[empty], 0) + 1
-    lasts = np.cumsum(np.maximum(counts, 1)) - 1
-    stop = np.cumsum(size)
-    begin = stop - size
-    out = np.full(int(stop[-1]) if n else 0, SPACE, dtype=np.uint8)
-    inner = np.ones(len(out), dtype=bool)
-    inner[stop - 1] = False
-    place = np.flatnonzero(inner)
-    out[place] = buf[place + np.repeat(at - begin, size - 1)]
-    out[stop[lasts] - 1] = END
-    return out, np.concatenate([[0], stop[lasts]])[:-1].astype(np.int64) if n else np.zeros(0, np.int64)
-
-
-def symbols(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols of texts as laid(), where a zero byte counts as byte 1, and where each text begins."""
-    out, begins = laid(buf, starts, ends, counts)
-    return np.maximum(out, 1), begins
-
-
-def keyed(text: np.ndarray, depth: int = DEPTH) -> np.ndarray:
-    """The key of each symbol: itself in the lowest byte, the ones before it above; none reaches beyond the END before it."""
-    if not len(text):
-        return np.zeros(0, U)
-    padded = np.concatenate([np.full(depth, END, np.uint8), text]).astype(U)
-    place = np.arange(len(text))
-    ends = np.where(text == END, place, -1)
-    since = place - np.concatenate([[-1], np.maximum.accumulate(ends)[:-1]])
-    key = padded[depth:].copy()
-    for j in range(1, depth + 1):
-        key |= np.where(since >= j, padded[depth - j : len(padded) - j] << U(8 * j), U(0))
-    return key
-
-
-def grams(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The different keys and their counts."""
-    key, counts = np.unique(keyed(text), return_counts=True)
-    return key, counts.astype(np.int64)
-
-
-def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(keys):
-        return keys, counts
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[first], np.add.reduceat(counts, first)
-
-
-def at_depth(keys: np.ndarray, counts: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of contexts of exactly d symbols and their next symbol."""
-    whole = (keys >> U(8 * d)) & U(255) != 0
-    return summed(keys[whole] & U((1 << (8 * (d + 1))) - 1), counts[whole])
-
-
-def _found(held: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where the keys are in a sorted array, and whether they are."""
-    if not len(held):
-        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-    at = np.minimum(np.searchsorted(held, keys), len(held) - 1)
-    return at, held[at] == keys
+from strandloom.llm.textbuf import mix
 
-
-class Level:
-    """Contexts of d symbols with their counts, numbers of different next symbols, and the counts of those."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, d: int) -> None:
-        self.mask = U((1 << (8 * (d + 1))) - 1)
-        self.d = d
-        self.keys, self.counts = at_depth(keys, counts, d)
-        context = self.keys >> U(8)
-        self.first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(context) else np.zeros(0, np.int64)
-        self.context = context[self.first]
-        self.kinds = np.diff(np.append(self.first, len(context)))
-        self.n = np.add.reduceat(self.counts, self.first) if len(context) else np.zeros(0, np.int64)
-
-    def mixed(self, keys: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Probabilities of the keys' symbols given p, those by the shorter context; number of the context; is it here."""
-        own = keys & self.mask
-        c, here = _found(self.context, own >> U(8))
-        at, seen = _found(self.keys, own)
-        if not len(self.context):
-            return p, c, here
-        times = np.where(seen, self.counts[at], 0)
-        return np.where(here, (times + self.kinds[c] * p) / (self.n[c] + self.kinds[c]), p), c, here
-
-
-class Base:
-    """Distributions behind contexts of LOW symbols or less, which are always kept: as many as the alphabet allows."""
-
-    LOW = 2
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        seen = np.bincount((keys & U(255)).astype(np.int64), weights=counts, minlength=256)
-        self.p = (seen + 1) / (seen.sum() + 255)
-        self.levels = [Level(keys, counts, d) for d in range(1, self.LOW + 1)]
-
-    def of(self, keys: np.ndarray) -> np.ndarray:
-        p = self.p[(keys & U(255)).astype(np.int64)]
-        for level in self.levels:
-            p = level.mixed(keys, p)[0]
-        return p
-
-
-def branch(keys: np.ndarray, counts: np.ndarray, base: Base, least: int, nats: float) -> np.ndarray:
-    """log10 probabilities of sorted keys by the part of the tree whose contexts of more than LOW symbols they hold.
-
-    counts are those of training (0: not in it). The keys must hold all keys of a context of LOW + 1 symbols or none. A
-    context is kept if it occurs `least` times at least and the divergence of its next-symbol distribution from that
-    of the context without its oldest symbol, times its count, is `nats` at least, or if a longer kept context ends in
-    it. So what is kept hangs on the context's own counts, never on the size of the table. Distributions are
-    interpolated as in Tree; the longest kept context decides.
-    """
-    # by symbol, then from the newest to the oldest before it: symbols behind a context of any length lie together
-    turned = keys.byteswap()
-    order = np.argsort(turned)
-    turned, counts = turned[order], counts[order]
-    back = turned << U(8)
-    across = np.argsort(back)  # and so do contexts
-
-    def parts(x: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        top = x >> U(64 - 8 * size)
-        fresh = np.concatenate([[True], top[1:] != top[:-1]])
-        return np.flatnonzero(fresh), np.cumsum(fresh) - 1
-
-    first, pair = parts(turned, base.LOW + 1)
-    p = base.of(turned[first].byteswap() & U((1 << (8 * (base.LOW + 1))) - 1))
-    levels = []
-    inner = None
-    for d in range(base.LOW + 1, DEPTH + 1):
-        above = pair
-        first, pair = parts(turned, d + 1)
-        at, number = parts(back[across], d)
-        context = np.empty(len(keys), np.int64)
-        context[across] = number
-        of = context[first]
-        times = np.add.reduceat(counts, first)
-        seen = times > 0
-        size = len(at)
-        n, kinds = np.bincount(of, times, size), np.bincount(of[seen], minlength=size)
-        shorter = p[above[first]]
-        here = (n > 0) & ((back[across[at]] >> U(64 - 8 * d)) & U(255) > 0)
-        weight = np.maximum(n + kinds, 1)
-        p = np.where(here[of], (times + kinds[of] * shorter) / weight[of], shorter)
-        # what was never seen behind the context keeps the shorter one's distribution, times kinds / (n + kinds)
-        gain = np.bincount(of[seen], p[seen] * np.log(p[seen] / shorter[seen]), size)
-        gain = gain + np.maximum(1 - np.bincount(of[seen], p[seen], size), 0) * np.log(np.where(here, kinds / weight, 1))
-        good = here & (n >= least) & (n * gain >= nats)
-        levels.append((good, context, pair, p, None if inner is None else inner[across[at]]))
-        inner = context
-    for (good, *_, shorter), (above, *_) in zip(levels[:0:-1], levels[-2::-1], strict=True):
-        above[shorter[good]] = True
-    first, pair = parts(turned, base.LOW + 1)
-    out = base.of(turned[first].byteswap() & U((1 << (8 * (base.LOW + 1))) - 1))[pair]
-    for good, context, pair, p, _ in levels:
-        out = np.where(good[context], p[pair], out)
-    told = np.empty(len(keys))
-    told[order] = np.log10(out)
-    return told
+U = np.uint64
+#: What stands before the first and behind the last word of a text.
+START, END = U(2), U(1)
+#: A context of N occurrences gives the shorter one the weight N ** WEIGHT, about its number of different next words.
+WEIGHT = 0.9
+_PAIR, _TRIPLE, _LONE = U(0x9E3779B97F4A7C15), U(0xD1B54A32D192ED03), U(0xA0761D6478BD642F)
 
 
-class Tree:
-    """States are the kept contexts, closed under taking suffixes; the root is state 0.
+class Texts:
+    """Texts as runs of words, an END behind each; places number all words and ends, one text after another.
 
-    A context is kept if its relative frequency is `rare` at least (so a level has 1 / rare contexts at most) and the
-    divergence of its next-symbol distribution from that of the context without its oldest symbol, times its count, is
-    at least `nats` and, times its frequency, at least `rare / 10`: it must be neither noise nor without effect; or if
-    a longer kept context ends in it. Distributions are interpolated with those of the shorter context, each with the
-    weight of its number of different next symbols, down to the uniform one over 255 symbols.
+    words: sorted hashes of the different words; codes: the word of each place; sizes: places of each text; held: texts
+    that nothing is learnt from. A run of two or three words that ends at a place is known by a 63-bit hash; those of
+    two are contexts too. A text's first word has START before it, and no run of three ends there.
     """
 
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]], rare: float, nats: float = 10.0) -> None:
-        total = max(int(levels[0][1].sum()), 1)
-        used = np.unique((levels[0][0] & U(255)).astype(np.int64))
-        self.symbol = np.full(256, len(used), dtype=np.int64)  # the last class is any symbol never seen
-        self.symbol[used] = np.arange(len(used))
-        width = len(used) + 1
-        alphabet = np.append(used, 0)
-        seen = np.zeros(width)
-        seen[self.symbol[used]] = levels[0][1]
-        base = (seen + 1) / (total + 255)
-        base[-1] = 1 / (total + 255)
-        made: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.zeros(1, U), base[None, :], np.zeros(1, np.int64))]
-        for keys, counts in levels[1:]:
-            context, back = np.unique(keys >> U(8), return_inverse=True)
-            n = np.bincount(back, weights=counts, minlength=len(context))
-            d = len(made)
-            keep = n >= rare * total
-            above = made[-1]
-            shorter = context & U((1 << (8 * (d - 1))) - 1)
-            parent = np.minimum(np.searchsorted(above[0], shorter), len(above[0]) - 1)
-            keep &= above[0][parent] == shorter
-            row = np.cumsum(keep) - 1
-            c = np.zeros((int(keep.sum()), width))
-            own = keep[back]
-            c[row[back[own]], self.symbol[(keys[own] & U(255)).astype(np.int64)]] = counts[own]
-            n, parent = n[keep], parent[keep]
-            kinds = (c > 0).sum(axis=1)
-            p = (c + kinds[:, None] * above[1][parent]) / (n + kinds)[:, None]
-            gain = n * (p * np.log(p / above[1][parent])).sum(axis=1)
-            good = (gain >= nats) & (gain >= rare / 10 * total)
-            made.append((context[keep], p, parent))
-            made[-1] = (*made[-1], good)  # type: ignore[assignment]
-        # suffixes of what is kept are kept
-        good = [np.ones(1, bool), *[m[3] for m in made[1:]]]
-        for d in range(len(made) - 1, 1, -1):
-            good[d - 1][made[d][2][good[d]]] = True
-        number = [np.cumsum(g) - 1 for g in good]
-        bases = np.concatenate([[0], np.cumsum([int(g.sum()) for g in good])])
-        states = int(bases[-1])
-        self.log = np.zeros((states, width), dtype=np.float32)
-        self.next = np.zeros((states, width), dtype=np.int32)
-        contexts = [m[0][g] for m, g in zip(made, good, strict=True)]
-        for d, (m, g) in enumerate(zip(made, good, strict=True)):
-            lo, hi = bases[d], bases[d + 1]
-            self.log[lo:hi] = np.log10(m[1][g])
-            if d:
-                self.next[lo:hi] = self.next[bases[d - 1] + number[d - 1][m[2][g]]]
-            if d + 1 < len(made) and len(contexts[d + 1]):
-                longer = contexts[d][:, None] << U(8) | alphabet.astype(U)[None, :]
-                found = np.minimum(np.searchsorted(contexts[d + 1], longer), len(contexts[d + 1]) - 1)
-                hit = (contexts[d + 1][found] == longer) & (alphabet > 0)[None, :]
-                self.next[lo:hi][hit] = (bases[d + 1] + found)[hit]
-        self.width = width
-
-    def score(self, text: np.ndarray, begins: np.ndarray) -> np.ndarray:
-        """log10 probability of each text, in lanes side by side: a state depends on DEPTH symbols at most, so a lane
-        is exact once it has read those before its first."""
-        if not len(text):
-            return np.zeros(len(begins))
-        lanes = -(-len(text) // LANE)
-        padded = np.concatenate([np.full(DEPTH, END, np.uint8), text, np.full(lanes * LANE - len(text), END, np.uint8)])
-        coded = self.symbol[padded]
-        logs, follow = self.log.ravel(), self.next.ravel()
-        state = np.zeros(lanes, dtype=np.int64)
-        out = np.empty((lanes, LANE), dtype=np.float32)
-        first = np.arange(lanes) * LANE
-        for t in range(DEPTH):
-            state = follow[state * self.width + coded[first + t]].astype(np.int64)
-        for t in range(LANE):
-            at = state * self.width + coded[first + (DEPTH + t)]
-            out[:, t] = logs[at]
-            state = follow[at].astype(np.int64)
-        return np.add.reduceat(out.ravel()[: len(text)].astype(np.float64), begins)
+    def __init__(self, words: np.ndarray, codes: np.ndarray, sizes: np.ndarray, held: np.ndarray) -> None:
+        self.words, self.codes, self.sizes = words, codes, sizes
+        self.begins = np.cumsum(sizes) - sizes
+        self.learnt = ~np.repeat(held, sizes)
+        n = len(codes)
+        h = words[codes]
+        first = np.zeros(n, dtype=bool)
+        first[self.begins] = True
+        self.first, self.second = first, ~first
+        before = np.concatenate([[START], h[:-1]])
+        before[first] = START
+        pairs = mix(before * _PAIR + h)
+        self.inner = np.flatnonzero(~first)  # places with a context of two
+        triples = mix(pairs[self.inner - 1] * _TRIPLE + h[self.inner])
+        # the lowest bit tells what isn't learnt from
+        runs = np.concatenate([pairs, triples]) >> U(1) << U(1)
+        self.runs = runs | np.concatenate([~self.learnt, ~self.learnt[self.inner]]).astype(U)
+
+    def asked(self) -> tuple[np.ndarray, np.ndarray]:
+        """The different runs, sorted, and how often each is learnt from here."""
+        sorted_ = np.sort(self.runs)
+        edge = np.flatnonzero(np.append(True, sorted_[1:] >> U(1) != sorted_[:-1] >> U(1)))
+        return sorted_[edge] >> U(1), np.add.reduceat(1 - (sorted_ & U(1)).astype(np.int64), edge)
+
+    def counts(self) -> np.ndarray:
+        """How often each of `words` is learnt from here."""
+        return np.bincount(self.codes[self.learnt], minlength=len(self.words))
+
+    def told(self, word_counts: np.ndarray, run_counts: np.ndarray, total: int, kinds: int) -> None:
+        """Takes the whole corpus's counts of `words` and of asked(), of all words and of different ones."""
+        order = np.argsort(self.runs)
+        sorted_ = self.runs[order] >> U(1)
+        self.runs = None  # what follows knows them by their numbers
+        edge = np.append(True, sorted_[1:] != sorted_[:-1])
+        group = np.empty(len(order), np.int32)
+        group[order] = np.cumsum(edge, dtype=np.int32) - 1
+        self.keys = sorted_[edge]
+        del order, sorted_
+        self.pair, n = group[: len(self.codes)], run_counts[group]
+        self.total, self.kinds = total, kinds
+        self.n = word_counts[self.codes]
+        self.n_pair = n[: len(self.codes)]
+        self.n_triple = n[len(self.codes) :]
+        ends = word_counts[np.searchsorted(self.words, END)]
+        #: occurrences of the context of one word, and of that of two (at inner places)
+        self.n_one = np.where(self.first, ends, np.append(0, self.n[:-1]))
+        self.n_two = self.n_pair[self.inner - 1]
+
+    def chances(self, less: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """ln probabilities of each place's word behind no context, one word, two words (the latter at inner places).
+
+        less = 1 takes each place itself out of all counts. A context without occurrences leaves things to the shorter.
+        """
+
+        def mixed(times: np.ndarray, context: np.ndarray, shorter: np.ndarray) -> np.ndarray:
+            context = np.maximum(context - less, 0).astype(float)
+            weight = np.maximum(context, 1) ** WEIGHT
+            return (np.maximum(times - less, 0) + weight * shorter) / (context + weight)
+
+        p = (np.maximum(self.n - less, 0) + 1) / (self.total - less + self.kinds + 1)
+        one = mixed(self.n_pair, self.n_one, p)
+        two = mixed(self.n_triple, self.n_two, one[self.inner])
+        return np.log(p), np.log(one), np.log(two)
+
+    def contexts(self, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted keys of the contexts here that occur `least` times at least, and which one of them each place has.
+
+        That is, the number of the context of one word for all places, of two for inner ones (-1: none). A context that
+        occurs twice with different words behind it loses whatever they are, so it isn't among them.
+        """
+        lone = np.append(self.words, START)
+        one_key = mix(lone ^ _LONE) >> U(1)
+        before = np.append(0, self.codes[:-1]).astype(np.int64)
+        before[self.first] = len(self.words)
+        has_one = (self.n_one >= least) & ~((self.n_one == 2) & (self.n_pair == 1))
+        has_two = (self.n_two >= least) & ~((self.n_two == 2) & (self.n_triple == 1))
+        used = np.zeros(len(lone), dtype=bool)
+        used[before[has_one]] = True
+        pairs = np.zeros(len(self.keys), dtype=bool)
+        of_two = self.pair[self.inner - 1]
+        pairs[of_two[has_two]] = True
+        keys = np.concatenate([one_key[used], self.keys[pairs]])
+        order = np.argsort(keys)
+        rank = np.empty(len(keys), np.int64)
+        rank[order] = np.arange(len(keys))
+        number = np.full(len(lone), -1)
+        number[used] = rank[: int(used.sum())]
+        number_two = np.full(len(self.keys), -1)
+        number_two[pairs] = rank[int(used.sum()) :]
+        return keys[order], np.where(has_one, number[before], -1), np.where(has_two, number_two[of_two], -1)
+
+    def gains(self, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of contexts() and what each gains here: the sum over the places behind it that are learnt from of the
+        log ratio of the next word's probability with and without its oldest word, the place itself left out of all counts."""
+        keys, one, two = self.contexts(least)
+        zero, by_one, by_two = self.chances(1)
+        sums = np.zeros(len(keys))
+        on = (one >= 0) & self.learnt
+        sums += np.bincount(one[on], (by_one - zero)[on], len(keys))
+        on = (two >= 0) & self.learnt[self.inner]
+        shorter = np.maximum(zero, by_one)[self.inner]
+        return keys, sums + np.bincount(two[on], (by_two - shorter)[on], len(keys))
+
+    def scores(self, kept: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each text the known words, and the log10 probabilities without contexts and by the longest kept ones."""
+        _, one, two = self.contexts(least)
+        zero, by_one, by_two = self.chances(0)
+        kept = np.append(kept, False)  # for those without number
+        best = np.where(kept[one], by_one, zero)
+        best[self.inner] = np.where(kept[two], by_two, best[self.inner])
+        return tuple(np.add.reduceat(x, self.begins) for x in ((self.n > 0).astype(np.int64), zero / np.log(10), best / np.log(10)))

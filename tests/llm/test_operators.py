@@ -364,77 +364,78 @@ def test_scores(docs, empty):
     assert all(r.n_known == 0 for r in lm.score(docs, F.lit(True)).collect())
 
 
-def brute_tree(train, texts, least=2, nats=10.0):
-    """log10 probabilities of byte strings that end with a newline, by dictionaries of contexts."""
-    from strandloom.llm.suffix_tree import DEPTH, Base
-
+def brute_tree(train, texts, least=2, nats=2.0, weight=0.9):
+    """log10 probabilities of lists of words that end with an end, by dictionaries of contexts; the kept contexts."""
     n = defaultdict(Counter)
+
+    def places(t):
+        for i, x in enumerate(t):
+            before = (["<s>", *t[:i]])[-2:]
+            yield x, [tuple(before[len(before) - d :]) for d in range(min(len(before), 2) + 1)]
+
     for t in train:
-        for i in range(len(t)):
-            for d in range(DEPTH + 1):
-                if d <= i + 1:
-                    n[(b"\n" + t)[i + 1 - d : i + 1]][t[i]] += 1
-    total = sum(n[b""].values())
-
-    def p(context, x):
-        if not context:
-            return (n[b""][x] + 1) / (total + 255)
-        c, less = n.get(context, {}), p(context[1:], x)
-        return (c.get(x, 0) + len(c) * less) / (sum(c.values()) + len(c)) if c else less
-
-    kept = {c for c in n if len(c) <= Base.LOW}
-    for c in n:
-        size = sum(n[c].values())
-        if len(c) > Base.LOW and size >= least and size * sum(p(c, x) * math.log(p(c, x) / p(c[1:], x)) for x in range(1, 256)) >= nats:
-            kept |= {c[i:] for i in range(len(c))}
-
-    def longest(c):
-        while c not in kept:
-            c = c[1:]
-        return c
-
-    return [sum(math.log10(p(longest((b"\n" + t)[max(i + 1 - DEPTH, 0) : i + 1]), t[i])) for i in range(len(t))) for t in texts], kept
-
-
-def test_scores_by_the_whole_tree(spark):
-    rows = [(i, text(i, 12)) for i in range(30)] + [(i, text(7, 30) + " Quartz vow") for i in range(30, 33)] + [(33, "abcdefgh zbcdefgy " * 40), (40, "\0 zz  Quartz"), (41, None)]
-    out = lm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), F.col("doc_id") % 5 == 2)
-    plain = {i: b" ".join((t or "").encode().translate(LOW).split()).replace(b"\0", b"\1") + b"\n" for i, t in rows}
-    want, kept = brute_tree([t for i, t in plain.items() if i % 5 != 2], plain.values())
-    assert max(map(len, kept)) > 5
-    want = dict(zip(plain, want, strict=True))
-    assert all(abs(r.score - want[r.doc_id]) <= len(plain[r.doc_id]) / lm.SCALE / 2 + 1e-6 for r in out.collect())
+        for x, contexts in places(t):
+            for c in contexts:
+                n[c][x] += 1
+    total, kinds = sum(n[()].values()), len(n[()])
+
+    def p(c, x, less):
+        if not c:
+            return (max(n[c][x] - less, 0) + 1) / (total - less + kinds + 1)
+        size = max(sum(n[c].values()) - less, 0) if c in n else 0
+        w = max(size, 1) ** weight
+        return (max((n[c][x] if c in n else 0) - less, 0) + w * p(c[1:], x, less)) / (size + w)
+
+    gain = Counter()
+    for t in train:
+        for x, contexts in places(t):
+            for c in contexts[1:]:
+                shorter = max(p(c[i:], x, 1) for i in range(1, len(c) + 1))
+                gain[c] += math.log(p(c, x, 1) / shorter)
+    kept = {c for c, g in gain.items() if g >= nats and sum(n[c].values()) >= least}
+    return [sum(math.log10(p(max((c for c in contexts if not c or c in kept), key=len), x, 0)) for x, contexts in places(t)) for t in texts], kept, p
+
+
+def plain_words(t):
+    return [*(t or "").encode().translate(LOW).split(), "</s>"]
+
+
+def test_scores_by_the_whole_tree(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SLICE", 700)
+    rows = [(i, text(i, 12)) for i in range(30)] + [(i, text(7, 30) + " Quartz vow") for i in range(30, 33)] + [(33, "abc zbc " * 40), (40, "\0 zz  Quartz"), (41, None), (43, "one two"), (44, "one two"), (45, "quartz VOW")]
+    out = lm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), F.col("doc_id") % 5 == 2).collect()
+    want, kept, _ = brute_tree([plain_words(t) for i, t in rows if i % 5 != 2], [plain_words(t) for _, t in rows])
+    assert {1, 2} <= set(map(len, kept))
+    want = {i: w for (i, _), w in zip(rows, want, strict=True)}
+    assert len(out) == len(rows) and all(abs(r.score - want[r.doc_id]) < 1e-6 for r in out)
+    assert all(r.held_out == (r.doc_id % 5 == 2) for r in out)
 
 
 def test_contexts_stay_when_the_table_grows(spark):
     r = np.random.default_rng(0)
-    odd = " ".join("".join(r.choice(list("qxzjkvw"), 6)) for _ in range(12))
-    rows = [(i, odd) for i in range(9)]
+    odd = " ".join("".join(r.choice(list("qxzjkvw"), 6)) for _ in range(40))
+    rows = [(i, odd) for i in range(3)]
     few = spark.createDataFrame(rows + [(9, text(9, 2000))], "doc_id long, text string")
     much = spark.createDataFrame(rows + [(i, text(i, 20_000)) for i in range(9, 59)], "doc_id long, text string")
-    a, b = (lm.score(t, F.col("doc_id") == 0).where("doc_id = 0").first().score / len(odd) for t in (few, much))
-    assert a > -0.3 and b > -0.3
+    a, b = (lm.score(t, F.col("doc_id") == 0).where("doc_id = 0").first() for t in (few, much))
+    assert a.score / a.n_tokens > -0.5 and b.score / b.n_tokens > -0.5 and b.base_score / b.n_tokens < -4
+
+
+def test_documents_that_occur_twice_stand_apart(spark):
+    r = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(400)]
+    make = lambda: " ".join(r.choice(words, 120))
+    twice, once = [make() for _ in range(20)], [make() for _ in range(100)]
+    rows = [(i, t) for i, t in enumerate(twice * 2 + once)]
+    out = {x.doc_id: x.score - x.base_score for x in lm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), F.lit(False)).collect()}
+    assert min(out[i] for i in range(40)) > max(out[i] for i in range(40, 140)) + 50
 
 
 def test_suffix_tree_is_a_distribution():
-    from strandloom.llm import suffix_tree as t
-
-    buf, starts, ends, counts = lm._words(pa.array([text(i, 200) for i in range(40)]))
-    k, c = t.grams(t.symbols(buf, starts, ends, counts)[0])
-    tree = t.Tree([t.at_depth(k, c, d) if d else t.summed(k & t.U(255), c) for d in range(t.DEPTH + 1)], 2e-6)
-    used = tree.width - 1
-    p = 10.0 ** tree.log.astype(float)
-    assert len(tree.log) > 20 and np.allclose(p[:, :used].sum(axis=1) + (255 - used) * p[:, used], 1, atol=1e-4)
-    # every state's follower is the longest kept context of what was read: scored alike in lanes and step by step
-    sym, begins = t.symbols(*lm._words(pa.array([text(99, 700), "", text(98, 3)])))
-    state = 0
-    for _ in range(t.DEPTH):
-        state = tree.next[state, tree.symbol[t.END]]
-    logs = []
-    for x in sym:
-        logs.append(tree.log[state, tree.symbol[x]])
-        state = tree.next[state, tree.symbol[x]]
-    assert np.allclose(tree.score(sym, begins), np.add.reduceat(np.array(logs, dtype=float), begins))
+    train = [plain_words(text(i, 30)) for i in range(40)]
+    _, kept, p = brute_tree(train, [])
+    known = {x for t in train for x in t}
+    assert kept and all(abs(sum(p(c, x, 0) for x in known) + p(c, "never seen", 0) - 1) < 1e-9 for c in kept | {()})
 
 
 def test_chains_against_enumeration():
