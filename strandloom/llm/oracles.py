@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from strandloom.llm.reputation import SUFFIXES
+
 _CRC_TABLE = "(SELECT list(list_reduce([n::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY n) FROM range(256) r(n))"
 
 _OP2 = f"""
@@ -13,25 +15,30 @@ SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard, row_numb
 
 def _level(counts: str, key: str, parent: str | None, up: str | None) -> str:
     """CTEs {key}_m, {key}_s and {key}_r: rates of a level shrunk towards the level above."""
-    mean = f"{key}_m AS (SELECT c.*, (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM {counts}) AS m FROM {counts} c)" if parent is None else f"{key}_m AS (SELECT c.*, p.a / (p.a + p.b) AS m FROM {counts} c JOIN {parent} p ON p.{up} = c.{up})"
+    mean = f"{key}_m AS (SELECT c.*, (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM {counts}) AS m FROM {counts} c)" if parent is None else f"{key}_m AS (SELECT c.*, p.a / (p.a + p.b) AS m, p.a + p.b AS p FROM {counts} c JOIN {parent} p ON p.{up} = c.{up})"
     return f"""{mean},
 {key}_x AS (SELECT sum(n * pow(bad / n - m, 2)) AS ss, sum(m * (1 - m)) AS noise, sum((n - 1) * m * (1 - m)) AS room FROM {key}_m WHERE n > 1),
 {key}_s AS (SELECT round(CASE WHEN room > 0 THEN greatest(1.0, least(1000.0, 1 / greatest((ss - noise) / room, 0.000001::DOUBLE) - 1)) ELSE 1 END, 6) AS s FROM {key}_x),
-{key}_r AS (SELECT {key}_m.*, bad + m * s AS a, n - bad + (1 - m) * s AS b FROM {key}_m, {key}_s)"""
+{key}_t AS (SELECT {key}_m.*, {"s" if parent is None else "p * s / (p + s + 1) AS s"} FROM {key}_m, {key}_s),
+{key}_r AS (SELECT *, bad + m * s AS a, n - bad + (1 - m) * s AS b FROM {key}_t)"""
+
 
+_SUFFIXES = ", ".join(f"'{x}'" for x in SUFFIXES)
 
-_OP4 = f"""
+_OP4 = rf"""
 WITH parts AS (SELECT page_id, regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', ['h', 'p']) AS x FROM pages),
 u AS (SELECT page_id, translate(x.h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, x.p AS path FROM parts),
 marks AS (SELECT doc_id, count(*) AS n, sum((coalesce(quality = 0, false) OR coalesce(toxic = 1, false))::INT) AS bad FROM labels GROUP BY doc_id),
-hosts AS (SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix, coalesce(sum(n), 0)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS bad FROM u LEFT JOIN marks ON doc_id = page_id GROUP BY host),
-domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY 1, 2), suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY 1),
+sites AS (SELECT regexp_replace(regexp_replace(host, '(?s)^.*@', ''), ':[0-9]*\z', '') AS host, coalesce(sum(n), 0)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS bad FROM u LEFT JOIN marks ON doc_id = page_id GROUP BY 1),
+ends AS (SELECT *, regexp_matches(host, '^\[.*\]\z|^[0-9]{{1,3}}(\.[0-9]{{1,3}}){{3}}\z') AS address, coalesce(list_sort(list_filter([{_SUFFIXES}], lambda x: host = x OR ends_with(host, '.' || x)), 'DESC')[1], string_split(host, '.')[-1]) AS last FROM sites),
+hosts AS (SELECT host, CASE WHEN address THEN host ELSE array_to_string(string_split(host, '.')[-(len(string_split(last, '.')) + 1):], '.') END AS domain, CASE WHEN address THEN '' ELSE last END AS suffix, n, bad FROM ends),
+domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY 1, 2), suffixes AS (SELECT suffix, sum((n > 0)::INT)::DOUBLE AS n, sum(CASE WHEN n > 0 THEN bad / n ELSE 0 END) AS bad FROM domains GROUP BY 1),
 {_level("suffixes", "suffix", None, None)}, {_level("domains", "domain", "suffix_r", "suffix")}, {_level("hosts", "host", "domain_r", "domain")},
 known AS (SELECT host, a / (a + b) - 1.645::DOUBLE * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > 0.2::DOUBLE AS bad FROM host_r),
 rules(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
 fits AS (SELECT page_id, host, path, max({{'n': length(h || p), 'rule': h || p, 'verdict': verdict}}) AS r FROM (SELECT DISTINCT page_id, host, path FROM u) d JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY ALL)
 SELECT u.page_id, u.host, u.path, f.r.rule AS rule, coalesce(f.r.verdict, CASE WHEN k.bad THEN 'block' ELSE 'allow' END) AS verdict
-FROM u LEFT JOIN fits f ON f.page_id IS NOT DISTINCT FROM u.page_id AND f.host = u.host AND f.path = u.path LEFT JOIN known k ON k.host = u.host"""
+FROM u LEFT JOIN fits f ON f.page_id IS NOT DISTINCT FROM u.page_id AND f.host = u.host AND f.path = u.path LEFT JOIN known k ON k.host = regexp_replace(regexp_replace(u.host, '(?s)^.*@', ''), ':[0-9]*\z', '')"""
 
 _OP6 = r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5('17/' || coalesce(doc_id::VARCHAR, '')) AS mixed FROM documents),

@@ -15,11 +15,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, one of our own, on a local master only."""
     sc = spark.sparkContext
     held = sc._jsc.sc().getCheckpointDir()
     if held.isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strandloom-"))
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="strandloom-"))
         held = sc._jsc.sc().getCheckpointDir()
     return spark.conf.get("spark.checkpoint.dir", None) or held.get()
 

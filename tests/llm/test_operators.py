@@ -554,6 +554,25 @@ def test_reputation(spark):
     assert {r.verdict for r in reputation.judge(pages, labels.limit(0)).collect() if r.rule is None} == {"allow"}
 
 
+def test_registered_domains_and_addresses(spark):
+    names = {"a.bad.co.uk": ("bad.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "x.y.com": ("y.com", "com"), "com": ("com", "com"), "": ("", ""), "10.0.0.1": ("10.0.0.1", ""), "[::1]": ("[::1]", ""), "1.2.3.4.com": ("4.com", "com"), "xco.uk": ("xco.uk", "uk")}
+    t = spark.createDataFrame([(k,) for k in names], "h string")
+    domain, suffix = reputation.levels(F.col("h"), reputation.SUFFIXES)
+    assert {r.h: (r.d, r.s) for r in t.select("h", domain.alias("d"), suffix.alias("s")).collect()} == names
+    hosts = ["u:p@bad.co.uk", "bad.co.uk:800", "bad.co.uk", "a@b@bad.co.uk:", "[::1]:80", "fine:8x"]
+    sites = [r.s for r in spark.createDataFrame([(h,) for h in hosts], "h string").select(reputation.site(F.col("h")).alias("s")).collect()]
+    assert sites == ["bad.co.uk"] * 4 + ["[::1]", "fine:8x"]
+
+
+def test_a_bad_host_does_not_taint_its_public_suffix(spark):
+    urls = [(i, "http://bad.co.uk/x") for i in range(60)] + [(100 + i, f"http://fine{i}.co.uk/") for i in range(3)] + [(200, "http://u:p@bad.co.uk/"), (201, "http://bad.co.uk:800/"), (202, "http://[::1]:8/"), (203, "http://10.0.0.1/")]
+    urls += [(300 + i, f"http://good{i % 9}.net/") for i in range(90)]
+    labels = spark.createDataFrame([(i, 0, 0) for i in range(60)] + [(300 + i, 1, 0) for i in range(90)], "doc_id long, quality int, toxic int")
+    out = {r.page_id: (r.host, r.verdict) for r in reputation.judge(spark.createDataFrame(urls, "page_id long, url string"), labels).collect()}
+    assert {out[100 + i][1] for i in range(3)} == {"allow"} and out[200] == ("u:p@bad.co.uk", "block") and out[201] == ("bad.co.uk:800", "block") and out[0][1] == "block"
+    assert out[202][1] == out[203][1] == "allow"
+
+
 def test_ordered_ranges(docs):
     got = [r.doc_id for r in ordered.by_id(docs).collect()]
     assert [x for x in got if x is not None] == sorted(x for x in got if x is not None) and len(got) == len(table())
