@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from array import array
+from bisect import bisect_left
+
 import numpy as np
 
 
@@ -11,38 +14,54 @@ class Automaton:
     A window is `span` consecutive words of an item, or the whole of a shorter item. States, links and lengths are
     those of a suffix automaton that is extended item by item from its start state. A state whose lengths include
     `span` knows the items that have its run of `span` words; a state knows the short items that end it.
+
+    It is built with a dictionary for each state, which then become flat arrays: arrows sorted by state and word, and for
+    each word of the items at most two states of 8 bytes, three arrows of 12, and 8 for the items.
     """
 
     def __init__(self, items: dict[object, list[bytes]], span: int) -> None:
         self.span = span
         self.number: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
-        self.link, self.length = [-1], [0]
+        self.link, self.length = array("i", [-1]), array("i", [0])
         coded = {k: [self.number.setdefault(w, len(self.number)) for w in ws] for k, ws in items.items() if ws}
         for ws in coded.values():
             last = 0
             for w in ws:
                 last = self._extend(last, w)
-        self.items: dict[int, set] = {}  # of windows of full span, by state
+        windows: set[tuple[int, int]] = set()  # state and item of windows of full span
         self.short: dict[int, list[tuple[int, object]]] = {}  # by state: length and item
-        for k, ws in coded.items():
+        self.names = list(coded)
+        for i, (k, ws) in enumerate(coded.items()):
             at = n = 0
             for w in ws:
                 at, n = self.next[at][w], n + 1
                 while self.length[self.link[at]] >= span if at else False:
                     at = self.link[at]
                 if n >= span:
-                    self.items.setdefault(at, set()).add(k)
+                    windows.add((at, i))
             if len(ws) < span:
                 self.short.setdefault(at, []).append((len(ws), k))
         self.least = min((min(len(ws), span) for ws in coded.values()), default=0)
         pairs = {(a << 32) | b for ws in coded.values() for a, b in zip(ws, ws[1:], strict=False)}
         self.pairs = np.array(sorted(pairs), dtype=np.int64)
-        # short items that end a state also end every state that it is the suffix of
-        self.ends: dict[int, list[tuple[int, object]]] = {}
+        ordered = sorted(windows)
+        self.window_state, self.window_item = array("i", [s for s, _ in ordered]), array("i", [i for _, i in ordered])
+        # the nearest state among a state's suffixes, itself first, that a short item ends
+        self.above = array("i", bytes(4 * len(self.link)))
         for s in sorted(range(len(self.link)), key=self.length.__getitem__):
-            if got := self.short.get(s, []) + (self.ends.get(self.link[s], []) if s else []):
-                self.ends[s] = got
+            self.above[s] = s if s in self.short else self.above[self.link[s]] if s else -1
+        arrows = np.array([(s << 32) | w for s, ws in enumerate(self.next) for w in ws], dtype=np.int64)
+        to = np.array([t for ws in self.next for t in ws.values()], dtype=np.int32)
+        order = np.argsort(arrows)
+        self.arrows, self.to = array("q", arrows[order].tobytes()), array("i", to[order].tobytes())
+        del self.next
+
+    def follow(self, at: int, w: int) -> int:
+        """The state behind the arrow, or -1."""
+        key = (at << 32) | w
+        i = bisect_left(self.arrows, key)
+        return self.to[i] if i < len(self.arrows) and self.arrows[i] == key else -1
 
     def _extend(self, last: int, w: int) -> int:
         if (q := self.next[last].get(w)) is not None:
@@ -94,25 +113,31 @@ class Automaton:
         codes = np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words))
         out: list[tuple[int, int]] = []
         found: set = set()
-        follow, link, length, span = self.next, self.link, self.length, self.span
+        follow, link, length, span = self.follow, self.link, self.length, self.span
         for lo, hi in self.stretches(codes):
             at = n = 0
             for i, w in enumerate(codes[lo:hi].tolist(), lo):
-                while at and w not in follow[at]:
+                while (to := follow(at, w)) < 0 and at:
                     at = link[at]
                     n = length[at]
-                if w in follow[at]:
-                    at, n = follow[at][w], n + 1
+                if to >= 0:
+                    at, n = to, n + 1
                 while at and length[link[at]] >= span:
                     at = link[at]
                     n = length[at]
-                long = span if n >= span and at in self.items else 0
-                if long:
-                    found |= self.items[at]
-                for m, k in self.ends.get(at, ()):
-                    if m <= n:
-                        found.add(k)
-                        long = max(long, m)
+                long = 0
+                if n >= span:
+                    j = bisect_left(self.window_state, at)
+                    while j < len(self.window_state) and self.window_state[j] == at:
+                        found.add(self.names[self.window_item[j]])
+                        long, j = span, j + 1
+                s = self.above[at]
+                while s > 0:
+                    for m, k in self.short[s]:
+                        if m <= n:
+                            found.add(k)
+                            long = max(long, m)
+                    s = self.above[link[s]]
                 if long:
                     a = i + 1 - long
                     while out and out[-1][1] >= a:

@@ -10,11 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from strandloom.llm.automaton import Automaton
+from strandloom.llm.shared import table
 from strandloom.llm.textbuf import slices
 
 SPAN = 10
-#: Words of benchmark items that go into one automaton; more items make more automata.
-BLOCK_WORDS = 2_000_000
+#: Words of benchmark items that go into one automaton, about 60 bytes each once built, and those that a worker holds at
+#: once. A larger test set is taken in several passes over the documents.
+BLOCK_WORDS, PASS_WORDS = 200_000, 2_000_000
 #: Every byte as it counts: A-Z in lower case, other ASCII but letters and digits as a space.
 _FOLD = bytes(i + 32 if 65 <= i < 91 else i if 48 <= i < 58 or 97 <= i < 123 or i > 127 else 32 for i in range(256))
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -25,22 +27,28 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
-def automata(items: DataFrame, span: int = SPAN, block: int = BLOCK_WORDS) -> list:
-    """Broadcast automata over items (item_id, text), each of at most `block` words, or one item.
+def automata(items: DataFrame, span: int = SPAN, block: int = BLOCK_WORDS, most: int = PASS_WORDS) -> Iterator[list]:
+    """Lists of broadcast automata over items (item_id, text): each of at most `block` words, or one item; each list of about `most`.
 
-    The test set streams through the driver a partition at a time; an automaton has twice its words as states at most.
+    The test set streams through the driver a partition at a time, which holds one automaton's words and no more.
     """
     sc = items.sparkSession.sparkContext
-    out, now, n = [], {}, 0
+    out: list = []
+    now: dict[object, list[bytes]] = {}
+    n = held = 0
     for row in items.select("item_id", "text").where("text is not null").toLocalIterator():
         ws = words_of(row["text"].encode())
         if n + len(ws) > block and now:
             out.append(sc.broadcast(Automaton(now, span)))
+            held += n
             now, n = {}, 0
+            if held >= most:
+                yield out
+                out, held = [], 0
         # several texts under one id are its parts: each is an item of that id
         now[(row["item_id"], len(now))] = ws
         n += len(ws)
-    return [*out, sc.broadcast(Automaton(now, span))]
+    yield [*out, sc.broadcast(Automaton(now, span))]
 
 
 def _merged(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -76,47 +84,64 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
     return b" ".join(x.strip(b" ") if i else x for i, x in enumerate([*out, raw[last:]])).decode()
 
 
-def _mapped(docs: DataFrame, schema: dict[str, str], one: Callable[[dict], tuple | None]) -> DataFrame:
-    """The rows that `one` makes of each, a few megabytes of text at a time."""
+def _matched(docs: DataFrame, passes: Iterator[list], schema: dict[str, str], one: Callable[[dict, int, list[tuple[int, int]], list[str]], tuple | None]) -> DataFrame:
+    """The rows that `one` makes of each row, its number of words, its spans and its items; a few megabytes of text at a time.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
-        for batch in batches:
-            for lo, hi in slices(batch.column("text")):
-                rows = [r for r in map(one, batch.slice(lo, hi - lo).to_pylist()) if r is not None]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[k]) for i, k in enumerate(schema.values())], list(schema))
-
-    return docs.mapInArrow(run, ", ".join(f"{k} {v}" for k, v in schema.items()))
-
-
-def report(docs: DataFrame, items: DataFrame, span: int = SPAN) -> DataFrame:
+    With several passes, what is found goes along with the documents in a table from each pass to the next, so that a
+    worker holds the automata of one.
+    """
+    kinds = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string())}
+
+    def mapped(rows: DataFrame, blocks: list, schema: dict[str, str], last: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for lo, hi in slices(batch.column("text")):
+                    out = []
+                    for row in batch.slice(lo, hi - lo).to_pylist():
+                        n, spans, found = hits((row["text"] or "").encode(), blocks)
+                        if "_spans" in row:
+                            before = row.pop("_spans")
+                            spans = _merged(spans, list(zip(before[::2], before[1::2], strict=True)))
+                            found = sorted({*found, *row.pop("_found")})
+                        made = one(row, n, spans, found) if last else (*row.values(), [x for s in spans for x in s], found)
+                        if made is not None:
+                            out.append(made)
+                    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kinds[k]) for i, k in enumerate(schema.values())], list(schema))
+
+        return rows.mapInArrow(run, ", ".join(f"{k} {v}" for k, v in schema.items()))
+
+    own = {c: t.replace("bigint", "long") for c, t in docs.dtypes} | {"_spans": "array<long>", "_found": "array<string>"}
+    blocks = next(passes)
+    for following in passes:
+        docs = table(mapped(docs, blocks, own, False), "matched")
+        blocks = following
+    return mapped(docs, blocks, schema, True)
+
+
+def report(docs: DataFrame, items: DataFrame, span: int = SPAN, most: int = PASS_WORDS) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document.
 
     A window is `span` consecutive words of an item, or all of a shorter one. Null and empty texts have no words and
     null or wordless items no window; repeated rows each give a row; without items nothing is hit. The digest is of
     the item ids that have windows in the document, as sorted strings with commas (none: of the empty string).
     """
-    blocks = automata(items, span)
 
-    def one(row: dict) -> tuple:
-        n, spans, found = hits((row["text"] or "").encode(), blocks)
+    def one(row: dict, n: int, spans: list[tuple[int, int]], found: list[str]) -> tuple:
         hit = sum(b - a for a, b in spans)
         return row["doc_id"], n, hit, len(found), hashlib.sha256(",".join(found).encode()).hexdigest(), hit > 0
 
-    return _mapped(docs.select("doc_id", "text"), {"doc_id": "long", "n_words": "long", "n_hit": "long", "n_items": "long", "items_sha256": "string", "contaminated": "boolean"}, one)
+    return _matched(docs.select("doc_id", "text"), automata(items, span, min(BLOCK_WORDS, most), most), {"doc_id": "long", "n_words": "long", "n_hit": "long", "n_items": "long", "items_sha256": "string", "contaminated": "boolean"}, one)
 
 
-def remove(docs: DataFrame, items: DataFrame, span: int = SPAN, coverage: float = 0.5) -> DataFrame:
+def remove(docs: DataFrame, items: DataFrame, span: int = SPAN, coverage: float = 0.5, most: int = PASS_WORDS) -> DataFrame:
     """Documents (doc_id, text, lang, source, n_chars) without benchmark passages.
 
     Spans of words inside windows are cut out and n_chars is counted anew; a document of which windows cover more
     than `coverage` goes. Untouched documents keep their text as it is; null texts stay null.
     """
-    blocks = automata(items, span)
 
-    def one(row: dict) -> tuple | None:
+    def one(row: dict, n: int, spans: list[tuple[int, int]], found: list[str]) -> tuple | None:
         text = row["text"]
-        n, spans, _ = hits((text or "").encode(), blocks)
         if spans:
             if sum(b - a for a, b in spans) > coverage * n:
                 return None
@@ -124,4 +149,4 @@ def remove(docs: DataFrame, items: DataFrame, span: int = SPAN, coverage: float
             row["n_chars"] = len(text)
         return row["doc_id"], text, row["lang"], row["source"], row["n_chars"]
 
-    return _mapped(docs.select("doc_id", "text", "lang", "source", "n_chars"), {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}, one)
+    return _matched(docs.select("doc_id", "text", "lang", "source", "n_chars"), automata(items, span, min(BLOCK_WORDS, most), most), {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}, one)

@@ -233,6 +233,9 @@ def test_decontamination(spark, docs, empty):
     bench = spark.createDataFrame([(a, b, "junk") for a, b in items], "item_id long, text string, lang string")
     out = decontaminate.report(docs, bench).collect()
     assert Counter(map(tuple, out)) == brute_report([r[:2] for r in table()], items)
+    assert Counter(map(tuple, decontaminate.report(docs, bench, most=40).collect())) == Counter(map(tuple, out))
+    one, several = (decontaminate.remove(docs, bench, most=k) for k in (10**6, 40))
+    assert Counter(map(tuple, one.collect())) == Counter(map(tuple, several.collect()))
     none = decontaminate.report(docs, bench.limit(0)).collect()
     assert len(none) == len(table()) and not any(r.contaminated for r in none)
     assert decontaminate.report(empty, bench).count() == 0
