@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+from collections.abc import Callable
 
 import numpy as np
 
@@ -96,3 +97,42 @@ class Codes:
             return out
 
         return level(0, a, b) if b > a else np.zeros(0, np.uint32)
+
+
+class Remote:
+    """An encoded run of ids that isn't held: `read(offset, size)` gives bytes of it, as a ranged read of a file does.
+
+    Opening reads the heads of the levels; an id takes, for each of its levels, its chunk, a byte of the bitmap and, where
+    it goes on, a directory entry and part of one block of the bitmap.
+    """
+
+    def __init__(self, read: Callable[[int, int], bytes]) -> None:
+        self.read = read
+        if read(0, 4) != MAGIC:
+            raise ValueError("not a file of directly addressable codes")
+        (n,) = struct.unpack("<I", read(4, 4))
+        at = 8
+        self.levels = []
+        for _ in range(n):
+            bits, size = struct.unpack("<IQ", read(at, 12))
+            width, blocks = 1 if bits <= 8 else 2 if bits <= 16 else 4, -(-size // RANK)
+            chunks = at + 12
+            bitmap = chunks + size * width
+            directory = bitmap + blocks * (RANK // 8)
+            at = directory + 8 * blocks
+            self.levels.append((bits, width, size, chunks, bitmap, directory))
+
+    def __getitem__(self, i: int) -> int:
+        if not 0 <= i < self.levels[0][2]:
+            raise IndexError(i)
+        value = shift = 0
+        for bits, width, _, chunks, bitmap, directory in self.levels:
+            value |= int.from_bytes(self.read(chunks + i * width, width), "little") << shift
+            first = i // RANK * (RANK // 8)
+            block = int.from_bytes(self.read(bitmap + first, i // 8 - first + 1), "little")
+            place = i % RANK
+            if not block >> place & 1:
+                return value
+            (before,) = struct.unpack("<Q", self.read(directory + 8 * (i // RANK), 8))
+            i, shift = before + (block & ((1 << place) - 1)).bit_count(), shift + bits
+        return value

@@ -45,10 +45,10 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.7)
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
+def table(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The same rows as a Parquet table of the shared folder."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

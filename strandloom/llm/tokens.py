@@ -171,7 +171,9 @@ def write(docs: DataFrame, path: str, end: int = 0, file_ids: int = FILE_IDS) ->
 
     `path` is the tokenizer's file. Each document ends with `end`; a null text is only that. A file has about
     `file_ids` ids, at least one document. The files are binary values of a Parquet table in the shared folder, which
-    Spark commits, so a task that is run again leaves nothing twice, and any store will do. Rows without doc_id come last.
+    Spark commits, so a task that is run again leaves nothing twice, and any store will do. Pages are neither compressed
+    nor coded, so a file's bytes lie there as they are, and codes.Remote reads any id of it by offsets alone. Rows
+    without doc_id come last.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +209,7 @@ def write(docs: DataFrame, path: str, end: int = 0, file_ids: int = FILE_IDS) ->
         if ids:
             yield flush()
 
-    return table(by_id(docs).select("bucket", "doc_id", "text").mapInArrow(run, _FILES), "codes")
+    return table(by_id(docs).select("bucket", "doc_id", "text").mapInArrow(run, _FILES), "codes", compression="none", **{"parquet.enable.dictionary": "false"})
 
 
 def read(files: DataFrame) -> DataFrame:

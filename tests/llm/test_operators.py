@@ -274,6 +274,31 @@ def test_codes_round_trip(ids, data):
         i = data.draw(st.integers(0, len(ids) - 1))
         j = data.draw(st.integers(i, len(ids)))
         assert c[i] == ids[i] and c.ids(i, j).tolist() == ids[i:j]
+        assert codes.Remote(lambda at, n: codes.encode(np.array(ids, dtype=np.uint32))[at : at + n])[i] == ids[i]
+
+
+def test_one_id_from_a_stored_file(spark, docs):
+    files = tokens.write(docs, PATH)
+    row = max(files.collect(), key=lambda r: len(r.raw))
+    want = codes.Codes(bytes(row.raw)).ids()
+    for f in files.inputFiles():
+        path = f.removeprefix("file://")
+        data = open(path, "rb").read()
+        if (start := data.find(bytes(row.raw))) >= 0:
+            break
+    assert start >= 0, "the bytes lie in the file as they are"
+    spent = []
+
+    def read(at, n):
+        spent.append(n)
+        with open(path, "rb") as g:
+            g.seek(start + at)
+            return g.read(n)
+
+    remote = codes.Remote(read)
+    for i in (0, len(want) // 2, len(want) - 1):
+        assert remote[i] == want[i]
+    assert sum(spent) < 700 < len(row.raw)
 
 
 def test_codes_reject_what_is_not_theirs():
