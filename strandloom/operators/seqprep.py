@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from strandloom.operators.intervals import overlap_join
 from strandloom.operators.lsh import candidate_pairs, max_bin_share, minhash_signature
+from strandloom.session import shared_dir
 
 #: Fixed value: a longer run of N cuts a sequence.
 MAX_N = 15
@@ -152,16 +153,12 @@ def near_duplicates(fragments: DataFrame, similarity: float = 0.9, k: int = 8, n
     return first.select("value", "rep").join(labels.select(F.col("id").alias("rep"), "root"), "rep").select("value", F.col("root").alias("keeper"))
 
 
-def least_reachable(nodes: DataFrame, edges: DataFrame, rounds: int = 50) -> DataFrame:
+def least_reachable(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """id, root: the least id that edges reach. Labels spread and jump until nothing changes; lineage is cut each round."""
-    spark = nodes.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strandloom-"))
+    shared_dir(nodes.sparkSession)
     both = edges.union(edges.select("b", "a")).distinct().checkpoint()
     now = nodes.select("id", F.col("id").alias("root"))
-    for _ in range(rounds):
+    while True:
         heard = both.join(now, both["b"] == now["id"]).groupBy(F.col("a").alias("id")).agg(F.min("root").alias("m"))
         told = now.join(heard, "id", "left").select("id", F.least("root", F.coalesce("m", "root")).alias("root"))
         jump = told.select(F.col("id").alias("root"), F.col("root").alias("next"))
@@ -169,7 +166,6 @@ def least_reachable(nodes: DataFrame, edges: DataFrame, rounds: int = 50) -> Dat
         if now.join(new.withColumnRenamed("root", "r2"), "id").where("root <> r2").isEmpty():
             return new
         now = new
-    raise RuntimeError("labels still change")
 
 
 def class_signals(sequences: DataFrame, both: bool = False) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strandloom.functions import stats
 from strandloom.operators import evaluation, graphs, lsh, trees
 from strandloom.operators import vectors as sparse
+from strandloom.session import shared_dir
 from strandloom.plans.tables import DOC_FEATURES, VECTORS, doc_features, read, vectors
 from strandloom.streaming import signatures as streaming
 
@@ -442,7 +443,7 @@ def stream_signatures(s, d):
     """The bins that a stream of the documents has filled."""
     from strandloom.plans.tables import read as table
 
-    root = f"{s.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='strandloom-')}/stream-{abs(hash((d, id(s))))}"
+    root = f"{shared_dir(s)}/stream-{uuid.uuid4().hex}"
     schema = table(s, d, "documents").schema
     stream = s.readStream.schema(schema).parquet(f"{d}/documents.parquet*")
     streaming.start(stream, "doc_id", "text", root).awaitTermination()

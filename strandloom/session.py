@@ -2,9 +2,27 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, one of our own, on a local master only.
+
+    It is the session's checkpoint folder too.
+    """
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="strandloom-")
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(path)
+    return path or sc._jsc.sc().getCheckpointDir().get()
+
+
 def session(master: str | None = None, partitions: int | None = None, **more: str) -> SparkSession:
     """UTC, adaptive execution with skew joins; partitions sets spark.sql.shuffle.partitions."""
     b = SparkSession.builder.appName("strandloom").config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true").config("spark.sql.adaptive.skewJoin.enabled", "true").config("spark.sql.execution.arrow.pyspark.enabled", "true")

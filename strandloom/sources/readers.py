@@ -66,16 +66,16 @@ def read_gspan(spark: SparkSession, path: str, kind: str = "UNDIRECTED") -> tupl
     """vertices and edges of `t` blocks; graph_id orders them. V vertices are no viewpoints; w, s, u lines are passed over.
 
     Labels that begin with ^ are abstractions and no kernel points; edges with ^ are abstraction-of, with @ part-of.
-    UNDIRECTED adds every edge's reverse, DIRECTED a reversed copy of the graph. An edge to an unknown vertex is an error.
+    UNDIRECTED adds every edge's reverse, DIRECTED a reversed copy of the graph. A missing label is empty. An edge to an unknown vertex is an error.
     """
     from strandloom.operators.graphs import directed_copy, undirected
 
     raw = spark.read.text(path, lineSep="\nt ").withColumn("graph_id", F.monotonically_increasing_id())
     rows = raw.where(F.trim("value") != "").select("graph_id", F.posexplode(F.split("value", "\r?\n")).alias("no", "line")).where("no > 0").select("graph_id", "no", F.split(F.trim("line"), r"\s+").alias("p"))
-    v = rows.where("p[0] in ('v', 'V')").select("graph_id", F.col("p")[1].alias("name"), F.col("p")[2].alias("label"), (F.col("p")[0] == "v").alias("is_view"), (F.row_number().over(Window.partitionBy("graph_id").orderBy("no")) - 1).alias("vid"))
+    v = rows.where("p[0] in ('v', 'V')").select("graph_id", F.col("p")[1].alias("name"), F.coalesce(F.get("p", F.lit(2)), F.lit("")).alias("label"), (F.col("p")[0] == "v").alias("is_view"), (F.row_number().over(Window.partitionBy("graph_id").orderBy("no")) - 1).alias("vid"))
     hat = F.col("label").startswith("^")
     names = v.select("graph_id", "name", "vid")
-    e = rows.where("p[0] = 'e'").select("graph_id", F.col("p")[1].alias("a"), F.col("p")[2].alias("b"), F.col("p")[3].alias("label"))
+    e = rows.where("p[0] = 'e'").select("graph_id", F.col("p")[1].alias("a"), F.col("p")[2].alias("b"), F.coalesce(F.get("p", F.lit(3)), F.lit("")).alias("label"))
     e = e.join(names.select("graph_id", F.col("name").alias("a"), F.col("vid").alias("src")), ["graph_id", "a"], "left").join(names.select("graph_id", F.col("name").alias("b"), F.col("vid").alias("dst")), ["graph_id", "b"], "left")
     missing = F.raise_error(F.concat(F.lit("edge to an unknown vertex: "), "a", F.lit(" "), "b"))
     e = e.withColumn("src", F.when(F.col("src").isNull() | F.col("dst").isNull(), missing.cast("int")).otherwise(F.col("src")))
