@@ -76,10 +76,11 @@ def dense_centers(neighbors: DataFrame, density: DataFrame, most: int, overlap:
 def refine_centers(centers: DataFrame, neighbors: DataFrame, density: DataFrame, tries: int = 1000, seed: int = 1) -> DataFrame:
     """Random exchanges of centres for other candidates, kept if they raise sum of densities * covered / listed members.
 
-    Works on the centres and as many of the densest other ids: a bounded driver-side search, repeatable by its seed.
+    `tries` ids are drawn from all that have a density, by a seeded hash, each to take the place of a random centre. The
+    driver holds the centres' and the drawn ids' neighbourhoods; the draw is the same on every run.
     """
     own = [r["id"] for r in centers.orderBy("center_rank").collect()]
-    pool = density.where(F.col("density").isNotNull()).orderBy(F.desc("density"), "id").limit(2 * len(own) + 50)
+    pool = density.where(F.col("density").isNotNull()).orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(tries)
     rows = pool.unionByName(centers.select("id", "density")).distinct().join(neighbors.select(F.col("a").alias("id"), "b"), "id").groupBy("id", "density").agg(F.collect_set("b").alias("m")).collect()
     dens, lists = {r["id"]: r["density"] for r in rows}, {r["id"]: set(r["m"]) for r in rows}
 

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,20 +95,30 @@ def trim(candidates: DataFrame, most: int) -> DataFrame:
     return candidates.withColumn("place", F.row_number().over(w)).where(F.col("place") <= most).drop("place")
 
 
-def dots(pairs: DataFrame, features: DataFrame) -> DataFrame:
-    """a, b, sim: dot products of the listed pairs, rounded to six digits; pairs without common feature have 0."""
-    x = features.select(F.col("id").alias("a"), "f", F.col("v").alias("x"))
-    y = features.select(F.col("id").alias("b"), "f", F.col("v").alias("y"))
-    own = pairs.select("a", "b")
-    found = own.join(x, "a").join(y, ["b", "f"]).groupBy("a", "b").agg(F.sum(F.col("x") * F.col("y")).alias("sim"))
-    return pairs.join(found, ["a", "b"], "left").withColumn("sim", F.round(F.coalesce("sim", F.lit(0.0)), 6))
-
-
 def rerank(candidates: DataFrame, features: DataFrame, knn: int) -> DataFrame:
-    """a, b, rank, sim: a itself first, then its candidates by similarity (ties: smaller id), `knn` in all."""
+    """a, b, rank, sim: a itself first, then its candidates by dot product (ties: smaller id), `knn` in all.
+
+    Products are rounded to six digits; ids without features have 0. A candidate's features travel as one row for each
+    of its pairs, a's own once; a group is a and its candidates, whose number the trimming bounds.
+    """
     with_self = candidates.select("a", "b").union(candidates.select("a", F.col("a").alias("b")).distinct())
-    w = Window.partitionBy("a").orderBy((F.col("a") != F.col("b")).cast("int"), F.desc("sim"), "b")
-    return dots(with_self, features).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= knn).select("a", "b", "rank", "sim")
+    rows = with_self.join(packed(features).withColumnRenamed("id", "b"), "b", "left").select("a", "b", "fs", "vs")
+
+    def best(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        a, b = t.column("a")[0].as_py(), np.asarray(t.column("b"))
+        fs, vs = t.column("fs").combine_chunks(), t.column("vs").combine_chunks()
+        of = np.repeat(np.arange(len(b)), np.asarray(pc.fill_null(pc.list_value_length(fs), 0)))
+        f, v = np.asarray(pc.list_flatten(fs)), np.asarray(pc.list_flatten(vs))
+        mine = b[of] == a
+        own, weight = f[mine], v[mine]
+        place = np.minimum(np.searchsorted(own, f), max(len(own) - 1, 0))
+        hit = own[place] == f if len(own) else np.zeros(len(f), bool)
+        sims = np.round(np.bincount(of[hit], v[hit] * weight[place[hit]], len(b)), 6)
+        order = np.lexsort([b, -sims, b != a])[:knn]
+        return pa.table({"a": pa.array([a] * len(order), pa.int64()), "b": pa.array(b[order]), "rank": pa.array(np.arange(1, len(order) + 1), pa.int32()), "sim": pa.array(sims[order])})
+
+    return rows.groupBy("a").applyInArrow(best, "a long, b long, rank int, sim double")
 
 
 def approx_knn(features: DataFrame, n: int, nhf: int, knn: int, excess: int, share: float | None = None) -> DataFrame:
@@ -165,6 +176,66 @@ def block_products(queries: DataFrame, vectors: DataFrame, knn: int | None = Non
     return pairs.mapInArrow(run, "a long, b long, sim double")
 
 
+def packed(features: DataFrame) -> DataFrame:
+    """id, fs, vs: a row for each id, features in order."""
+    pairs = F.array_sort(F.collect_list(F.struct("f", "v")))
+    return features.groupBy("id").agg(pairs.alias("p")).select("id", F.transform("p", lambda x: x["f"]).alias("fs"), F.transform("p", lambda x: x["v"]).alias("vs"))
+
+
+def exact_sparse_knn(features: DataFrame, knn: int, block: int = 512, step: int = 64) -> DataFrame:
+    """a, b, rank, sim: of each id itself and the others with the largest dot products, knn in all (ties: smaller id).
+
+    Ids go by blocks of about `block`; a pair of blocks is one task's work: the first is laid out over its own features,
+    the second is added up `step` ids at a time. Each id keeps its best knn of a block, so nothing of the size of all
+    pairs is ever stored. The number of block pairs grows with the square of the ids: this is the yardstick for
+    approx_knn, and for tables of moderate size.
+    """
+    rows = packed(features)
+    n = rows.count()
+    blocks = rows.withColumn("_b", F.pmod(F.xxhash64("id"), F.lit(max(1, -(-n // block))))).groupBy("_b").agg(F.collect_list(F.struct("id", "fs", "vs")).alias("rows")).drop("_b")
+    pairs = blocks.withColumnRenamed("rows", "x").crossJoin(blocks.withColumnRenamed("rows", "y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parts(cell: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+            ids, fs = np.asarray(cell.values.field("id")), cell.values.field("fs")
+            order = np.argsort(ids)
+            size = np.asarray(fs.value_lengths())[order]
+            take = pa.array(order)
+            return ids[order], size, np.asarray(fs.take(take).flatten()), np.asarray(cell.values.field("vs").take(take).flatten())
+
+        for batch in batches:
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                (a, na, fa, va), (b, nb, fb, vb) = parts(x), parts(y)
+                own, at = np.unique(fa, return_inverse=True)
+                laid = np.zeros((len(own), len(a)))
+                laid[at, np.repeat(np.arange(len(a)), na)] = va
+                place = np.minimum(np.searchsorted(own, fb), len(own) - 1)
+                met = own[place] == fb
+                of = np.repeat(np.arange(len(b)), nb)
+                sims = np.zeros((len(a), len(b)))
+                for lo in range(0, len(b), step):
+                    some = np.flatnonzero(met & (of >= lo) & (of < lo + step))
+                    if len(some):
+                        first = np.flatnonzero(np.concatenate([[True], of[some][1:] != of[some][:-1]]))
+                        sims[:, of[some][first]] = np.add.reduceat(laid[place[some]] * vb[some][:, None], first).T
+                sims = np.round(sims, 6)
+                rank = sims + 2 * (a[:, None] == b[None, :])
+                best = np.argsort(-rank, axis=1, kind="stable")[:, :knn]
+                k = best.shape[1]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(a, k)), pa.array(b[best].ravel()), pa.array(np.take_along_axis(sims, best, axis=1).ravel())], ["a", "b", "sim"])
+
+    w = Window.partitionBy("a").orderBy((F.col("a") != F.col("b")).cast("int"), F.desc("sim"), "b")
+    return pairs.mapInArrow(run, "a long, b long, sim double").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= knn).select("a", "b", "rank", "sim")
+
+
+def recall(approx: DataFrame, true: DataFrame, knn: int) -> DataFrame:
+    """One row: the share of true neighbours' places that approx fills as well, over all ids; ties with the last count as found."""
+    last = true.groupBy("a").agg(F.min("sim").alias("least"))
+    good = approx.join(last, "a").where(F.col("sim") >= F.col("least")).groupBy("a").agg(F.count("*").alias("hit"))
+    every = last.join(good, "a", "left")
+    return every.agg((F.round(F.sum(F.least(F.coalesce("hit", F.lit(0)), F.lit(knn))) / (F.count("*") * knn), 6)).alias("recall"), F.count("*").alias("instances"))
+
+
 def kernel_matrix(features: DataFrame) -> DataFrame:
     """i, j, sim of all pairs with a common feature, by an inverted index; i <= j."""
     x = features.select(F.col("id").alias("i"), "f", F.col("v").alias("x"))

@@ -11,8 +11,7 @@ from strandloom.plans.tables import HITS, SEQUENCES, hits, overlaps_sql, read, s
 
 def interval_overlap(s, d):
     h = hits(s, d)
-    other = h.where("name in ('1.0', '1.1')")
-    return intervals.overlap_join(h, other, 0.2, ignore_strand=True).select("a_rid", "b_rid", "pct")
+    return intervals.overlap_join(h, h, 0.2, ignore_strand=True).select("a_rid", "b_rid", "pct")
 
 
 def self_overlap(s, d):
@@ -173,8 +172,8 @@ def gev_cutoffs(s, d):
 
 
 def _signals(s, d):
-    h = hits(s, d)
-    return h.where("rid % 50 = 0").select("rid", "seqid", "start", "stop", "strand", (F.col("rid") % 7).cast("int").alias("class"))
+    """Every hit, five days later, as a signal of one of seven classes."""
+    return hits(s, d).select("rid", "seqid", (F.col("start") + 5).alias("start"), (F.col("stop") + 5).alias("stop"), "strand", (F.col("rid") % 7).cast("int").alias("class"))
 
 
 def evaluated_hits(s, d):
@@ -182,7 +181,7 @@ def evaluated_hits(s, d):
     return evaluation.evaluate_hits(h, _signals(s, d)).select("rid", "cluster", "class", "dup")
 
 
-EVALUATED = f"""{HITS}, sig AS (SELECT rid, seqid, start, stop, strand, (rid % 7)::INT AS class FROM hits WHERE rid % 50 = 0),
+EVALUATED = f"""{HITS}, sig AS (SELECT rid, seqid, start + 5 AS start, stop + 5 AS stop, strand, (rid % 7)::INT AS class FROM hits),
 o AS ({overlaps_sql("hits", "sig", 51, other=False)}),
 met AS (SELECT a.rid AS rid, a.name AS cluster, a.bitscore AS bitscore, b.rid AS signal, b.class AS class, pct FROM o),
 major AS (SELECT cluster, class AS major FROM (SELECT DISTINCT cluster, rid, class FROM met WHERE class <> 0) GROUP BY cluster, class QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY count(*) DESC, class DESC) = 1),
@@ -340,7 +339,10 @@ SELECT event_id, 'hg' || (user_id % 3) || '.chr' || (user_id % 22) || ':' || lea
 
 
 def url_locations(s, d):
-    return read(s, d, "pages").select("page_id", seqprep.genome_locations(F.col("url"), F.lit("")).alias("location"))
+    """Locations in headers made of page numbers; a third of them have none."""
+    k = F.col("page_id") % 3
+    header = F.when(k == 0, "no place").when(k == 1, F.format_string("GENOME_LOC mm%d.chr%d:%d-%d:-", F.col("page_id") % 4, F.col("page_id") % 19, F.col("page_id"), F.col("page_id") + 70)).otherwise(F.format_string("chr%d:%d-%d strand=+", F.col("page_id") % 19, F.col("page_id"), F.col("page_id") + F.length("url")))
+    return read(s, d, "pages").select("page_id", seqprep.genome_locations(F.lit("x"), header).alias("location"))
 
 
 def near_duplicates(s, d):
@@ -366,7 +368,7 @@ def annotate_fragments(s, d):
     return seqprep.annotate_fragments(hits(s, d), _signals(s, d).where("class <> 0"))
 
 
-ANNOTATE = f"""WITH {HITS}, sig AS (SELECT rid, seqid, start, stop, strand, (rid % 7)::INT AS class FROM hits WHERE rid % 50 = 0 AND rid % 7 <> 0), o AS ({overlaps_sql("hits", "sig", 5, other=False)}),
+ANNOTATE = f"""WITH {HITS}, sig AS (SELECT rid, seqid, start + 5 AS start, stop + 5 AS stop, strand, (rid % 7)::INT AS class FROM hits WHERE rid % 7 <> 0), o AS ({overlaps_sql("hits", "sig", 5, other=False)}),
 m AS (SELECT a.rid AS rid, max({{'pct': pct, 'class': b.class}}) AS m FROM o GROUP BY 1) SELECT rid, coalesce(m.m.class, 0) AS class FROM hits LEFT JOIN m USING (rid)"""
 
 
@@ -387,7 +389,7 @@ def overlap_statistics(s, d):
 
 
 QUERIES = {
-    "interval_overlap": (interval_overlap, f"WITH {HITS}, other AS (SELECT * FROM hits WHERE name IN ('1.0', '1.1')), o AS ({overlaps_sql('hits', 'other', 20, strand=False)}) SELECT a.rid AS a_rid, b.rid AS b_rid, pct FROM o"),
+    "interval_overlap": (interval_overlap, f"WITH {HITS}, o AS ({overlaps_sql('hits', 'hits', 20, strand=False)}) SELECT a.rid AS a_rid, b.rid AS b_rid, pct FROM o"),
     "self_overlap": (self_overlap, f"{_overlap_of(51)} SELECT a.rid AS a_rid, b.rid AS b_rid, pct FROM o"),
     "blacklist": (blacklist, BLACKLIST),
     "merge_islands": (merge_islands, ISLANDS),
@@ -425,7 +427,7 @@ QUERIES = {
     "split_masked": (split_masked, SPLIT),
     "window_fragments": (window_fragments, WINDOWS),
     "genome_locations": (genome_locations, GENOME_LOCATIONS),
-    "url_locations": (url_locations, "SELECT page_id, 'MISS' AS location FROM pages"),
+    "url_locations": (url_locations, "SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'MISS' WHEN 1 THEN 'mm' || page_id % 4 || '.chr' || page_id % 19 || ':' || page_id || '-' || (page_id + 70) || ':-' ELSE 'undef.chr' || page_id % 19 || ':' || page_id || '-' || (page_id + length(url)) || ':+' END AS location FROM pages"),
     "near_duplicates": (near_duplicates, None),
     "exact_duplicates": (exact_duplicates, "SELECT md5(text) AS digest, min(doc_id) AS keeper, count(*) AS n FROM documents GROUP BY 1"),
     "class_signals": (class_signals, CLASS_SIGNALS),

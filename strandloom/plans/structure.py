@@ -236,11 +236,11 @@ def sphere(s, d):
 
 def induced_edges(s, d):
     v, e = _graph(s, d)
-    ball = graphs.distances(v.where("vid % 5 = 0"), e, 2).select("graph_id", F.col("src").alias("root"), F.col("dst").alias("vid"))
+    ball = graphs.distances(v, e, 2).select("graph_id", F.col("src").alias("root"), F.col("dst").alias("vid"))
     return graphs.induced_edges(ball, e)
 
 
-INDUCED = f"WITH {BACKBONE} SELECT v.graph_id, v.vid AS root, src, dst, e.label FROM v JOIN e ON e.graph_id = v.graph_id AND abs(src - v.vid) <= 2 AND abs(dst - v.vid) <= 2 WHERE v.vid % 5 = 0"
+INDUCED = f"WITH {BACKBONE} SELECT v.graph_id, v.vid AS root, src, dst, e.label FROM v JOIN e ON e.graph_id = v.graph_id AND abs(src - v.vid) <= 2 AND abs(dst - v.vid) <= 2"
 
 
 def shortest_path_union(s, d):
@@ -394,11 +394,11 @@ SCORE2DIST = f"WITH {GROUP_SIMS}, m AS (SELECT \"group\", list_sort(list(sim))[f
 
 def submatrix_average(s, d):
     sims = trees.symmetric(_group_sims(s, d)).select("i", "j", "val")
-    m = read(s, d, "embeddings").where("vec_id % 3 = 0").select(F.col("label").cast("long").alias("group"), F.col("vec_id").alias("id"))
+    m = read(s, d, "embeddings").select(F.col("label").cast("long").alias("group"), F.col("vec_id").alias("id"))
     return trees.submatrix_average(sims, m).select("group", F.round("avg", 5).alias("avg"))
 
 
-SUBMATRIX = f"WITH {GROUP_SIMS}, m AS (SELECT label::BIGINT AS \"group\", id FROM vectors WHERE id % 3 = 0), k AS (SELECT \"group\", count(*) AS k FROM m GROUP BY 1), t AS (SELECT \"group\", 2 * sum(sim) AS s FROM sims WHERE i % 3 = 0 AND j % 3 = 0 GROUP BY 1) SELECT \"group\", round(round(coalesce(s, 0) / k, 6), 5) AS avg FROM k LEFT JOIN t USING (\"group\")"
+SUBMATRIX = f"WITH {GROUP_SIMS}, m AS (SELECT label::BIGINT AS \"group\", id FROM vectors), k AS (SELECT \"group\", count(*) AS k FROM m GROUP BY 1), t AS (SELECT \"group\", 2 * sum(sim) AS s FROM sims GROUP BY 1) SELECT \"group\", round(round(coalesce(s, 0) / k, 6), 5) AS avg FROM k LEFT JOIN t USING (\"group\")"
 
 
 def node_score(s, d):

@@ -23,6 +23,14 @@ def doc_features(spark: SparkSession, d: str) -> DataFrame:
     return token_counts(documents(spark, d), "doc_id", "text")
 
 
+def set_features(features: DataFrame) -> DataFrame:
+    """The features as a set, each id's of length one: what min-hash sees is what re-ranking compares."""
+    n = features.groupBy("id").agg(F.count("*").alias("n"))
+    return features.join(n, "id").select("id", "f", (1 / F.sqrt("n")).alias("v"))
+
+
+SET_FEATURES = "sets AS (SELECT id, f, 1 / sqrt(count(*) OVER (PARTITION BY id)) AS v FROM features)"
+
 DOC_FEATURES = """
 words AS (SELECT doc_id AS id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM documents),
 counts AS (SELECT id, ('0x' || substr(md5(w), 1, 7))::BIGINT + 1 AS f, sum(c) AS c FROM (SELECT id, w, count(*) AS c FROM words GROUP BY id, w) GROUP BY 1, 2),
