@@ -65,6 +65,48 @@ def test_fingerprints_with_edits(docs, empty):
     assert {r.fingerprint for r in fingerprint.fingerprint(docs).where("doc_id = 3").collect()} == {by[3].fingerprint}
 
 
+def brute_signature(t):
+    """The bins of a text, one shingle after another, with the module's word hashes and scrambling as given."""
+    mask = (1 << 64) - 1
+
+    def mix(x):
+        for _ in range(2):
+            x = ((x ^ (x >> 32)) * 0xD6E8FEB86659FD93) & mask
+        return x ^ (x >> 32)
+
+    w = (t or "").encode().translate(LOW).split()
+    buf = np.frombuffer(b" ".join(w) + b"\n", np.uint8)
+    ends = np.cumsum([len(x) + 1 for x in w], dtype=np.int64) - 1
+    h = textbuf.hashes(buf, ends - [len(x) for x in w], ends).tolist() if w else []
+    factor = [mix(((j + 1) * 0xC2B2AE3D27D4EB4F) & mask) | 1 for j in range(5)]
+    least = {}
+    for i in range(max(len(h) - 4, 1)):
+        s = mix(sum(x * f for x, f in zip(h[i : i + 5], factor, strict=False)) & mask)
+        least[s >> 56] = min(least.get(s >> 56, mask), s & ((1 << 56) - 1))
+    digits = []
+    for b in range(256):
+        draw, at = 0, b
+        while at not in least:
+            draw += 1
+            at = mix((b * 0x9E3779B97F4A7C15 + draw * 0xD1B54A32D192ED03) & mask) % 256
+        digits.append(least[at] % 16)
+    return "".join(f"{x:x}" for x in digits)
+
+
+def test_fingerprint_digits_and_likeness(docs):
+    rows = sorted(table(), key=key)
+    texts = [r[1] or "" for r in rows]
+    want = Counter()
+    for i, (r, t) in enumerate(zip(rows, texts, strict=True)):
+        nxt = texts[(i + 1) % len(texts)]
+        other = t[: len(t) - len(t) // 2] + nxt[: len(t) // 2]
+        own, edit, after = (brute_signature(x) for x in (t, other, nxt))
+        alike = lambda b: round(max(0.0, (sum(x == y for x, y in zip(own, b, strict=True)) / 256 - 1 / 16) / (15 / 16)), 9)  # noqa: B023, E731
+        want[(r[0], own, edit, alike(edit), alike(after))] += 1
+    out = fingerprint.compare_with_edits(docs).collect()
+    assert Counter((r.doc_id, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in out) == want
+
+
 def test_likeness_is_unbiased():
     r = np.random.default_rng(1)
     errors = []
