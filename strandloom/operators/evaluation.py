@@ -106,11 +106,10 @@ def hypergeometric_tail(rows: DataFrame, population: int) -> DataFrame:
 def pvalue_report(centers: DataFrame, cutoffs: tuple[float, ...] = (1.0, 0.1, 0.05, 0.01, 0.001, 0.0001)) -> DataFrame:
     """round (0: all), cutoff, centers, below, ratio, by grouping sets over (round, cutoff) and (cutoff)."""
     rows = centers.select("round", "p", F.explode(F.array(*[F.lit(c) for c in cutoffs])).alias("cutoff"))
-    rows.createOrReplaceTempView("_pvalue_rows")
     return rows.sparkSession.sql("""
         SELECT CASE WHEN grouping(round) = 1 THEN 0 ELSE round END AS round, cutoff, count(*) AS centers,
                sum(CASE WHEN p <= cutoff THEN 1 ELSE 0 END) AS below, round(sum(CASE WHEN p <= cutoff THEN 1 ELSE 0 END) / count(*), 4) AS ratio
-        FROM _pvalue_rows GROUP BY GROUPING SETS ((round, cutoff), (cutoff))""")
+        FROM {rows} GROUP BY GROUPING SETS ((round, cutoff), (cutoff))""", rows=rows)
 
 
 def round_summary(scores: DataFrame) -> DataFrame:

@@ -28,24 +28,51 @@ def percent_overlap(s1: Column, e1: Column, s2: Column, e2: Column) -> Column:
     return F.floor((200 * common + short) / (2 * short)).cast("int")
 
 
-def overlap_join(left: DataFrame, right: DataFrame, cutoff: float = 0.0, ignore_strand: bool = False, width: int = 64, row_id: str = "rid") -> DataFrame:
+#: Widths of bins: an interval belongs to the first that holds four of its lengths or is the last.
+WIDTHS = tuple(64 * 32**k for k in range(6))
+
+
+def _width(start: str, stop: str) -> Column:
+    size = (F.col(stop) - F.col(start) + 1).cast("long")
+    return F.coalesce(*[F.when(size <= 4 * w, F.lit(w)) for w in WIDTHS], F.lit(WIDTHS[-1])).cast("long")
+
+
+def overlap_join(left: DataFrame, right: DataFrame, cutoff: float = 0.0, ignore_strand: bool = False, row_id: str = "rid") -> DataFrame:
     """Pairs of overlapping intervals: columns of left with prefix a_, of right with b_, and pct.
 
     Equal seqid, equal strand unless ignored, at least one common position, pct of the shorter one >= cutoff. Rows
-    with the same row_id aren't paired, so an interval never meets itself. Both sides are dealt into bins of `width`
-    positions, which makes the join an equi-join that spreads a long sequence; a pair is kept in the first bin that
-    both touch, so none is made twice.
+    with the same row_id aren't paired, so an interval never meets itself. Both sides are dealt into bins of positions,
+    which makes the join an equi-join that spreads a long sequence; a pair is kept in the first bin that both touch, so
+    none is made twice. The width of its bins follows an interval's length, so that it lies in few: pairs meet in bins
+    of the longer one's width. Intervals of one width, the usual case, are one join.
     """
-    a = left.select(*[F.col(c).alias(f"a_{c}") for c in left.columns]).withColumn("bin", F.explode(F.sequence(F.floor(F.col("a_start") / width), F.floor(F.col("a_stop") / width))))
-    b = right.select(*[F.col(c).alias(f"b_{c}") for c in right.columns]).withColumn("bin", F.explode(F.sequence(F.floor(F.col("b_start") / width), F.floor(F.col("b_stop") / width))))
-    on = (F.col("a_seqid") == F.col("b_seqid")) & (a["bin"] == b["bin"])
-    if not ignore_strand:
-        on &= F.col("a_strand") == F.col("b_strand")
-    met = a.join(b, on).where((F.col("a_start") <= F.col("b_stop")) & (F.col("b_start") <= F.col("a_stop")) & (a["bin"] == F.greatest(F.floor(F.col("a_start") / width), F.floor(F.col("b_start") / width))))
+    a = left.select(*[F.col(c).alias(f"a_{c}") for c in left.columns]).withColumn("_wa", _width("a_start", "a_stop"))
+    b = right.select(*[F.col(c).alias(f"b_{c}") for c in right.columns]).withColumn("_wb", _width("b_start", "b_stop"))
+    # six values at most
+    of_a, of_b = ({r[0] for r in x.select(w).distinct().collect()} for x, w in ((a, "_wa"), (b, "_wb")))
+    every = sorted(of_a | of_b) or [WIDTHS[0]]
+
+    def binned(a: DataFrame, b: DataFrame, width: int) -> DataFrame:
+        first = lambda c: F.floor(F.col(c) / width)
+        a = a.withColumn("_bin", F.explode(F.sequence(first("a_start"), first("a_stop"))))
+        b = b.withColumn("_bin", F.explode(F.sequence(first("b_start"), first("b_stop"))))
+        on = (F.col("a_seqid") == F.col("b_seqid")) & (a["_bin"] == b["_bin"])
+        if not ignore_strand:
+            on &= F.col("a_strand") == F.col("b_strand")
+        met = a.join(b, on).where((F.col("a_start") <= F.col("b_stop")) & (F.col("b_start") <= F.col("a_stop")) & (a["_bin"] == F.greatest(first("a_start"), first("b_start"))))
+        return met.drop("_bin", "_wa", "_wb")
+
+    if len(every) == 1:
+        met = binned(a, b, every[0])
+    else:
+        parts = [binned(a.where(F.col("_wa") == w), b.where(F.col("_wb") <= w), w) for w in every if w in of_a] + [binned(a.where(F.col("_wa") < w), b.where(F.col("_wb") == w), w) for w in every if w in of_b]
+        met = parts[0]
+        for p in parts[1:]:
+            met = met.unionByName(p)
     if row_id in left.columns and row_id in right.columns:
         met = met.where(F.col(f"a_{row_id}") != F.col(f"b_{row_id}"))
     pct = percent_overlap(F.col("a_start"), F.col("a_stop"), F.col("b_start"), F.col("b_stop"))
-    return met.drop("bin").withColumn("pct", pct).where(F.col("pct") >= round(cutoff * 100))
+    return met.withColumn("pct", pct).where(F.col("pct") >= round(cutoff * 100))
 
 
 def any_overlap(a: DataFrame, b: DataFrame, cutoff: float = 0.1) -> bool:

@@ -79,6 +79,26 @@ def test_suppressed_hits_still_suppress(spark):
     assert {r.rid for r in partitions.unique_hits(t, 0.51).collect()} == {1, 5, 6}
 
 
+def test_overlaps_of_all_lengths(spark):
+    r = np.random.default_rng(8)
+    rows = []
+    for i in range(400):
+        a, n = int(r.integers(1, 60_000)), int(2 ** r.uniform(0, 17))
+        rows.append((i, f"s{i % 3}", a, a + n, "+-"[i % 2]))
+    t = spark.createDataFrame([*rows, (400, "s0", 1, 250_000_000, "+")], "rid long, seqid string, start int, stop int, strand string").repartition(3)
+    rows.append((400, "s0", 1, 250_000_000, "+"))
+    got = {(x.a_rid, x.b_rid) for x in intervals.overlap_join(t, t.where("rid % 3 < 2"), 0.4).collect()}
+    want = set()
+    for a in rows:
+        for b in rows:
+            common = min(a[3], b[3]) - max(a[2], b[2]) + 1
+            short = min(a[3] - a[2], b[3] - b[2]) + 1
+            if a[0] != b[0] and b[0] % 3 < 2 and a[1] == b[1] and a[4] == b[4] and common > 0 and (200 * common + short) // (2 * short) >= 40:
+                want.add((a[0], b[0]))
+    assert got == want and len(want) > 1000
+    assert len(intervals.overlap_join(t, t, 0.4).collect()) == len({(x.a_rid, x.b_rid) for x in intervals.overlap_join(t, t, 0.4).collect()})
+
+
 def test_merge_map_and_fragments(spark):
     p = spark.createDataFrame([("a", "b", 90), ("b", "c", 80), ("c", "a", 70)], "i string, j string, ratio_pct int")
     names = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "name string")
