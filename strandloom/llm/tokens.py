@@ -20,7 +20,7 @@ from strandloom.llm.textbuf import slices
 #: Ids in one file, about; a document is never split.
 FILE_IDS = 1 << 20
 #: Pieces that a worker remembers at most; beyond that it begins anew.
-_KNOWN = 1_500_000
+_KNOWN = 2_000_000
 #: UTF-8 of white space beyond ASCII.
 _WIDE = [chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 _LEAD = np.zeros(256, dtype=bool)
@@ -194,7 +194,7 @@ def write(docs: DataFrame, path: str, end: int = 0, file_ids: int = FILE_IDS) ->
         last = np.array([end], dtype=np.uint32)
         held = 0
         for batch in batches:
-            for lo, hi in slices(batch.column("text")):
+            for lo, hi in slices(batch.column("text"), 1 << 22):
                 part = batch.slice(lo, hi - lo)
                 flat, counts = bpe(part.column("text"))
                 for b, doc, got in zip(part.column("bucket").to_pylist(), part.column("doc_id").to_pylist(), np.split(flat, np.cumsum(counts)[:-1]), strict=True):
