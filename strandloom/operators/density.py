@@ -110,6 +110,13 @@ def members(rankings: DataFrame, knn: int) -> DataFrame:
     return rankings.where(F.col("rank") <= knn)
 
 
+def packaged(rankings: DataFrame, knn: int) -> DataFrame:
+    """center, members, extended: ids of the first knn and of the first 3 * knn of each centre, in order of rank."""
+    near = rankings.where(F.col("rank") <= 3 * knn).groupBy("center").agg(F.array_sort(F.collect_list(F.struct("rank", "id"))).alias("r"))
+    ids = lambda r: F.transform(r, lambda x: x["id"])
+    return near.select("center", ids(F.filter("r", lambda x: x["rank"] <= knn)).alias("members"), ids(F.col("r")).alias("extended"))
+
+
 def center_sims(rankings: DataFrame, sims: DataFrame, knn: int) -> DataFrame:
     """center, i, j, sim for all pairs of a centre's first knn members, i < j."""
     m = members(rankings, knn)

@@ -222,16 +222,29 @@ def text_hash(c: Column) -> Column:
     return feature_hash(codes(c))
 
 
+def plain_texts(vertices: DataFrame, edges: DataFrame, radius: int) -> DataFrame:
+    """graph_id, vid, r, plain: what encode_r0 and encode_r1 hash; larger balls have no text."""
+    if radius > 1:
+        raise ValueError("balls of radius two and more are hashes of hashes, without a text")
+    out = vertices.select("graph_id", "vid", F.lit(0).alias("r"), F.col("label").alias("plain"))
+    return out.unionByName(_child_texts(vertices, edges)) if radius else out
+
+
 def encode_r0(vertices: DataFrame) -> DataFrame:
     return vertices.select("graph_id", "vid", F.lit(0).alias("r"), text_hash(F.col("label")).alias("enc"))
 
 
-def encode_r1(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """hash of label : sorted childlabel-edgelabel joined by dots."""
+def _child_texts(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """label : sorted childlabel-edgelabel joined by dots."""
     child = edges.join(vertices.select("graph_id", F.col("vid").alias("dst"), F.col("label").alias("vl")), ["graph_id", "dst"]).select("graph_id", F.col("src").alias("vid"), F.concat_ws("-", "vl", F.col("label")).alias("c"))
     kids = child.groupBy("graph_id", "vid").agg(F.array_join(F.array_sort(F.collect_list("c")), ".").alias("k"))
     text = F.concat(F.col("label"), F.lit(":"), F.coalesce("k", F.lit("")))
-    return vertices.join(kids, ["graph_id", "vid"], "left").select("graph_id", "vid", F.lit(1).alias("r"), text_hash(text).alias("enc"))
+    return vertices.join(kids, ["graph_id", "vid"], "left").select("graph_id", "vid", F.lit(1).alias("r"), text.alias("plain"))
+
+
+def encode_r1(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """The hashes of _child_texts."""
+    return _child_texts(vertices, edges).select("graph_id", "vid", "r", text_hash(F.col("plain")).alias("enc"))
 
 
 def _hash_list(values: list[int]) -> int:
@@ -302,6 +315,24 @@ def pair_features(vertices: DataFrame, edges: DataFrame, radius: int, distance:
     return p.select("graph_id", rd.alias("rd"), key.alias("selector")).groupBy("graph_id", "rd", "selector").agg(F.count("*").alias("n"))
 
 
+def feature_map(vertices: DataFrame, edges: DataFrame, radius: int, distance: int) -> DataFrame:
+    """f, plain: each feature of vectorise(pair_features(...)) as text, `<d:.. r:..> <one ball> <other ball>`, radius 1 at most.
+
+    Texts are made distinct before they are hashed. Of texts with one hash the least stays.
+    """
+    kernel = vertices.where("is_kernel and not is_dead").select("graph_id", "vid")
+    text = plain_texts(vertices, edges, radius).join(kernel, ["graph_id", "vid"], "left_semi")
+    p = distances(vertices, edges, distance).join(text.select("graph_id", F.col("vid").alias("src"), "r", F.col("plain").alias("x")), ["graph_id", "src"])
+    p = p.join(text.select("graph_id", F.col("vid").alias("dst"), "r", F.col("plain").alias("y")), ["graph_id", "dst", "r"]).select("d", "r", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    rd = F.concat(F.lit("d:"), F.col("d").cast("string"), F.lit(" r:"), F.col("r").cast("string"))
+    p = p.select("d", "x", "y", rd.alias("family"), text_hash(rd).alias("rd"), text_hash(F.col("x")).alias("hx"), text_hash(F.col("y")).alias("hy"))
+    key = F.when(F.col("d") == 0, feature_hash(F.array("hx"))).otherwise(feature_hash(F.array(F.least("hx", "hy"), F.greatest("hx", "hy"))))
+    p = p.withColumn("selector", key)
+    zero = F.lit(0).cast("long")
+    f = feature_hash(F.array(F.col("rd"), F.col("selector"), zero, zero, zero))
+    return p.select(f.alias("f"), F.concat(F.lit("<"), "family", F.lit("> <"), "x", F.lit("> <"), "y", F.lit(">")).alias("plain")).groupBy("f").agg(F.min("plain").alias("plain"))
+
+
 def soft_features(vertices: DataFrame, edges: DataFrame, radius: int) -> DataFrame:
     """graph_id, rd, selector, predicate, n: the root's label selects; labels of the ball's vertices are counted."""
     dist = distances(vertices, edges, radius)

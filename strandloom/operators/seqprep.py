@@ -69,6 +69,30 @@ def window_fragments(segments: DataFrame, window: int, shift_pct: float, min_len
     return rows.withColumn("key", F.concat(F.lit("SEQ"), F.concat_ws("#", "seq_idx", "start", "stop", "strand"))).dropDuplicates(["key"])
 
 
+def fold_windows(sequences: DataFrame, sizes: list[int], shift_pct: float, levels: dict[int, int] | None = None, level: int = 5) -> DataFrame:
+    """graph_id, size, at, level, seq: the pieces of every sequence that are folded, for each window size.
+
+    Of the sorted sizes those below the sequence's length are used and the first that isn't, which takes it whole. Starts
+    (0-based) step by the whole percent of the size, one at least; the last window ends with the sequence. levels: shape
+    level to the least size that has it (the highest level that fits wins, 0 if none fits); without it all have `level`.
+    """
+    if any(k not in range(1, 6) or v < 0 for k, v in (levels or {}).items()):
+        raise ValueError("levels are 1 to 5, with sizes of 0 and more")
+    order = sorted(set(sizes))
+    n = F.length("seq")
+
+    def windows(size: int, smaller: int) -> Column:
+        step = max(1, int(size * shift_pct / 100))
+        of = level if levels is None else max((k for k, v in levels.items() if v <= size), default=0)
+        rest = F.greatest(n - size, F.lit(0))
+        at = F.array_distinct(F.concat(F.sequence(F.lit(0), rest, F.lit(step)), F.array(rest)))
+        made = F.transform(at, lambda x: F.struct(F.lit(size).alias("size"), x.alias("at"), F.lit(of).alias("level")))
+        return F.when(n > smaller, made).otherwise(F.filter(made, lambda x: F.lit(False)))
+
+    rows = sequences.where(n > 0).select("graph_id", "seq", F.explode(F.concat(*[windows(x, low) for x, low in zip(order, [0, *order], strict=False)])).alias("w"))
+    return rows.select("graph_id", "w.size", "w.at", "w.level", F.substring(F.col("seq"), F.col("w.at") + 1, F.col("w.size")).alias("seq"))
+
+
 def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, "AUGC", "UACG"))
 

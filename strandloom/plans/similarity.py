@@ -264,6 +264,11 @@ def center_rankings(s, d):
     return density.center_rankings(c, near)
 
 
+def center_lists(s, d):
+    """Every id as a centre, with its first three and first nine."""
+    return density.packaged(_exact(s, d).select(F.col("a").alias("center"), "rank", F.col("b").alias("id")), 3).select("center", F.array_join("members", " ").alias("members"), F.array_join("extended", " ").alias("extended"))
+
+
 def ungreyed_centers(s, d):
     near, c = _centers(s, d)
     return density.with_ungreyed(density.center_rankings(c, near), read(s, d, "embeddings").where("label < 5").select(F.col("vec_id").alias("id")), 5)
@@ -309,6 +314,7 @@ QUERIES = {
     "dense_centers": (dense_centers, None),
     "refined_centers": (refined_centers, None),
     "center_rankings": (center_rankings, None),
+    "center_lists": (center_lists, f"WITH {EXACT} SELECT a AS center, string_agg(b::VARCHAR, ' ' ORDER BY rank) FILTER (rank <= 3) AS members, string_agg(b::VARCHAR, ' ' ORDER BY rank) AS extended FROM knn WHERE rank <= 9 GROUP BY a"),
     "ungreyed_centers": (ungreyed_centers, None),
     "sampled_ids": (sampled_ids, None),
     "list_filters": (list_filters, "SELECT doc_id AS id, lang, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AND doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)"),

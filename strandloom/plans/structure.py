@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strandloom.functions import stats
-from strandloom.operators import evaluation, graphs, lsh, trees
+from strandloom.operators import evaluation, graphs, lsh, seqprep, trees
 from strandloom.operators import vectors as sparse
 from strandloom.session import shared_dir
 from strandloom.plans.tables import DOC_FEATURES, VECTORS, doc_features, read, vectors
@@ -295,6 +295,27 @@ h AS (SELECT rd, selector, {_ap("[rd, selector, 0, 0, 0]")} AS f FROM (SELECT DI
 SELECT graph_id AS id, f, max(round(n / sqrt(nr * ns * 1 * n * n), 9)) AS v FROM pf JOIN nr USING (graph_id) JOIN ns USING (graph_id, rd) JOIN h USING (rd, selector) GROUP BY 1, 2"""
 
 
+def feature_map(s, d):
+    v, e = _graph(s, d)
+    return graphs.feature_map(v, e, 1, 2)
+
+
+FEATURE_MAP = f"""WITH {ENCODE},
+tx AS (SELECT graph_id, vid, r, t, enc FROM texts JOIN codes USING (t)),
+p AS (SELECT DISTINCT abs(x.vid - y.vid) AS d, x.r, least(x.t, y.t) AS a, greatest(x.t, y.t) AS b, least(x.enc, y.enc) AS ha, greatest(x.enc, y.enc) AS hb FROM tx x JOIN tx y ON x.graph_id = y.graph_id AND x.r = y.r AND abs(x.vid - y.vid) <= 2),
+fam AS (SELECT 'd:' || d || ' r:' || r AS family, a, b, {_ap("CASE WHEN d = 0 THEN [ha] ELSE [ha, hb] END")} AS selector, {_ap_text("'d:' || d || ' r:' || r")} AS rd FROM p),
+h AS (SELECT {_ap("[rd, selector, 0, 0, 0]")} AS f, '<' || family || '> <' || a || '> <' || b || '>' AS plain FROM fam) SELECT f, min(plain) AS plain FROM h GROUP BY f"""
+
+
+def fold_windows(s, d):
+    return seqprep.fold_windows(_text_graphs(s, d), [6, 10, 40], 30, {3: 0, 5: 10})
+
+
+FOLD_WINDOWS = """WITH t AS (SELECT p_partkey AS graph_id, upper(p_name) AS seq, length(p_name) AS n FROM part), w(size, step, low, level) AS (VALUES (6, 1, 0, 3), (10, 3, 6, 5), (40, 12, 10, 5)),
+a AS (SELECT graph_id, seq, size, level, unnest(range(0, greatest(n - size, 0) + 1, step)) AS first FROM t, w WHERE n > low UNION SELECT graph_id, seq, size, level, greatest(n - size, 0) FROM t, w WHERE n > low)
+SELECT graph_id, size, first::INT AS "at", level, substr(seq, first + 1, size) AS seq FROM a"""
+
+
 def min_kernel(s, d):
     v, e = _graph(s, d)
     return graphs.min_kernel(graphs.pair_features(v, e, 0, 1)).select("id", "f")
@@ -489,6 +510,8 @@ QUERIES = {
     "encode_r2": (encode_r2, None),
     "pair_features": (pair_features, f"WITH {PAIRS} SELECT graph_id, rd, selector, n FROM pf"),
     "graph_vectors": (graph_vectors, VECTORISE),
+    "feature_map": (feature_map, FEATURE_MAP),
+    "fold_windows": (fold_windows, FOLD_WINDOWS),
     "min_kernel": (min_kernel, MIN_KERNEL),
     "soft_features": (soft_features, SOFT),
     "abstraction_features": (abstraction_features, None),

@@ -262,3 +262,24 @@ def test_fragments_of_all_models_are_merged(spark, tmp_path):
     spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_suppkey long, l_partkey long, l_quantity double, l_returnflag string, l_extendedprice double, l_shipdate string").write.parquet(f"{tmp_path}/lineitem.parquet")
     out = relational.merge_fragments(spark, str(tmp_path)).collect()
     assert sorted(r.id for r in out) == ["1.1", "17.1", "25.1"] and {r.seqid for r in out} == {"5"}
+
+
+def test_fold_windows_and_packages(spark):
+    t = spark.createDataFrame([(1, "ACGUACGUAC"), (2, "ACG"), (3, "")], "graph_id long, seq string")
+    got = {(r.graph_id, r.size, r.at, r.level, r.seq) for r in seqprep.fold_windows(t, [8, 4, 20], 50, {3: 5, 4: 8}).collect()}
+    four = {(1, 4, a, 0, "ACGUACGUAC"[a : a + 4]) for a in (0, 2, 4, 6)}
+    assert got == four | {(1, 8, 0, 4, "ACGUACGU"), (1, 8, 2, 4, "GUACGUAC"), (1, 20, 0, 4, "ACGUACGUAC"), (2, 4, 0, 0, "ACG")}
+    with pytest.raises(ValueError):
+        seqprep.fold_windows(t, [8], 50, {6: 1})
+    ranked = spark.createDataFrame([(7, k, 100 - k) for k in range(1, 9)] + [(8, 1, 8)], "center long, rank int, id long")
+    assert {r.center: (r.members, r.extended) for r in density.packaged(ranked, 2).collect()} == {7: ([99, 98], [99, 98, 97, 96, 95, 94]), 8: ([8], [8])}
+
+
+def test_feature_map_names_the_features(spark):
+    v, e = graphs.backbone(spark.createDataFrame([(1, "ACGUA")], "graph_id long, seq string"))
+    both = graphs.undirected(e)
+    names = {r.f: r.plain for r in graphs.feature_map(v, both, 1, 1).collect()}
+    assert set(names) == {r.f for r in graphs.vectorise(graphs.pair_features(v, both, 1, 1)).collect()}
+    assert "<d:1 r:0> <A> <C>" in names.values() and "<d:0 r:1> <A:C->> <A:C->>" in names.values()
+    with pytest.raises(ValueError):
+        graphs.feature_map(v, both, 2, 1)
