@@ -42,6 +42,29 @@ def purity(rows: DataFrame) -> DataFrame:
     return counts.groupBy("cluster").agg(F.sum("n").alias("size"), F.round(F.max(F.when(F.col("c").isNull(), 1).otherwise(F.col("n"))) / F.sum("n"), 4).alias("purity"))
 
 
+def center_classes(members: DataFrame, class_sizes: DataFrame) -> DataFrame:
+    """class, size, share, centers, mean_members, unique_centers, mean_unique, most: which classes the centres find.
+
+    members: center, class of each centre's first neighbours; class_sizes: class, size. share is the class's part of all
+    members. A centre's major class has most members (ties: not 0, then the smallest); if that is 0, the next class and
+    those that tie with it are major too. It is a unique one if no other class than 0 has as many. Means to one digit.
+    """
+    total = members.agg(F.count("*").alias("total"))
+    n = members.groupBy("center", "class").agg(F.count("*").alias("n"))
+    zero = (F.col("class") == 0).cast("int")
+    c = Window.partitionBy("center")
+    first = c.orderBy(F.desc("n"), zero, "class")
+    known = F.when(F.col("class") != 0, F.col("n"))
+    n = n.withColumns({"place": F.row_number().over(first), "lead": F.first("class").over(first), "top": F.max(known).over(c)})
+    n = n.withColumn("alike", F.sum((known == F.col("top")).cast("int")).over(c))
+    major = (F.col("place") == 1) | ((F.col("lead") == 0) & (known == F.col("top")))
+    unique = (known == F.col("top")) & (F.col("alike") == 1)
+    mean = lambda cond: F.coalesce(F.round(F.avg(F.when(cond, F.col("n"))), 1), F.lit(0.0))
+    own = n.groupBy("class").agg(F.sum("n").alias("met"), F.count(F.when(major, 1)).alias("centers"), mean(major).alias("mean_members"), F.count(F.when(unique, 1)).alias("unique_centers"), mean(unique).alias("mean_unique"), F.coalesce(F.max(F.when(major, F.col("n"))), F.lit(0)).alias("most"))
+    rows = class_sizes.join(own, "class", "left").crossJoin(F.broadcast(total))
+    return rows.select("class", "size", F.round(F.coalesce(F.col("met") / F.nullif(F.col("total"), F.lit(0)), F.lit(0.0)), 6).alias("share"), *[F.coalesce(x, F.lit(z)).alias(x) for x, z in (("centers", 0), ("mean_members", 0.0), ("unique_centers", 0), ("mean_unique", 0.0), ("most", 0))])
+
+
 def subtree_quality(purities: DataFrame, weight: float = 0.7) -> DataFrame:
     """0.7 * purity + 0.3 * size / largest size."""
     top = purities.agg(F.max("size").alias("top"))

@@ -6,7 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from strandloom.functions.hashing import GOLDEN, ap_hash, codes, int_hash, rs_hash
-from strandloom.operators import density, lsh
+from strandloom.operators import density, evaluation, lsh
 from strandloom.plans.tables import DOC_FEATURES, SET_FEATURES, VECTORS, doc_features, read, set_features, vectors
 
 #: 64 functions and 200 candidates find 0.918 of the five nearest documents at sf0.01 (query knn_accuracy).
@@ -269,6 +269,22 @@ def center_lists(s, d):
     return density.packaged(_exact(s, d).select(F.col("a").alias("center"), "rank", F.col("b").alias("id")), 3).select("center", F.array_join("members", " ").alias("members"), F.array_join("extended", " ").alias("extended"))
 
 
+def center_classes(s, d):
+    """Every id as a centre, by the labels of its first five neighbours."""
+    labels = read(s, d, "embeddings").select(F.col("vec_id").alias("b"), F.col("label").alias("class"))
+    near = _exact(s, d).where("rank <= 5").select(F.col("a").alias("center"), "b").join(labels, "b").select("center", "class")
+    return evaluation.center_classes(near, labels.groupBy("class").agg(F.count("*").alias("size")))
+
+
+CENTER_CLASSES = f"""WITH {EXACT}, m AS (SELECT a AS center, label AS class, count(*) AS n FROM knn JOIN embeddings e ON e.vec_id = b WHERE rank <= 5 GROUP BY 1, 2),
+t AS (SELECT *, row_number() OVER w AS place, first_value(class) OVER w AS lead_, max(n) FILTER (class <> 0) OVER (PARTITION BY center) AS top FROM m WINDOW w AS (PARTITION BY center ORDER BY n DESC, class = 0, class)),
+u AS (SELECT *, count(*) FILTER (class <> 0 AND n = top) OVER (PARTITION BY center) AS alike FROM t),
+j AS (SELECT class, n, place = 1 OR (lead_ = 0 AND class <> 0 AND n = top) AS major, class <> 0 AND n = top AND alike = 1 AS uniq FROM u),
+o AS (SELECT class, sum(n) AS met, count(*) FILTER (major) AS centers, round(avg(n) FILTER (major), 1) AS mm, count(*) FILTER (uniq) AS uc, round(avg(n) FILTER (uniq), 1) AS mu, max(n) FILTER (major) AS most FROM j GROUP BY 1),
+s AS (SELECT label AS class, count(*) AS size FROM embeddings GROUP BY 1)
+SELECT class, size, round(coalesce(met / (SELECT sum(n) FROM m), 0), 6)::DOUBLE AS share, coalesce(centers, 0) AS centers, coalesce(mm, 0) AS mean_members, coalesce(uc, 0) AS unique_centers, coalesce(mu, 0) AS mean_unique, coalesce(most, 0) AS most FROM s LEFT JOIN o USING (class)"""
+
+
 def ungreyed_centers(s, d):
     near, c = _centers(s, d)
     return density.with_ungreyed(density.center_rankings(c, near), read(s, d, "embeddings").where("label < 5").select(F.col("vec_id").alias("id")), 5)
@@ -315,6 +331,7 @@ QUERIES = {
     "refined_centers": (refined_centers, None),
     "center_rankings": (center_rankings, None),
     "center_lists": (center_lists, f"WITH {EXACT} SELECT a AS center, string_agg(b::VARCHAR, ' ' ORDER BY rank) FILTER (rank <= 3) AS members, string_agg(b::VARCHAR, ' ' ORDER BY rank) AS extended FROM knn WHERE rank <= 9 GROUP BY a"),
+    "center_classes": (center_classes, CENTER_CLASSES),
     "ungreyed_centers": (ungreyed_centers, None),
     "sampled_ids": (sampled_ids, None),
     "list_filters": (list_filters, "SELECT doc_id AS id, lang, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AND doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)"),
