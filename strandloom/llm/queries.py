@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandloom.llm import alignment, decontaminate, fingerprint, language, lm, mixing, quality, reputation, sharding, simhash, tokens
+from strandloom.llm import alignment, decontaminate, fingerprint, language, lm, mixing, quality, reputation, setjoin, sharding, simhash, tokens
 from strandloom.llm.oracles import ORACLES
 from strandloom.llm.shared import id_crc, read
 
@@ -70,8 +70,12 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.report(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_setjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.near_duplicates(read(spark, sf_dir, "documents"), k=2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_fingerprint, op2_shards, op3_quality, op4_reputation, op5_simhash, op6_mixing, op7_language, op8_decontamination, op9_tokens, op10_suffix_tree, op11_alignment)
+    own = (op1_fingerprint, op2_shards, op3_quality, op4_reputation, op5_simhash, op6_mixing, op7_language, op8_decontamination, op9_tokens, op10_suffix_tree, op11_alignment, op12_setjoin)
     return {f.__name__: f for f in own}
 
 
