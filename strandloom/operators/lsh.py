@@ -121,11 +121,92 @@ def rerank(candidates: DataFrame, features: DataFrame, knn: int) -> DataFrame:
     return rows.groupBy("a").applyInArrow(best, "a long, b long, rank int, sim double")
 
 
-def approx_knn(features: DataFrame, n: int, nhf: int, knn: int, excess: int, share: float | None = None) -> DataFrame:
-    """Signatures, bins, candidates, trimming and exact re-ranking in one."""
-    signatures = minhash_signature(features, nhf)
-    share = max_bin_share(n) if share is None else share
-    return rerank(trim(candidate_pairs(signatures, n, share), excess * knn), features, knn)
+def forest_bins(signatures: DataFrame, trees: int, depth: int, most: int = 1000) -> DataFrame:
+    """bin, id: for each of `trees` trees the bin of every id, of `most` members at most.
+
+    The first function of a tree makes its bins; one that is too large is split by the tree's next function, `depth` of
+    them in all (signatures hold trees * depth functions, those of a tree one after another). What still is too large
+    is alike in all of them, and is cut by the id. So no bin is dropped, and no id is without one, whatever the table's size.
+    """
+    rows = signatures.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("k", "h"))).alias("s"))
+    rows = rows.select("id", F.transform("s", lambda x: x["h"]).alias("s"))
+    rows = rows.select("id", "s", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+    at = lambda level: F.element_at("s", F.col("tree") * depth + level + 1)
+    rows = rows.select("id", F.xxhash64("tree", at(0)).alias("bin"), "tree", "s")
+    found = None
+    for level in range(1, depth + 1):
+        size = rows.groupBy("bin").agg(F.count("*").alias("size"))
+        rows = rows.join(size, "bin")
+        large = F.col("size") > most
+        if level == depth:
+            done = rows.select(F.when(large, F.xxhash64("bin", F.pmod("id", F.ceil(F.col("size") / most)))).otherwise(F.col("bin")).alias("bin"), "id")
+        else:
+            done = rows.where(~large).select("bin", "id")
+            rows = rows.where(large).select("id", F.xxhash64("bin", at(level)).alias("bin"), "tree", "s")
+        found = done if found is None else found.union(done)
+    return found
+
+
+def _products(of: np.ndarray, f: np.ndarray, v: np.ndarray, m: int, width: int = 2048) -> np.ndarray:
+    """Dot products of m sparse vectors (of: which one, f, v) with each other.
+
+    Features of many vectors are laid out as a matrix, `width` at a time; of the others every pair that shares one is added up.
+    """
+    _, at, times = np.unique(f, return_inverse=True, return_counts=True)
+    out = np.zeros((m, m))
+    often = times * 16 > m
+    rank = np.cumsum(often) - 1
+    here = often[at]
+    col, row, val = rank[at[here]], of[here], v[here]
+    for lo in range(0, int(often.sum()), width):
+        some = (col >= lo) & (col < lo + width)
+        x = np.zeros((m, width))
+        x[row[some], col[some] - lo] = val[some]
+        out += x @ x.T
+    rare = (times[at] > 1) & ~here
+    order = np.flatnonzero(rare)[np.argsort(at[rare], kind="stable")]
+    n = times[at[order]]
+    # each entry beside all entries of its feature
+    first = np.searchsorted(at[order], at[order])
+    left = np.repeat(np.arange(len(order)), n)
+    right = np.repeat(first, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    pair = of[order][left] * m + of[order][right]
+    out += np.bincount(pair, v[order][left] * v[order][right], m * m).reshape(m, m)
+    return out
+
+
+def bin_neighbors(bins: DataFrame, features: DataFrame, knn: int) -> DataFrame:
+    """a, b, rank, sim: of each id itself, then those that share a bin with it by dot product (ties: smaller id), knn in all.
+
+    A bin is compared exactly, all with all; its ids' features travel to it once, and each id keeps its best knn of it.
+    Products are rounded to six digits.
+    """
+    rows = bins.join(packed(features), "id").select("bin", "id", "fs", "vs")
+
+    def best(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        ids = np.asarray(t.column("id"))
+        order = np.argsort(ids)
+        take = pa.array(order)
+        ids, fs, vs = ids[order], t.column("fs").take(take).combine_chunks(), t.column("vs").take(take).combine_chunks()
+        m = len(ids)
+        of = np.repeat(np.arange(m), np.asarray(pc.list_value_length(fs)))
+        sims = np.round(_products(of, np.asarray(pc.list_flatten(fs)), np.asarray(pc.list_flatten(vs)), m), 6)
+        rank = -sims
+        np.fill_diagonal(rank, -np.inf)
+        k = min(knn, m)
+        near = np.argsort(rank, axis=1, kind="stable")[:, :k]
+        return pa.table({"a": pa.array(np.repeat(ids, k)), "b": pa.array(ids[near].ravel()), "sim": pa.array(np.take_along_axis(sims, near, axis=1).ravel())})
+
+    met = rows.groupBy("bin").applyInArrow(best, "a long, b long, sim double").groupBy("a", "b").agg(F.max("sim").alias("sim"))
+    w = Window.partitionBy("a").orderBy((F.col("a") != F.col("b")).cast("int"), F.desc("sim"), "b")
+    return met.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= knn).select("a", "b", "rank", "sim")
+
+
+def approx_knn(features: DataFrame, nhf: int, knn: int, depth: int = 2, most: int = 1000) -> DataFrame:
+    """Signatures of nhf functions, a forest of nhf / depth trees, and exact comparison inside its bins."""
+    trees = max(1, nhf // depth)
+    return bin_neighbors(forest_bins(minhash_signature(features, trees * depth), trees, depth, most), features, knn)
 
 
 def dense_dot(x: Column, y: Column) -> Column:

@@ -75,8 +75,7 @@ def features_of(fragments: DataFrame, config: Config, structures: DataFrame | No
 def cluster_round(fragments: DataFrame, features: DataFrame, black: DataFrame, state: RoundState, config: Config, number: int, root: str) -> DataFrame:
     """Hits of this round's dense centres, with names round.index."""
     rows = features.join(black.select("id"), "id", "left_anti")
-    n = rows.select("id").distinct().count()
-    near = stored(lsh.approx_knn(rows, n, state.nhf, config.nspdk_knn_center, config.nspdk_excess), root, f"neighbors{number}")
+    near = stored(lsh.approx_knn(rows, state.nhf, config.nspdk_knn_center), root, f"neighbors{number}")
     centers = density.dense_centers(near, density.shared_density(near), config.GLOBAL_num_clusters, state.overlap)
     ranked = density.members(density.center_rankings(centers, near), config.center_subtree_max)
     models = ranked.join(fragments.select(F.col("value").alias("id"), "seq"), "id").select(F.concat_ws(".", F.lit(str(number)), F.col("center_rank").cast("string")).alias("name"), "seq")

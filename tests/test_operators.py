@@ -25,8 +25,23 @@ def test_hashes(spark):
 def test_signature_default_and_recall(spark):
     rows = [(i, int(f), 1.0) for i in range(60) for f in np.random.default_rng(i // 2).integers(1, 10**6, 30)]
     t = spark.createDataFrame(rows, "id long, f long, v double").dropDuplicates(["id", "f"])
-    near = lsh.approx_knn(t, 60, 24, 2, 5).where("rank = 2").collect()
+    near = lsh.approx_knn(t, 24, 2).where("rank = 2").collect()
     assert len(near) == 60 and all(r.a // 2 == r.b // 2 for r in near)
+    # bins that are too large are split by the next function, then by the id; nobody is left out
+    bins = lsh.forest_bins(lsh.minhash_signature(t.withColumn("f", F.when(F.col("id") < 40, F.col("f") % 3 + 1).otherwise(F.col("f"))), 6), 3, 2, 10).groupBy("bin").agg(F.count("*").alias("n"), F.collect_list("id").alias("ids")).collect()
+    assert max(r.n for r in bins) <= 10 and sorted(i for r in bins for i in r.ids) == sorted(list(range(60)) * 3)
+
+
+def test_products_of_sparse_vectors():
+    r = np.random.default_rng(3)
+    for m, wide in ((1, 5), (7, 40), (50, 3000)):
+        x = (r.random((m, wide)) < 0.1) * r.random((m, wide))
+        x[:, 0] = 1
+        of, f = np.nonzero(x)
+        assert np.allclose(lsh._products(of, f.astype(np.int64) * 7, x[of, f], m, 8)[~np.eye(m, dtype=bool)], (x @ x.T)[~np.eye(m, dtype=bool)])
+
+
+def test_signature_limits():
     assert lsh.max_bin_share(1000) == 1 and lsh.max_bin_share(3000) == 0.3333 and lsh.max_bin_share(10**9) == 1e-4
 
 
