@@ -61,8 +61,13 @@ def _merged(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[in
     return out
 
 
-def hits(text: bytes, blocks: list) -> tuple[int, list[tuple[int, int]], list[str]]:
-    """Number of words, ranges of words in windows, sorted ids of the items these belong to."""
+def _sorted(ids: set) -> list:
+    """Ids as sorted strings, the null one last."""
+    return sorted((None if k is None else str(k) for k in ids), key=lambda k: (k is None, k or ""))
+
+
+def hits(text: bytes, blocks: list) -> tuple[int, list[tuple[int, int]], list[str | None]]:
+    """Number of words, ranges of words in windows, sorted ids of the items these belong to (items without id: one null)."""
     ws = words_of(text)
     spans: list[tuple[int, int]] = []
     found: set = set()
@@ -70,7 +75,7 @@ def hits(text: bytes, blocks: list) -> tuple[int, list[tuple[int, int]], list[st
         s, f = b.value.spans(ws)
         if s:
             spans, found = _merged(spans, s), found | f
-    return len(ws), spans, sorted({str(k) for k, _ in found})
+    return len(ws), spans, _sorted({k for k, _ in found})
 
 
 def without(text: str, spans: list[tuple[int, int]]) -> str:
@@ -102,7 +107,7 @@ def _matched(docs: DataFrame, passes: Iterator[list], schema: dict[str, str], on
                         if "_spans" in row:
                             before = row.pop("_spans")
                             spans = _merged(spans, list(zip(before[::2], before[1::2], strict=True)))
-                            found = sorted({*found, *row.pop("_found")})
+                            found = _sorted({*found, *row.pop("_found")})
                         made = one(row, n, spans, found) if last else (*row.values(), [x for s in spans for x in s], found)
                         if made is not None:
                             out.append(made)
@@ -123,12 +128,13 @@ def report(docs: DataFrame, items: DataFrame, span: int = SPAN, most: int = PASS
 
     A window is `span` consecutive words of an item, or all of a shorter one. Null and empty texts have no words and
     null or wordless items no window; repeated rows each give a row; without items nothing is hit. The digest is of
-    the item ids that have windows in the document, as sorted strings with commas (none: of the empty string).
+    the item ids that have windows in the document, as sorted strings with commas (none: of the empty string). Items
+    without id hit words like others; together they count as one item, which the digest doesn't have.
     """
 
     def one(row: dict, n: int, spans: list[tuple[int, int]], found: list[str]) -> tuple:
         hit = sum(b - a for a, b in spans)
-        return row["doc_id"], n, hit, len(found), hashlib.sha256(",".join(found).encode()).hexdigest(), hit > 0
+        return row["doc_id"], n, hit, len(found), hashlib.sha256(",".join(k for k in found if k is not None).encode()).hexdigest(), hit > 0
 
     return _matched(docs.select("doc_id", "text"), automata(items, span, min(BLOCK_WORDS, most), most), {"doc_id": "long", "n_words": "long", "n_hit": "long", "n_items": "long", "items_sha256": "string", "contaminated": "boolean"}, one)
 

@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-from strandloom.llm.reputation import SUFFIXES
+from strandloom.llm.reputation import SECOND
 
 _CRC_TABLE = "(SELECT list(list_reduce([n::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY n) FROM range(256) r(n))"
 
@@ -23,14 +23,14 @@ def _level(counts: str, key: str, parent: str | None, up: str | None) -> str:
 {key}_r AS (SELECT *, bad + m * s AS a, n - bad + (1 - m) * s AS b FROM {key}_t)"""
 
 
-_SUFFIXES = ", ".join(f"'{x}'" for x in SUFFIXES)
+_SECOND = "|".join(SECOND)
 
 _OP4 = rf"""
 WITH parts AS (SELECT page_id, regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', ['h', 'p']) AS x FROM pages),
 u AS (SELECT page_id, translate(x.h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, x.p AS path FROM parts),
 marks AS (SELECT doc_id, count(*) AS n, sum((coalesce(quality = 0, false) OR coalesce(toxic = 1, false))::INT) AS bad FROM labels GROUP BY doc_id),
 sites AS (SELECT regexp_replace(regexp_replace(host, '(?s)^.*@', ''), ':[0-9]*\z', '') AS host, coalesce(sum(n), 0)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS bad FROM u LEFT JOIN marks ON doc_id = page_id GROUP BY 1),
-ends AS (SELECT *, regexp_matches(host, '^\[.*\]\z|^[0-9]{{1,3}}(\.[0-9]{{1,3}}){{3}}\z') AS address, coalesce(list_sort(list_filter([{_SUFFIXES}], lambda x: host = x OR ends_with(host, '.' || x)), 'DESC')[1], string_split(host, '.')[-1]) AS last FROM sites),
+ends AS (SELECT *, regexp_matches(host, '^\[.*\]\z|^[0-9]{{1,3}}(\.[0-9]{{1,3}}){{3}}\z') AS address, CASE WHEN regexp_matches(host, '(?:^|\.)(?:{_SECOND})\.[a-z]{{2}}\z') THEN array_to_string(string_split(host, '.')[-2:], '.') ELSE string_split(host, '.')[-1] END AS last FROM sites),
 hosts AS (SELECT host, CASE WHEN address THEN host ELSE array_to_string(string_split(host, '.')[-(len(string_split(last, '.')) + 1):], '.') END AS domain, CASE WHEN address THEN '' ELSE last END AS suffix, n, bad FROM ends),
 domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY 1, 2), suffixes AS (SELECT suffix, sum((n > 0)::INT)::DOUBLE AS n, sum(CASE WHEN n > 0 THEN bad / n ELSE 0 END) AS bad FROM domains GROUP BY 1),
 {_level("suffixes", "suffix", None, None)}, {_level("domains", "domain", "suffix_r", "suffix")}, {_level("hosts", "host", "domain_r", "domain")},

@@ -11,8 +11,8 @@ from strandloom.llm.shared import cut, lower_ascii, salted_join
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 
 
-#: Suffixes of more than one label under which the public registers domains; any other suffix is a host's last label.
-SUFFIXES = ("ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "ne.jp", "or.jp", "co.kr", "co.in", "co.za", "com.br", "com.cn", "com.mx", "com.tr", "com.tw")
+#: Labels below which the registers of countries (last labels of two letters) give out domains. Fixed values.
+SECOND = ("ac", "asn", "co", "com", "edu", "go", "gob", "gouv", "gov", "gv", "id", "info", "ltd", "me", "mil", "ne", "net", "nic", "nom", "or", "org", "plc", "sch")
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -33,22 +33,37 @@ def site(host: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(host, r"(?s)^.*@", ""), r":[0-9]*\z", "")
 
 
-def levels(name: Column, suffixes: tuple[str, ...]) -> tuple[Column, Column]:
+def levels(name: Column, second: tuple[str, ...] = SECOND, listed: Column | None = None) -> tuple[Column, Column]:
     """Registered domain and suffix of a site. An address has neither: it is its own domain, under the empty suffix.
 
-    The longest of `suffixes` that ends a site is its suffix, else its last label; the domain is one label more, or
-    the whole site if there is no more. The suffixes are a parameter, so their number is fixed.
+    The suffix is `listed` where that isn't null; else the last two labels, if these are one of `second` and two letters;
+    else the last label. The domain is one label more, or the whole site if there is no more.
     """
     address = name.rlike(r"^\[.*\]\z|^[0-9]{1,3}(\.[0-9]{1,3}){3}\z")
-    known = [F.when((name == x) | name.endswith("." + x), F.struct(F.lit(len(x)).alias("n"), F.lit(x).alias("x"))) for x in suffixes]
-    last = F.substring_index(name, ".", -1)
-    suffix = F.coalesce(F.array_max(F.array(*known))["x"], last) if known else last
+    of_country = name.rlike(rf"(?:^|\.)(?:{'|'.join(second)})\.[a-z]{{2}}\z") if second else F.lit(False)
+    suffix = F.when(of_country, F.substring_index(name, ".", -2)).otherwise(F.substring_index(name, ".", -1))
+    suffix = suffix if listed is None else F.coalesce(listed, suffix)
     labels = F.split(name, r"\.")
     more = F.size(F.split(suffix, r"\.")) + 1
     domain = F.array_join(F.slice(labels, F.greatest(F.size(labels) - more + 1, F.lit(1)), more), ".")
     return F.when(address, name).otherwise(domain), F.when(address, "").otherwise(suffix)
 
 
+def with_levels(counted: DataFrame, second: tuple[str, ...], suffixes: DataFrame | None) -> DataFrame:
+    """host, domain, suffix, n, bad. Of `suffixes` (suffix) the longest that ends a host is its suffix, whatever `second` says."""
+    if suffixes is None:
+        domain, suffix = levels(F.col("host"), second)
+        return counted.select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "bad")
+    known = suffixes.select(F.lower("suffix").alias("_end")).where("_end <> ''").distinct()
+    labels = F.split("host", r"\.")
+    ends = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    # a row for each host and end of it; hosts are distinct here, and a join by equality leaves any list's size open
+    found = counted.select("host", F.explode(ends).alias("_end")).join(known, "_end").groupBy("host").agg(F.max_by("_end", F.length("_end")).alias("_listed"))
+    rows = counted.join(found, "host", "left")
+    domain, suffix = levels(F.col("host"), second, F.col("_listed"))
+    return rows.select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "bad")
+
+
 def _rates(counts: DataFrame, key: str, parent: DataFrame | None, up: str | None) -> DataFrame:
     """key (with the keys above it), n, bad, and a, b of the beta posterior.
 
@@ -77,12 +92,13 @@ def _rates(counts: DataFrame, key: str, parent: DataFrame | None, up: str | None
     return rows.select(*counts.columns, (F.col("bad") + F.col("m") * F.col("s")).alias("a"), (F.col("n") - F.col("bad") + (1 - F.col("m")) * F.col("s")).alias("b"))
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, worst: float = 0.2, z: float = 1.645, keep: tuple[str, ...] = (), suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
+def judge(pages: DataFrame, labels: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, worst: float = 0.2, z: float = 1.645, keep: tuple[str, ...] = (), second: tuple[str, ...] = SECOND, suffixes: DataFrame | None = None) -> DataFrame:
     """A verdict for every page: the longest fitting rule's, else by its host's reputation.
 
     A labelled page (labels.doc_id = page_id) is bad if its quality is 0 or it is toxic. The rate of bad pages of a
     suffix, a registered domain and a host is shrunk towards the level above. User and port are no part of a host here,
-    and addresses have no domain above them.
+    and addresses have no domain above them. A suffix is a last label, or a country's and one of `second` before it;
+    a table of suffixes, such as the public list read from a file, goes before that rule.
     A host is blocked if the lower bound of its posterior (mean - z standard deviations) is above `worst`, so only on
     evidence. Of a suffix each domain's rate counts once. Hosts without labelled pages have their domain's, then their
     suffix's posterior, widened by one prior. Null or unparsable urls have empty host and path, and are allowed without labels against them. Repeated pages count
@@ -94,8 +110,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules: tuple[tuple[str, str, str]
     marks = labels.select(F.col("doc_id").alias("_page"), F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0).alias("_bad")).groupBy("_page").agg(F.count("*").alias("_n"), F.sum("_bad").alias("_bad"))
     # counted by host before any level is built: what follows has a row for each host at most, and each level is stored
     counted = rows.join(marks, F.col("page_id") == F.col("_page"), "left").groupBy(F.col("_site").alias("host")).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"), F.coalesce(F.sum("_bad"), F.lit(0)).alias("bad"))
-    domain, suffix = levels(F.col("host"), suffixes)
-    hosts = cut(counted.select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "bad"))
+    hosts = cut(with_levels(counted, second, suffixes))
     domains = cut(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
     # a domain is one observation of its suffix, however many pages it has: else one bad domain would condemn all others there
     seen = F.col("n") > 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -47,7 +48,8 @@ class Encoder:
     """Ids of whole texts by a byte-level BPE of the tokenizers library, no special tokens.
 
     Its pre-tokenisation starts a new piece at every single space between other characters, so what lies between two
-    such spaces is encoded once and then found again by its 64-bit hash, size and bytes. Texts with other runs of white
+    such spaces is encoded once and then found again by its 64-bit hash, size and bytes. A tokenizer whose file says
+    otherwise encodes whole texts. Texts with other runs of white
     space, at the ends too, with white space beyond ASCII, or with a piece whose hash another piece has go to the
     library whole.
     """
@@ -58,6 +60,10 @@ class Encoder:
 
         self.bpe = Tokenizer.from_file(path)
         self.bpe.encode_special_tokens = True
+        with open(path, encoding="utf-8") as f:
+            told = json.load(f)
+        rule = told.get("pre_tokenizer") or {}
+        self.pieces = told.get("normalizer") is None and rule.get("type") == "ByteLevel" and rule.get("use_regex", True) and not rule.get("add_prefix_space", True)
         self.clear()
 
     def clear(self) -> None:
@@ -102,6 +108,9 @@ class Encoder:
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one text after another, and how many each has."""
+        if not self.pieces:
+            got = self._whole([x or "" for x in texts.to_pylist()])
+            return np.array([i for ids in got for i in ids], dtype=np.uint32), np.array([len(ids) for ids in got], dtype=np.int64)
         buf, docs = tb.joined(texts)
         n = len(texts)
         if not len(buf):

@@ -266,7 +266,7 @@ def brute_report(docs, items, span=10):
                 if (g := tuple(w[j : j + n])) in windows:
                     hit |= set(range(j, j + n))
                     found |= windows[g]
-        out[(d, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest(), bool(hit))] += 1
+        out[(d, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(str(k) for k in found if k is not None)).encode()).hexdigest(), bool(hit))] += 1
     return out
 
 
@@ -364,6 +364,14 @@ def test_encoder_agrees_with_the_library(texts):
     assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])][: len(texts)] == [x.ids for x in e.bpe.encode_batch(texts, add_special_tokens=False)] if texts else not len(flat)
 
 
+def test_encoder_of_another_tokenizer_encodes_whole_texts():
+    e = tokens.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["Hello world the cats", None, "", "a  b", " x y"]
+    flat, counts = e(pa.array(texts, pa.string()))
+    assert not e.pieces and tokens.encoder(PATH).pieces
+    assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == [x.ids for x in e.bpe.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
 def thue_morse(n):
     a, b = "a", "b"
     for _ in range(n):
@@ -625,15 +633,39 @@ def test_reputation(spark):
 
 
 def test_registered_domains_and_addresses(spark):
-    names = {"a.bad.co.uk": ("bad.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "x.y.com": ("y.com", "com"), "com": ("com", "com"), "": ("", ""), "10.0.0.1": ("10.0.0.1", ""), "[::1]": ("[::1]", ""), "1.2.3.4.com": ("4.com", "com"), "xco.uk": ("xco.uk", "uk")}
+    names = {"a.bad.co.uk": ("bad.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "x.y.com": ("y.com", "com"), "com": ("com", "com"), "": ("", ""), "10.0.0.1": ("10.0.0.1", ""), "[::1]": ("[::1]", ""), "1.2.3.4.com": ("4.com", "com"), "xco.uk": ("xco.uk", "uk"), "a.b.co.il": ("b.co.il", "co.il"), "co.com": ("co.com", "com")}
     t = spark.createDataFrame([(k,) for k in names], "h string")
-    domain, suffix = reputation.levels(F.col("h"), reputation.SUFFIXES)
+    domain, suffix = reputation.levels(F.col("h"))
     assert {r.h: (r.d, r.s) for r in t.select("h", domain.alias("d"), suffix.alias("s")).collect()} == names
     hosts = ["u:p@bad.co.uk", "bad.co.uk:800", "bad.co.uk", "a@b@bad.co.uk:", "[::1]:80", "fine:8x"]
     sites = [r.s for r in spark.createDataFrame([(h,) for h in hosts], "h string").select(reputation.site(F.col("h")).alias("s")).collect()]
     assert sites == ["bad.co.uk"] * 4 + ["[::1]", "fine:8x"]
 
 
+def test_listed_suffixes(spark):
+    counted = spark.createDataFrame([(h, 1, 0) for h in ("a.b.site.io", "b.site.io", "site.io", "x.co.il", "10.0.0.1", "", "q.w.other")], "host string, n long, bad long")
+    listed = spark.createDataFrame([("Site.io",), ("io",), ("b.site.io",), (None,), ("",)], "suffix string")
+    got = {r.host: (r.domain, r.suffix) for r in reputation.with_levels(counted, reputation.SECOND, listed).collect()}
+    assert got == {"a.b.site.io": ("a.b.site.io", "b.site.io"), "b.site.io": ("b.site.io", "b.site.io"), "site.io": ("site.io", "site.io"), "x.co.il": ("x.co.il", "co.il"), "10.0.0.1": ("10.0.0.1", ""), "": ("", ""), "q.w.other": ("w.other", "other")}
+
+
+@pytest.mark.parametrize("end", ["co.il", "com.pl", "gov.za"])
+def test_a_bad_domain_of_any_country_leaves_strangers_alone(spark, end):
+    urls = [(i, f"http://bad.{end}/x") for i in range(60)] + [(100 + i, f"http://fine{i}.{end}/") for i in range(5)] + [(300 + i, f"http://good{i % 9}.net/") for i in range(90)]
+    labels = spark.createDataFrame([(i, 0, 0) for i in range(60)] + [(300 + i, 1, 0) for i in range(90)], "doc_id long, quality int, toxic int")
+    out = {r.page_id: r.verdict for r in reputation.judge(spark.createDataFrame(urls, "page_id long, url string"), labels).collect()}
+    assert {out[100 + i] for i in range(5)} == {"allow"} and out[0] == "block"
+
+
+def test_items_without_id(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k"), (2, "l m n"), (3, "a b c d e f g h i j l m n")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "a b c d e f g h i j"), (None, "l m n"), (7, "m n")], "item_id long, text string")
+    for most in (decontaminate.PASS_WORDS, 1):
+        got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256) for r in decontaminate.report(docs, items, most=most).collect()}
+        none, seven = (hashlib.sha256(x.encode()).hexdigest() for x in ("", "7"))
+        assert got == {1: (10, 1, none), 2: (3, 2, seven), 3: (13, 2, seven)}
+
+
 def test_a_bad_host_does_not_taint_its_public_suffix(spark):
     urls = [(i, "http://bad.co.uk/x") for i in range(60)] + [(100 + i, f"http://fine{i}.co.uk/") for i in range(3)] + [(200, "http://u:p@bad.co.uk/"), (201, "http://bad.co.uk:800/"), (202, "http://[::1]:8/"), (203, "http://10.0.0.1/")]
     urls += [(300 + i, f"http://good{i % 9}.net/") for i in range(90)]
