@@ -51,7 +51,7 @@ def run(spark: SparkSession, hits: str, out: str, config: dict) -> DataFrame:
     last = marks.agg(F.max("round")).first()[0]
     rows = hits_of(spark.read.parquet(hits), config)
     if last is not None:
-        rows = rows.where(F.col("round") >= last).join(marks.select("name"), "name", "left_anti")
+        rows = partitions.new_hits(rows.where(F.col("round") >= last), marks)
     rest = [c for c in HIT if c != "rid"]
     rows = rows.groupBy("rid").agg(F.min(F.struct(*rest)).alias("x")).select("rid", *[F.col(f"x.{c}").alias(c) for c in rest])
     shared_dir(spark)

@@ -72,17 +72,6 @@ def without_structure(sequences: DataFrame, structures: DataFrame) -> DataFrame:
     return sequences.select("graph_id").join(structures.select("graph_id"), "graph_id", "left_anti")
 
 
-def align_pairs(pairs: DataFrame, texts: DataFrame, score: Callable[[str, str], float]) -> DataFrame:
-    """i, j, score by any scoring function; the pairs are dealt like any other rows."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield pd.DataFrame({"i": f["i"], "j": f["j"], "score": [score(a, b) for a, b in zip(f["x"], f["y"], strict=True)]})
-
-    rows = pairs.join(texts.select(F.col("id").alias("i"), F.col("seq").alias("x")), "i").join(texts.select(F.col("id").alias("j"), F.col("seq").alias("y")), "j")
-    return rows.select("i", "j", "x", "y").mapInPandas(run, "i long, j long, score double")
-
-
 def scan(models: DataFrame, windows: DataFrame, k: int = 4, least: float = 20.0) -> DataFrame:
     """name, seqid, start, stop, strand, bitscore: windows (seqid, start, stop, strand, seq) that share k-mers with a model
     (name, seq), scored by 100 times the share of the model's k-mers; `least` and more."""

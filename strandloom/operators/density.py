@@ -7,6 +7,8 @@ import random
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandloom.operators import lsh
+
 
 def approx_density(neighbors: DataFrame) -> DataFrame:
     """id, density: mean similarity to the neighbours other than itself; null without any. Summed as decimals, so in any order alike."""
@@ -35,14 +37,23 @@ def smoothed_density(neighbors: DataFrame) -> DataFrame:
     return neighbors.select("a", "b").join(d.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.round(F.sum(F.col("density").cast("decimal(18,9)")).cast("double") / F.count("density"), 6).alias("density"))
 
 
-def true_density(sims: DataFrame) -> DataFrame:
-    """Mean similarity to all others, from all pairs (a, b, sim)."""
-    return sims.where("a <> b").groupBy(F.col("a").alias("id")).agg(F.round(F.avg("sim"), 6).alias("density"))
+def _sum_of(vectors: DataFrame) -> DataFrame:
+    """One row: total, the sum of the vectors (id, vec), by places, as many as the longest has; and their number n."""
+    places = vectors.select(F.posexplode("vec").alias("pos", "x")).groupBy("pos").agg(F.sum(F.col("x").cast("double")).alias("x"))
+    total = places.agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("p")).select(F.transform("p", lambda e: e["x"]).alias("total"))
+    return total.crossJoin(vectors.agg(F.count("*").alias("n")))
+
+
+def true_density(vectors: DataFrame) -> DataFrame:
+    """id, density: mean dot product with all other vectors, which is one product with the sum of all of them."""
+    own = lsh.dense_dot(F.col("vec"), F.col("vec"))
+    return vectors.crossJoin(F.broadcast(_sum_of(vectors))).select("id", F.round((lsh.dense_dot(F.col("vec"), F.col("total")) - own) / F.nullif(F.col("n") - 1, F.lit(0)), 6).alias("density"))
 
 
-def similarity_to_set(sims: DataFrame, members: DataFrame) -> DataFrame:
-    """a, avg_sim: mean similarity of each a to the members, itself included if it is one."""
-    return sims.join(members.select(F.col("id").alias("b")), "b", "left_semi").groupBy("a").agg(F.round(F.sum(F.col("sim").cast("decimal(18,9)")).cast("double") / F.count("sim"), 6).alias("avg_sim"))
+def similarity_to_set(vectors: DataFrame, members: DataFrame) -> DataFrame:
+    """a, avg_sim: mean dot product of each vector with those of the members (id), itself included if it is one."""
+    of = _sum_of(vectors.join(members.select("id"), "id", "left_semi")).where("n > 0")
+    return vectors.crossJoin(F.broadcast(of)).select(F.col("id").alias("a"), F.round(lsh.dense_dot(F.col("vec"), F.col("total")) / F.col("n"), 6).alias("avg_sim"))
 
 
 def sampled(ids: DataFrame, fraction: float, seed: int) -> DataFrame:

@@ -142,3 +142,46 @@ def round_summary(scores: DataFrame) -> DataFrame:
     w = Window.orderBy("round").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     up = lambda c: F.sum(F.coalesce(c, F.lit(0))).over(w)
     return each.join(first, "round", "left").select("round", up("n").alias("clusters"), up("fresh").alias("classes"), F.round(F.sum("s").over(w) / F.sum("n").over(w), 4).alias("mean_f"), *[up(f"t{t}").alias(f"f{t}") for t in (90, 80, 70, 50)])
+
+
+def node_quality(leaves: DataFrame, classes: DataFrame) -> DataFrame:
+    """group, node, leaves, class, qual: a node's largest true class (not 0; ties: least) and its share of the leaves below
+    (group, node, id), to two digits. Ids without class are noise; a node of noise has class 0 and quality 0."""
+    of = classes.where("class <> 0").select("id", "class")
+    counted = leaves.join(of, "id", "left").groupBy("group", "node", "class").agg(F.count("*").alias("n"))
+    best = F.max(F.when(F.col("class").isNotNull(), F.struct("n", (-F.col("class")).alias("c"))))
+    rows = counted.groupBy("group", "node").agg(F.sum("n").alias("leaves"), best.alias("b"))
+    share = F.floor((200 * F.coalesce(F.col("b.n"), F.lit(0)) + F.col("leaves")) / (2 * F.col("leaves"))) / 100
+    return rows.select("group", "node", "leaves", F.coalesce(-F.col("b.c"), F.lit(0)).alias("class"), share.alias("qual"))
+
+
+def pure_subtrees(quality: DataFrame) -> DataFrame:
+    """group, node, leaves, class of the nodes of quality 1 that lie under no other, in trees numbered in preorder.
+
+    A node's subtree is the run of 2 * leaves - 1 numbers from its own, so of nested pure nodes the first is the topmost:
+    a running end of the runs so far tells whether a node lies in one.
+    """
+    pure = quality.where("qual = 1")
+    w = Window.partitionBy("group").orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
+    ends = pure.withColumn("_end", F.max(F.col("node") + 2 * F.col("leaves") - 1).over(w))
+    return ends.where("_end is null or node >= _end").select("group", "node", "leaves", "class")
+
+
+def node_lists(nodes: DataFrame) -> DataFrame:
+    """list, group, node, score, qual of nodes (group, node, rank, score, qual): TOP are the first in rank, TRUE those of
+    quality 1, FALSE the others; to be read by falling score, TRUE by rising score, then group and node."""
+    named = [F.when(F.col("rank") == 1, F.lit("TOP")), F.when(F.col("qual") == 1, F.lit("TRUE")).otherwise(F.lit("FALSE"))]
+    return nodes.select(F.explode(F.filter(F.array(*named), lambda x: x.isNotNull())).alias("list"), "group", "node", "score", "qual")
+
+
+def center_quality(centers: DataFrame, cutoffs: tuple[float, ...] = (1, 0.2, 0.1, 0.01)) -> DataFrame:
+    """round (0: all of them), cutoff, centers_rel, centers_abs, perfect, perfect_abs of centres (round, p, hits, size).
+
+    centers_abs have a p-value of the cutoff at most, centers_rel is their share to three digits; perfect centres have
+    nothing but hits of their class: those below the cutoff, and all.
+    """
+    every = centers.select(F.explode(F.array(F.lit(0), F.col("round").cast("int"))).alias("round"), "p", (F.col("hits") == F.col("size")).alias("perfect"))
+    rows = every.withColumn("cutoff", F.explode(F.array(*[F.lit(float(c)) for c in cutoffs])))
+    below = F.col("p") <= F.col("cutoff")
+    count = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    return rows.groupBy("round", "cutoff").agg(F.round(count(below) / F.count("*"), 3).alias("centers_rel"), count(below).alias("centers_abs"), count(below & F.col("perfect")).alias("perfect"), count(F.col("perfect")).alias("perfect_abs"))

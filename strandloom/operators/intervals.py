@@ -75,11 +75,6 @@ def overlap_join(left: DataFrame, right: DataFrame, cutoff: float = 0.0, ignore_
     return met.withColumn("pct", pct).where(F.col("pct") >= round(cutoff * 100))
 
 
-def any_overlap(a: DataFrame, b: DataFrame, cutoff: float = 0.1) -> bool:
-    """Whether any two intervals overlap, on any strand."""
-    return not overlap_join(a, b, cutoff, ignore_strand=True).isEmpty()
-
-
 def merge_islands(df: DataFrame) -> DataFrame:
     """seqid, strand, start, stop, n: maximal runs of intervals that share a position, by gaps and islands."""
     w = Window.partitionBy("seqid", "strand").orderBy("start", "stop")

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandloom.operators import extremes
 from strandloom.operators.intervals import overlap_join
 
 
@@ -25,53 +24,15 @@ def score_cutoff(hits: DataFrame, min_bits: float, max_evalue: float, significan
     return rows.where(keep).drop("_e", "_n", "_gev")
 
 
-def fit_gev(x: np.ndarray) -> tuple[float, float, float]:
-    """Location, scale and shape of a generalised extreme-value distribution, by probability-weighted moments."""
-    x = np.sort(x)
-    n = len(x)
-    j = np.arange(1, n + 1)
-    b0, b1, b2 = x.mean(), (x * (j - 1)).sum() / (n * (n - 1)), (x * (j - 1) * (j - 2)).sum() / (n * (n - 1) * (n - 2))
-    c = (2 * b1 - b0) / (3 * b2 - b0) - np.log(2) / np.log(3)
-    k = 7.859 * c + 2.9554 * c * c
-    from math import gamma
-
-    if abs(k) < 1e-9:
-        scale = (2 * b1 - b0) / np.log(2)
-        return b0 - 0.5772156649 * scale, scale, 0.0
-    g = gamma(1 + k)
-    scale = (2 * b1 - b0) * k / (g * (1 - 2**-k))
-    return b0 + scale * (g - 1) / k, scale, k
-
-
-def gev_quantile(x: np.ndarray, p: float) -> float:
-    """The value exceeded with probability p under the fit to the non-zero scores; p = 1: 0; p <= 0: the largest score."""
-    x = x[x != 0]
-    if p >= 1 or not len(x):
-        return 0.0
-    if p <= 0 or len(x) < 4 or x.max() == x.min():
-        return float(x.max())
-    loc, scale, k = fit_gev(x)
-    y = -np.log(1 - p)
-    return float(loc + scale * (1 - y**k) / k) if k else float(loc - scale * np.log(y))
-
-
 def gev_cutoffs(hits: DataFrame, significance: float) -> DataFrame:
-    """name, cutoff."""
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"name": [pdf["name"].iloc[0]], "cutoff": [gev_quantile(pdf["bitscore"].to_numpy(), significance)]})
-
-    return hits.select("name", "bitscore").groupBy("name").applyInPandas(one, "name string, cutoff double")
+    """name, cutoff: the score that the model's extreme-value distribution exceeds with probability `significance`."""
+    return extremes.cutoffs(hits.select(F.col("name").alias("key"), F.col("bitscore").alias("x")), significance).withColumnRenamed("key", "name")
 
 
 def significance_matrix(matrix: DataFrame, p: float) -> DataFrame:
     """i, j, sig: 1 where a cell (i, j, val) reaches its column's cutoff, and on the diagonal."""
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        cut = gev_quantile(pdf["val"].to_numpy(), p)
-        return pd.DataFrame({"i": pdf["i"], "j": pdf["j"], "sig": ((pdf["val"] >= cut) | (pdf["i"] == pdf["j"])).astype("int32")})
-
-    return matrix.select("i", "j", "val").groupBy("j").applyInPandas(one, "i long, j long, sig int")
+    cut = extremes.cutoffs(matrix.select(F.col("j").alias("key"), F.col("val").alias("x")), p).withColumnRenamed("key", "j")
+    return matrix.join(cut, "j").select("i", "j", ((F.col("val") >= F.col("cutoff")) | (F.col("i") == F.col("j"))).cast("int").alias("sig"))
 
 
 def collect_hits(hits: DataFrame, least: int = 2, grey: DataFrame | None = None) -> DataFrame:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandloom.plans import formats, relational, similarity, structure
+from strandloom.plans import formats, further, relational, similarity, structure
 
-_ALL = {**similarity.QUERIES, **relational.QUERIES, **structure.QUERIES, **formats.QUERIES}
+_ALL = {**similarity.QUERIES, **relational.QUERIES, **structure.QUERIES, **formats.QUERIES, **further.QUERIES}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

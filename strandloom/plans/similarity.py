@@ -239,23 +239,14 @@ def smoothed_density(s, d):
 
 
 def true_density(s, d):
-    v = vectors(s, d)
-    x = v.select(F.col("id").alias("a"), F.col("vec").alias("x"))
-    m = v.agg(*[F.sum(F.col("vec")[i]).alias(f"c{i}") for i in range(64)], F.count("*").alias("n")).select(F.array(*[f"c{i}" for i in range(64)]).alias("t"), "n")
-    # the sum over all others is one dot product with the sum of all vectors
-    own = lsh.dense_dot(F.col("x"), F.col("x"))
-    return x.crossJoin(F.broadcast(m)).select(F.col("a").alias("id"), F.round((lsh.dense_dot(F.col("x"), F.col("t")) - own) / (F.col("n") - 1), 6).alias("density"))
+    return density.true_density(vectors(s, d))
 
 
 TRUE_DENSITY = f"WITH {VECTORS} SELECT x.id, round(avg(list_dot_product(x.vec, y.vec)), 6) AS density FROM vectors x JOIN vectors y ON x.id <> y.id GROUP BY x.id"
 
 
 def similarity_to_set(s, d):
-    v = vectors(s, d)
-    members = v.join(read(s, d, "embeddings").where("label = 0").select(F.col("vec_id").alias("id")), "id", "left_semi")
-    # the sum over all members is one dot product with the sum of their vectors
-    m = members.agg(*[F.sum(F.col("vec")[i]).alias(f"c{i}") for i in range(64)], F.count("*").alias("n")).select(F.array(*[f"c{i}" for i in range(64)]).alias("t"), "n").where("n > 0")
-    return v.crossJoin(F.broadcast(m)).select(F.col("id").alias("a"), F.round(lsh.dense_dot(F.col("vec"), F.col("t")) / F.col("n"), 6).alias("avg_sim"))
+    return density.similarity_to_set(vectors(s, d), read(s, d, "embeddings").where("label = 0").select(F.col("vec_id").alias("id")))
 
 
 def _centers(s, d):
