@@ -13,21 +13,22 @@ from pyspark.sql import functions as F
 
 from strandloom.llm import textbuf as tb
 from strandloom.llm.components import components
-from strandloom.llm.shared import cut, parts, salted_join
+from strandloom.llm.shared import cut, few, parts, salted_join, table
 from strandloom.llm.simhash import word_shingles
 from strandloom.llm.textbuf import slices
 
 U = tb.U
-#: Min-wise tokens of a set, of 16 bits each, and how many of them a pair of at least 0.8 has in common but for 4 in a million.
+#: Min-wise tokens of a set, of 16 bits each to branch by and four to compare, and how many of the latter a pair of at
+#: least 0.8 has in common, but for a few in a million.
 TOKENS, COMMON = 64, 36
 #: Independent trees, and levels after which what is left of a node is compared in blocks.
-TREES, DEPTH = 12, 12
+TREES, DEPTH = 12, 8
 #: Members and shingles of a node that is compared exhaustively.
-MEMBERS, WEIGHT = 256, 1 << 21
+MEMBERS, WEIGHT = 384, 1 << 21
 #: A node branches by one token, and one in so many by two: as many ways on the average as 1 / 0.8.
 FORK = 4
 _FACTORS = tb.mix(np.arange(1, TOKENS + 1, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
-_SET = "digest string, n long, sketch binary"
+_SET = "digest string, n long, sketch binary, short binary"
 
 
 def sets(texts: pa.Array, k: int) -> list[np.ndarray]:
@@ -36,24 +37,27 @@ def sets(texts: pa.Array, k: int) -> list[np.ndarray]:
     return [np.unique(x) for x in np.split(h, np.cumsum(counts)[:-1])] if len(texts) else []
 
 
+def told(own: list[np.ndarray]) -> dict[str, pa.Array]:
+    """digest, n, sketch, short of sets: 128 bits, the size, and TOKENS min-wise tokens of 16 and of four bits."""
+    n = np.array([len(x) for x in own], dtype=np.int64)
+    some = np.flatnonzero(n)
+    sketch = np.zeros((len(own), TOKENS), np.uint16)
+    if len(some):
+        flat, first = np.concatenate([own[i] for i in some]), (np.cumsum(n) - n)[some]
+        for i, f in enumerate(_FACTORS):
+            sketch[some, i] = (tb.mix(np.minimum.reduceat(flat * f, first)) & U(0xFFFF)).astype(np.uint16)
+    short = (sketch[:, ::2] & 15 | (sketch[:, 1::2] & 15) << 4).astype(np.uint8)
+    return {"digest": pa.array([xxhash.xxh3_128_hexdigest(x.tobytes()) for x in own], pa.string()), "n": pa.array(n), "sketch": pa.array([x.tobytes() for x in sketch], pa.binary()), "short": pa.array([x.tobytes() for x in short], pa.binary())}
+
+
 def described(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, text_hash, digest, n, sketch of every row: 128 bits of its set, the set's size, and TOKENS min-wise tokens."""
+    """doc_id, text_hash, and told() of every row's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in slices(batch.column("text")):
                 part = batch.slice(lo, hi - lo)
-                own = sets(part.column("text"), k)
-                n = np.array([len(x) for x in own], dtype=np.int64)
-                some = np.flatnonzero(n)
-                sketch = np.zeros((len(own), TOKENS), np.uint16)
-                if len(some):
-                    flat, first = np.concatenate([own[i] for i in some]), (np.cumsum(n) - n)[some]
-                    for i, f in enumerate(_FACTORS):
-                        sketch[some, i] = (tb.mix(np.minimum.reduceat(flat * f, first)) & U(0xFFFF)).astype(np.uint16)
-                yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), part.column("text_hash"), pa.array([xxhash.xxh3_128_hexdigest(x.tobytes()) for x in own], pa.string()), pa.array(n), pa.array([x.tobytes() for x in sketch], pa.binary()),
-                ], ["doc_id", "text_hash", "digest", "n", "sketch"])
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "text_hash": part.column("text_hash")} | told(sets(part.column("text"), k)))
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, f"doc_id long, text_hash long, {_SET}")
 
@@ -83,52 +87,67 @@ def _matrix(col: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), np.uint16).reshape(len(col), TOKENS)
 
 
+def _short(col: pa.Array) -> np.ndarray:
+    both = np.frombuffer(b"".join(col.to_pylist()), np.uint8).reshape(len(col), TOKENS // 2)
+    return np.concatenate([both & 15, both >> 4], axis=1)
+
+
 def leaves(known: DataFrame, trees: range, depth: int, rest: bool) -> DataFrame:
-    """leaf, id: nodes to compare exhaustively, from a forest over known (id, n, group, sketch).
+    """leaf, id: nodes to compare exhaustively, from a forest over known (id, n, group, sketch, ...).
 
     A node whose members belong to one group already is finished. A node of MEMBERS members and WEIGHT shingles at most
-    is a leaf. A larger one branches further; with `rest`, one that still is too large after `depth` levels becomes
-    leaves for each pair of its blocks, which are all its pairs. Without, every larger node becomes leaves of blocks to
-    which its first member is added, so that what resembles the first member is joined to it.
+    is a leaf. In a larger one whose members are of one group but for as many, these others meet each block of the
+    group; otherwise it branches further; what still is too large after `depth` levels becomes leaves for each pair of
+    its blocks, which are all its pairs. Without `rest`, every larger node becomes leaves of blocks to which its first
+    member is added, so that what resembles the first member is joined to it, and branches too.
     """
     slim = known.select("id", "n", "group", "sketch")
     roots = np.array(list(trees), dtype=U)
     start = F.array(*[F.lit(int(x)) for x in tb.mix(roots * U(0xD1B54A32D192ED03) + U(1)).view(np.int64)])
     rows = branched(slim.withColumn("node", F.explode(start)))
     found = []
+    full = F.greatest(F.col("m") / MEMBERS, F.col("w") / WEIGHT)
+    block, every = F.pmod(F.xxhash64("id"), "blocks"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     for level in range(1, depth + 1):
-        rows = cut(rows)
         nodes = rows.groupBy("node").agg(F.count("*").alias("m"), F.sum("n").alias("w"), F.min("id").alias("first"), F.min("group").alias("g"), F.max("group").alias("h")).where("g <> h")
-        nodes = nodes.select("node", "first", F.ceil(F.greatest(F.col("m") / MEMBERS, F.col("w") / WEIGHT)).cast("long").alias("blocks"))
-        met = cut(rows.join(nodes, "node"))
+        nodes = nodes.select("node", "first", F.ceil(full).cast("long").alias("blocks"))
+        # a table and not a checkpoint, which keeps estimates of sizes that each level squares
+        met = rows.join(nodes, "node")
+        met = table(met if level == 1 else few(met, 2 * n), "nodes")
         found.append(met.where("blocks = 1").select(F.col("node").alias("leaf"), "id"))
         large = met.where("blocks > 1")
-        block = F.pmod(F.xxhash64("id"), "blocks")
         if not rest:
             dealt = large.where("id <> first").select(F.xxhash64("node", block).alias("leaf"), "id")
-            heads = nodes.where("blocks > 1").select("node", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("b"), F.col("first").alias("id"))
+            heads = large.where("id = first").select("node", F.explode(every).alias("b"), "id")
             found += [dealt, heads.select(F.xxhash64("node", "b").alias("leaf"), "id")]
-        elif level == depth:
-            other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-            found.append(large.withColumn("own", block).withColumn("other", other).select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("leaf"), "id"))
-        if level == depth or large.isEmpty():
+        else:
+            sizes = large.groupBy("node", "group").agg(F.count("*").alias("m"), F.sum("n").alias("w"))
+            tops = sizes.groupBy("node").agg(F.max(F.struct("m", "w", "group")).alias("top"), F.sum("m").alias("m"), F.sum("w").alias("w"))
+            others = tops.select("node", F.col("top.group").alias("main"), (F.col("m") - F.col("top.m")).alias("m"), (F.col("w") - F.col("top.w")).alias("w")).where(full <= 1).select("node", "main")
+            closed = large.join(others, "node", "left")
+            met_all = closed.where("main is not null").select("node", "id", F.when(F.col("group") == F.col("main"), F.array(block)).otherwise(every).alias("b"))
+            found.append(met_all.select("node", "id", F.explode("b").alias("b")).select(F.xxhash64("node", "b").alias("leaf"), "id"))
+            large = closed.where("main is null").select("node", "id", "blocks")
+            large = table(large if level == 1 else few(large, 2 * n), "large")
+            if level == depth:
+                pairs = large.select("node", "id", block.alias("own"), F.explode(every).alias("other"))
+                found.append(pairs.select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("leaf"), "id"))
+        if level == depth or not (n := large.count()):
             break
         rows = branched(large.select("node", "id").join(slim, "id"))
     return reduce(DataFrame.union, found)
 
 
-def _candidates(sketch: np.ndarray, n: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of a leaf that may be alike, by tokens and sizes, and that aren't in one group yet, with their common tokens."""
-    us, vs, ms = [], [], []
+def _candidates(sketch: np.ndarray, n: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Which members of a leaf may be alike to another, by tokens and sizes, that isn't in their group yet."""
+    out = np.zeros(len(n), dtype=bool)
     for i in range(len(n) - 1):
         j = np.flatnonzero((group[i + 1 :] != group[i]) & (5 * np.minimum(n[i + 1 :], n[i]) >= 4 * np.maximum(n[i + 1 :], n[i]))) + i + 1
         if len(j):
-            same = (sketch[j] == sketch[i]).sum(axis=1)
-            on = same >= COMMON
-            us.append(np.full(int(on.sum()), i))
-            vs.append(j[on])
-            ms.append(same[on])
-    return tuple(np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64) for x in (us, vs, ms))
+            j = j[(sketch[j] == sketch[i]).sum(axis=1) >= COMMON]
+            out[j] = True
+            out[i] |= len(j) > 0
+    return np.flatnonzero(out)
 
 
 def _by_leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -154,24 +173,46 @@ def _together(rows: DataFrame) -> DataFrame:
 
 
 def asked(members: DataFrame) -> DataFrame:
-    """leaf, id of the members of leaves (leaf, id, n, group, sketch) that have a candidate in their leaf."""
+    """leaf, id of the members of leaves (leaf, id, n, group, short) that have a candidate in their leaf."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _by_leaf(batches):
             if t.num_rows < 2:
                 continue
             t = t.combine_chunks()
-            u, v, _ = _candidates(_matrix(t.column("sketch").chunk(0)), np.asarray(t.column("n")), np.asarray(t.column("group")))
-            if len(u):
-                yield t.take(pa.array(np.union1d(u, v))).select(["leaf", "id"]).to_batches()[0]
+            some = _candidates(_short(t.column("short").chunk(0)), np.asarray(t.column("n")), np.asarray(t.column("group")))
+            if len(some):
+                yield t.take(pa.array(some)).select(["leaf", "id"]).to_batches()[0]
+
+    return _together(members.select("leaf", "id", "n", "group", "short")).mapInArrow(run, "leaf long, id long")
 
-    return _together(members.select("leaf", "id", "n", "group", "sketch")).mapInArrow(run, "leaf long, id long")
+
+def common(own: list[np.ndarray], width: int = 8192) -> np.ndarray:
+    """How many elements each two of the sets have in common: products of a matrix of zeros and ones, `width` elements at a time.
+
+    Elements of one set only don't count but on the diagonal, which is left out.
+    """
+    m = len(own)
+    of = np.repeat(np.arange(m), [len(x) for x in own])
+    _, inverse, times = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+    shared = times[inverse] > 1
+    at, of = (np.cumsum(times > 1) - 1)[inverse[shared]], of[shared]
+    order = np.argsort(at, kind="stable")
+    at, of = at[order], of[order]
+    out = np.zeros((m, m), np.int64)
+    for lo in range(0, int(at[-1]) + 1 if len(at) else 0, width):
+        i, j = np.searchsorted(at, [lo, lo + width])
+        x = np.zeros((m, width), np.float32)
+        x[of[i:j], at[i:j] - lo] = 1
+        out += (x @ x.T).astype(np.int64)
+    return out
 
 
 def linked(members: DataFrame, k: int) -> DataFrame:
-    """u, v: links that join, inside each leaf (leaf, id, n, group, sketch, text), what chains of alike sets join.
+    """u, v: links that join, inside each leaf (leaf, id, n, group, text), what chains of alike sets join.
 
-    Candidates are compared by their whole sets, the most alike first; a pair that links have joined already isn't.
+    All pairs of the leaf that aren't in one group are compared by their whole sets. Of links that join what others
+    have joined already none is returned.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,13 +224,15 @@ def linked(members: DataFrame, k: int) -> DataFrame:
                     own = sets(part.column("text"), k)
                     ends = np.cumsum([0, *map(len, own)])
                     flat = np.concatenate(own).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([*[part.column(c) for c in ("leaf", "id", "n", "group", "sketch")], pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(flat))], ["leaf", "id", "n", "group", "sketch", "set"])
+                    yield pa.RecordBatch.from_arrays([*[part.column(c) for c in ("leaf", "id", "group")], pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(flat))], ["leaf", "id", "group", "set"])
 
         for t in _by_leaf(slim(batches)):
             t = t.combine_chunks()
             group = np.asarray(t.column("group"))
-            u, v, same = _candidates(_matrix(t.column("sketch").chunk(0)), np.asarray(t.column("n")), group)
             own = [np.asarray(x.values).view(U) for x in t.column("set")]
+            n = np.array([len(x) for x in own])
+            both = common(own)
+            u, v = np.nonzero(np.triu((100 * both >= 80 * (n[:, None] + n[None, :] - both)) & (group[:, None] != group[None, :]), 1))
             root = {int(g): int(g) for g in group}
 
             def top(x: int, root: dict[int, int] = root) -> int:
@@ -198,20 +241,53 @@ def linked(members: DataFrame, k: int) -> DataFrame:
                 return x
 
             found = []
-            for i in np.lexsort([v, u, -same]).tolist():
-                a, b = int(u[i]), int(v[i])
+            for a, b in zip(u.tolist(), v.tolist(), strict=True):
                 p, q = top(int(group[a])), top(int(group[b]))
-                if p == q:
-                    continue
-                both = len(own[a]) + len(own[b]) - len(np.union1d(own[a], own[b]))
-                if 100 * both >= 80 * (len(own[a]) + len(own[b]) - both):
+                if p != q:
                     root[max(p, q)] = min(p, q)
                     found.append((a, b))
             if found:
                 a, b = (pa.array(x) for x in zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays([t.column("id").combine_chunks().take(a), t.column("id").combine_chunks().take(b)], ["u", "v"])
+                ids = t.column("id").combine_chunks()
+                yield pa.RecordBatch.from_arrays([ids.take(a), ids.take(b)], ["u", "v"])
+
+    return _together(members.select("leaf", "id", "group", "text")).mapInArrow(run, "u long, v long")
+
+
+def classes(rows: DataFrame) -> DataFrame:
+    """id, digest, head (doc_id, text_hash of one of its rows), n, sketch, short of each different set that isn't empty."""
+    head = F.min_by(F.struct("doc_id", "text_hash"), F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("head")
+    some = rows.where("n > 0").groupBy("digest").agg(head, *[F.first(c).alias(c) for c in ("n", "sketch", "short")])
+    return cut(some.select(F.monotonically_increasing_id().alias("id"), "digest", "head", "n", "sketch", "short"))
+
+
+def links(known: DataFrame, docs: DataFrame, k: int, trees: int = TREES, depth: int = DEPTH, given: DataFrame | None = None) -> DataFrame:
+    """u, v: edges between the ids of classes() by which chains of sets with a Jaccard similarity of 0.8 or more are connected.
+
+    `given` edges hold beforehand and are among the result: what they connect isn't compared. The first tree only tells
+    groups, so that large groups of near copies are finished before the others begin.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    heads = known.select("id", F.col("head.doc_id").alias("_doc"), F.col("head.text_hash").alias("_hash"))
+    every = given
 
-    return _together(members.select("leaf", "id", "n", "group", "sketch", "text")).mapInArrow(run, "u long, v long")
+    def grouped() -> DataFrame:
+        if every is None:
+            return known.select("id", "n", F.col("id").alias("group"), "sketch", "short")
+        roots = components(every)
+        return table(known.select("id", "n", "sketch", "short").join(roots, F.col("id") == F.col("node"), "left").select("id", "n", F.coalesce("root", "id").alias("group"), "sketch", "short"), "groups")
+
+    for forest, levels, rest in ((range(1), 3, False), (range(1, trees + 1), depth, True)):
+        groups = grouped()
+        met = leaves(groups, forest, levels, rest)
+        members = groups.select("id", "n", "group", "short")
+        named = table(asked(met.join(members, "id")), "asked")
+        # texts of those that have candidates, once each
+        needed = named.select("id").distinct().join(heads, "id")
+        text = texts.join(needed, (F.col("text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_doc"))).dropDuplicates(["id"]).select("id", "text")
+        found = linked(named.join(members, "id").join(text, "id"), k)
+        every = table(found if every is None else every.union(found), "links")
+    return every
 
 
 def near_duplicates(docs: DataFrame, k: int = 2, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
@@ -225,30 +301,15 @@ def near_duplicates(docs: DataFrame, k: int = 2, trees: int = TREES, depth: int
     an empty table gives no rows.
 
     Recall: a pair of similarity 0.8 meets in one tree with probability 0.84 at a depth of one, 0.5 at six; `trees`
-    trees miss it by less than one in a thousand, and chains often join what a link missed. The first tree only tells
-    groups, so that large groups of near copies are finished before the others begin.
+    trees miss it by less than one in a thousand, and chains often join what a link missed.
     """
     rows = cut(described(docs, k))
-    some = rows.where("n > 0")
-    least = F.min_by(F.struct("doc_id", "text_hash"), F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("head")
-    known = cut(some.groupBy("digest").agg(least, F.first("n").alias("n"), F.first("sketch").alias("sketch")).select(F.monotonically_increasing_id().alias("id"), "digest", "head", "n", "sketch"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    heads = known.select("id", F.col("head.doc_id").alias("_doc"), F.col("head.text_hash").alias("_hash"))
-    every: DataFrame | None = None
-    groups = known.select("id", "n", F.col("id").alias("group"), "sketch")
-    for forest, levels, rest in ((range(1), 3, False), (range(1, trees + 1), depth, True)):
-        met = leaves(groups, forest, levels, rest)
-        named = cut(asked(met.join(groups, "id")))
-        # texts of those that have candidates, once each
-        needed = named.select("id").distinct().join(heads, "id")
-        text = texts.join(needed, (F.col("text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_doc"))).dropDuplicates(["id"]).select("id", "text")
-        links = linked(named.join(groups, "id").join(text, "id"), k)
-        every = cut(links if every is None else every.union(links))
-        roots = components(every)
-        groups = cut(known.select("id", "n", "sketch").join(roots, F.col("id") == F.col("node"), "left").select("id", "n", F.coalesce("root", "id").alias("group"), "sketch"))
-    of = known.select("id", "digest", F.col("head.doc_id").alias("doc_id")).join(groups.select("id", "group"), "id")
+    known = classes(rows)
+    roots = components(links(known, docs, k, trees, depth))
+    of = known.select("id", "digest", F.col("head.doc_id").alias("doc_id")).join(roots, F.col("id") == F.col("node"), "left").select("digest", "doc_id", F.coalesce("root", "id").alias("group"))
     least = of.groupBy("group").agg(F.min("doc_id").alias("component_id"))
     of = salted_join(of.select("digest", "group"), least, "group").select("digest", "component_id")
-    out = salted_join(some.select("doc_id", "n", "digest"), of, "digest").select("doc_id", "n", "component_id")
+    some = rows.where("n > 0").select("doc_id", "n", "digest")
+    out = salted_join(some, of, "digest").select("doc_id", "n", "component_id")
     out = out.union(rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

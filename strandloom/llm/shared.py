@@ -52,6 +52,11 @@ def table(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def few(df: DataFrame, rows: int, each: int = 50_000) -> DataFrame:
+    """df, of which at most about `rows` rows are expected, in as few partitions as hold `each` of them."""
+    return df.coalesce(max(1, min(parts(df.sparkSession), -(-rows // each))))
+
+
 def parts(spark: SparkSession) -> int:
     """Partitions of an exchange, as the session sets them."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
