@@ -18,9 +18,8 @@ from strandloom.llm.textbuf import slices
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 RADIUS, TILE, BLOCK = 4, 32_768, 128
-#: Words of a shingle and least Jaccard similarity of near copies that are confirmed; bands and minima in each: 0.8 is found by 0.9996.
-SHINGLE, ALIKE, BANDS, ROWS = 5, 0.8, 20, 5
-_FACTORS = tb.mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
+#: Words of a shingle where nothing else is said.
+SHINGLE = 5
 
 
 def simhash(text: bytes, k: int = 4, seed: int = 42) -> int:
@@ -162,51 +161,6 @@ def word_shingles(texts: pa.Array, k: int = SHINGLE) -> tuple[np.ndarray, np.nda
     return out[(left >= k) | first], np.maximum(counts - k + 1, np.minimum(counts, 1))
 
 
-def _marks(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, fp, bands of every row: 128 bits of the text, its simhash, and BANDS hashes of ROWS min-hashes each.
-
-    Near copies share a band almost surely. A text without words has no bands. Texts are read once for all of them.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, hi in slices(batch.column("text")):
-                part = batch.slice(lo, hi - lo)
-                texts = [t or b"" for t in part.column("text").cast(pa.large_binary()).to_pylist()]
-                h, counts = word_shingles(part.column("text"))
-                some = np.flatnonzero(counts)
-                bands = np.zeros((len(some), BANDS), np.uint64)
-                if len(some):
-                    first = (np.cumsum(counts) - counts)[some]
-                    for b in range(BANDS):
-                        key = np.full(len(some), b, np.uint64)
-                        for f in _FACTORS[b * ROWS : (b + 1) * ROWS]:
-                            key = tb.mix(key + np.minimum.reduceat((h * f) >> np.uint64(20), first))
-                        bands[:, b] = key
-                ends = np.append(0, np.cumsum(np.where(counts > 0, BANDS, 0)))
-                yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), pa.array([xxhash.xxh3_128_hexdigest(t) for t in texts]), pa.array(np.array([simhash(t) for t in texts], dtype=np.uint64).view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bands.ravel().view(np.int64))),
-                ], ["doc_id", "digest", "fp", "bands"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, digest string, fp long, bands array<long>")
-
-
-def _alike(pairs: DataFrame, least: float) -> DataFrame:
-    """u, v of the rows u, v, x, y whose texts x and y have shingle sets of Jaccard similarity `least` or more."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                a, b = (np.unique(word_shingles(pa.array([t.as_py()], pa.string()))[0]) for t in (x, y))
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                good.append(both >= least * (len(a) + len(b) - both))
-            yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
-
-    return pairs.select("u", "v", "x", "y").mapInArrow(run, "u long, v long")
-
-
 def digested(docs: DataFrame) -> DataFrame:
     """docs with digest, the 128 bits that tell its texts apart (null as the empty text); any column of that name goes."""
 
@@ -219,38 +173,3 @@ def digested(docs: DataFrame) -> DataFrame:
 
     rows = docs.drop("digest")
     return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("digest", StringType())]))
-
-
-def confirmed_near_duplicates(docs: DataFrame, least: float = ALIKE, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """doc_id, digest, root_id, root_digest of every different (doc_id, text): the least member of its group.
-
-    Members are linked if their simhashes differ in `radius` bits at most, or if their 5-word shingle sets are alike by
-    `least`. Candidates for the latter share a band of min-hashes and are compared, by their whole sets, with the
-    band's least and greatest member: so a band of any size costs two comparisons a row. Pairs that simhash has joined
-    already aren't compared. Two texts under one doc_id are two members. Rows without doc_id take no part, null text is
-    empty, an empty table gives no rows.
-    """
-    marks = _marks(docs.where("doc_id is not null")).dropDuplicates(["doc_id", "digest"])
-    rows = cut(marks.withColumn("row", F.monotonically_increasing_id()))
-    by_fp = rows.groupBy("fp").agg(F.min("row").alias("first"))
-    roots = components(links(by_fp.select("fp"), radius, tile))
-    of_fp = by_fp.select("fp").join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("of"))
-    of_fp = of_fp.join(by_fp, "fp")
-    first = of_fp.groupBy("of").agg(F.min("first").alias("near"), F.count("*").alias("n")).where("n > 1").drop("n")
-    near = salted_join(of_fp, first, "of", "left").select("fp", F.coalesce("near", "first").alias("near"))
-    own = cut(rows.select("row", "doc_id", "digest", "fp", "bands").join(near, "fp").select("row", "near", "doc_id", "digest", "bands"))
-    bands = own.select("row", F.explode("bands").alias("band"))
-    ends = bands.groupBy("band").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).where("lo < hi")
-    met = bands.join(ends, "band").select("row", F.explode(F.array("lo", "hi")).alias("end")).where("row <> end")
-    met = met.select(F.least("row", "end").alias("a"), F.greatest("row", "end").alias("b")).distinct()
-    name = own.select("row", "near", "doc_id", "digest")
-    met = cut(met.join(name.select(F.col("row").alias("a"), F.col("near").alias("u")), "a").join(name.select(F.col("row").alias("b"), F.col("near").alias("v")), "b").where("u <> v"))
-    asked = met.select(F.col("a").alias("row")).union(met.select("b")).distinct()
-    # texts move once, then only those that are compared
-    text = digested(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))).join(asked.join(name, "row").select("row", "doc_id", "digest"), ["doc_id", "digest"]).dropDuplicates(["row"]).select("row", "text")
-    pairs = met.join(text.select(F.col("row").alias("a"), F.col("text").alias("x")), "a").join(text.select(F.col("row").alias("b"), F.col("text").alias("y")), "b")
-    joined = components(_alike(pairs, least))
-    groups = own.join(joined, F.col("near") == F.col("node"), "left").select("doc_id", "digest", F.coalesce("root", "near").alias("group"))
-    heads = groups.groupBy("group").agg(F.min(F.struct("doc_id", "digest")).alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-    headed = salted_join(groups, heads, "group", "left")
-    return headed.select("doc_id", "digest", F.coalesce("head.doc_id", "doc_id").alias("root_id"), F.coalesce("head.digest", "digest").alias("root_digest"))

@@ -71,6 +71,42 @@ def test_near_copies_down_to_08(spark):
     assert len(want) > 250 and {i for i, _ in rows} - kept == want
 
 
+def test_template_family_loses_no_link(spark):
+    # slots of a template differ at random: links of just 0.8 beside pairs just below it
+    r = np.random.default_rng(11)
+    rows = []
+    for i in range(400):
+        w = [f"t{j}" for j in range(120)]
+        for at in (20, 60, 100):
+            w[at] = f"v{r.integers(0, 40)}"
+        if r.random() < 0.5:
+            w[80] = f"z{r.integers(0, 40)}"
+        rows.append((i, " ".join(w)))
+    sets = [{tuple(t.split()[x : x + 5]) for x in range(116)} for _, t in rows]
+    fps = [brute_simhash(t) for _, t in rows]
+    root = list(range(400))
+    for i in range(400):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) or (fps[i] ^ fps[j]).bit_count() <= 4:
+                a, b = root[i], root[j]
+                root = [min(a, b) if x in (a, b) else x for x in root]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS).repartition(4)
+    assert {x.doc_id for x in corpus_pipeline.near_copies_stage(spark, docs, "").collect()} == set(root)
+
+
+def test_two_sources_with_equal_texts_are_mixed_apart(spark):
+    # of equal texts without id each source has its own share
+    rows = [(None, text(i % 20, 30), f"s{i % 2}") for i in range(200)] + [(None, text(50, 30), "s1")] * 40
+    docs = spark.createDataFrame([(i, t, None, s, 1) for i, t, s in rows], DOCS).repartition(4)
+    from strandloom.llm import mixing
+
+    want = Counter()
+    for x in mixing.mix(docs).where("copies > 0").collect():
+        want[x.source, x.text_hash] += x["copies"]
+    out = corpus_pipeline.mixing_stage(spark, docs, "").selectExpr("source", "xxhash64(text) as h").collect()
+    assert Counter((x.source, x.h) for x in out) == want
+
+
 def test_rows_are_told_apart_by_id_and_text(spark):
     a, near, b = text(1, 80), text(1, 79), text(2, 90)
     rows = [(1, a, "s"), (5, a, "s"), (5, b, "s"), (5, b, "t"), (7, near + " tail", "s"), (None, a, "s"), (None, a, "t"), (None, None, "s"), (8, None, "s"), (9, "", "s"), (10, "x" * 200_000, "s")]
@@ -114,4 +150,4 @@ def test_empty_documents(spark, folder, tmp_path):
 
 
 def test_names():
-    assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 13))

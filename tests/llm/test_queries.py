@@ -1,4 +1,4 @@
-"""The ten registered queries over a small folder: columns, types, rows and the rules that the contracts fix."""
+"""The registered queries over a small folder: columns, types, rows and the rules that the contracts fix."""
 
 import zlib
 
@@ -18,6 +18,8 @@ COLUMNS = {
     "op8_decontamination": {"doc_id": "bigint", "n_words": "bigint", "n_hit": "bigint", "n_items": "bigint", "items_sha256": "string", "contaminated": "boolean"},
     "op9_tokens": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
     "op10_suffix_tree": {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint", "base_score": "double", "score": "double"},
+    "op11_alignment": {"doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint", "n_best": "bigint", "count_sum": "bigint", "groups_sha256": "string"},
+    "op12_setjoin": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint", "kept": "boolean"},
 }
 HELD = {"op3_quality": (3, 1), "op7_language": (5, 0), "op10_suffix_tree": (7, 2)}
 
@@ -38,7 +40,7 @@ def folder(spark, tmp_path_factory):
 @pytest.mark.parametrize("name", list(COLUMNS))
 def test_query(spark, folder, name):
     root, rows = folder
-    if name == "op9_tokens":
+    if name in ("op9_tokens", "op11_alignment"):
         pytest.importorskip("public_tokenizers")
     out = queries.queries()[name](spark, root)
     assert dict(out.dtypes) == COLUMNS[name]
