@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandloom.llm import decontaminate, mixing, quality, sharding, simhash
+from strandloom.llm import decontaminate, mixing, neardup, quality, sharding, simhash
 from strandloom.llm.shared import cut, read, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -31,7 +31,7 @@ def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     are told apart by doc_id and text, so two texts under one doc_id are judged by themselves. Rows without doc_id all
     stay, as nothing tells them apart. Null text is empty; extra columns go; an empty table gives no rows.
     """
-    found = simhash.confirmed_near_duplicates(docs)
+    found = neardup.confirmed_near_duplicates(docs)
     lost = cut(found.where("doc_id <> root_id or digest <> root_digest").select(F.col("doc_id").alias("_lost"), F.col("digest").alias("_text")))
     rows = simhash.digested(docs.where("doc_id is not null").select(*COLUMNS))
     kept = rows.join(lost, (F.col("doc_id") == F.col("_lost")) & (F.col("digest") == F.col("_text")), "left_anti")
@@ -52,27 +52,27 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def attach(rows: DataFrame, docs: DataFrame, key: dict[str, Column]) -> DataFrame:
     """rows, which have no texts, with the columns of the documents they were made from.
 
-    Both sides are matched by doc_id and `key`, values made of the text, and by their number among equal ones. So texts
+    Both sides are matched by doc_id and `key`, values made of the row, and by their number among equal ones. So texts
     move once, whatever the operator does with the slim rows.
     """
     names = ["doc_id", *key]
-    left = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*names).orderBy(F.lit(0))))
+    left = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*names).orderBy(*[c for c in rows.columns if c not in names])))
     right = docs.select(*COLUMNS).withColumns(key)
-    right = right.withColumn("_n", F.row_number().over(Window.partitionBy(*names).orderBy(F.lit(0))))
+    right = right.withColumn("_n", F.row_number().over(Window.partitionBy(*names).orderBy("lang", "source", "n_chars")))
     left = left.select(*[F.col(c).alias(f"_own_{c}") for c in left.columns])
     fresh = [c for c in rows.columns if c not in names and c not in COLUMNS]
     met = left.join(right, F.expr(" and ".join(f"_own_{c} <=> {c}" for c in [*names, "_n"])))
-    return met.select(*COLUMNS, *key, *[F.col(f"_own_{c}").alias(c) for c in fresh])
+    return met.select(*COLUMNS, *[c for c in key if c not in COLUMNS], *[F.col(f"_own_{c}").alias(c) for c in fresh])
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, a row for each time it takes them (twice at most).
 
     Documents without words weigh nothing and are never taken. A null source is a source of its own. Repeated rows count
-    each; rows without doc_id are matched by their text; extra columns go; an empty table gives no rows.
+    each; rows without doc_id are matched by their source and text; extra columns go; an empty table gives no rows.
     """
-    taken = mixing.mix(docs).where("copies > 0").select("doc_id", "text_hash", "copies")
-    rows = attach(taken, docs, {"text_hash": F.xxhash64("text")})
+    taken = mixing.mix(docs).select("doc_id", "source", "text_hash", "copies").where("copies > 0")
+    rows = attach(taken, docs, {"source": F.col("source"), "text_hash": F.xxhash64("text")})
     return rows.select("*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).select(*COLUMNS)
 
 
