@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -84,31 +85,55 @@ def dense_centers(neighbors: DataFrame, density: DataFrame, most: int, overlap:
     return neighbors.sparkSession.createDataFrame(out, "center_rank int, id long, density double")
 
 
-def refine_centers(centers: DataFrame, neighbors: DataFrame, density: DataFrame, tries: int = 1000, seed: int = 1) -> DataFrame:
+class Coverage:
+    """Centres with their densities and neighbourhoods: worth() is sum of densities * covered / listed members.
+
+    How many centres list each member is kept, so an exchange costs the two neighbourhoods and nothing else.
+    """
+
+    def __init__(self) -> None:
+        self.times: Counter[int] = Counter()
+        self.total, self.listed = 0.0, 0
+
+    def put(self, density: float, members: frozenset[int], sign: int = 1) -> None:
+        for m in members:
+            self.times[m] += sign
+            if not self.times[m]:
+                del self.times[m]
+        self.total += sign * density
+        self.listed += sign * len(members)
+
+    def worth(self) -> float:
+        return self.total * len(self.times) / self.listed if self.listed else 0.0
+
+
+def refine_centers(centers: DataFrame, neighbors: DataFrame, density: DataFrame, tries: int = 100_000, seed: int = 1) -> DataFrame:
     """Random exchanges of centres for other candidates, kept if they raise sum of densities * covered / listed members.
 
-    `tries` ids are drawn from all that have a density, by a seeded hash, each to take the place of a random centre. The
-    driver holds the centres' and the drawn ids' neighbourhoods; the draw is the same on every run.
+    The first `tries` ids with a density, in the order of a seeded hash, are offered one after another, each for a
+    random centre. They come to the driver a partition at a time with their neighbourhoods (of bounded size); it holds
+    the centres' and one candidate's. Equal on every run.
     """
-    own = [r["id"] for r in centers.orderBy("center_rank").collect()]
-    pool = density.where(F.col("density").isNotNull()).orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(tries)
-    rows = pool.unionByName(centers.select("id", "density")).distinct().join(neighbors.select(F.col("a").alias("id"), "b"), "id").groupBy("id", "density").agg(F.collect_set("b").alias("m")).collect()
-    dens, lists = {r["id"]: r["density"] for r in rows}, {r["id"]: set(r["m"]) for r in rows}
-
-    def worth(ids: list[int]) -> float:
-        listed = sum(len(lists[i]) for i in ids)
-        return sum(dens[i] for i in ids) * len(set().union(*(lists[i] for i in ids))) / listed if listed else 0.0
-
-    rng, others = random.Random(seed), sorted(set(dens) - set(own))
-    best = worth(own)
-    for _ in range(tries if own and others else 0):
-        i, j = rng.randrange(len(own)), rng.randrange(len(others))
-        own[i], others[j] = others[j], own[i]
-        if (now := worth(own)) > best:
-            best = now
+    lists = neighbors.groupBy(F.col("a").alias("id")).agg(F.collect_set("b").alias("m"))
+    own = [(r["id"], r["density"], frozenset(r["m"])) for r in centers.join(lists, "id").orderBy("center_rank").collect()]
+    cover = Coverage()
+    for _, d, m in own:
+        cover.put(d, m)
+    mix = F.xxhash64("id", F.lit(seed))
+    pool = density.where(F.col("density").isNotNull()).join(centers.select("id"), "id", "left_anti").select("id", "density", mix.alias("_mix")).orderBy("_mix", "id").limit(tries)
+    rng = random.Random(seed)
+    best = cover.worth()
+    for row in pool.join(lists, "id").orderBy("_mix", "id").toLocalIterator() if own else []:
+        i = rng.randrange(len(own))
+        old, new = own[i], (row["id"], row["density"], frozenset(row["m"]))
+        cover.put(*old[1:], -1)
+        cover.put(*new[1:])
+        if (now := cover.worth()) > best:
+            best, own[i] = now, new
         else:
-            own[i], others[j] = others[j], own[i]
-    return centers.sparkSession.createDataFrame([(k + 1, i, dens[i]) for k, i in enumerate(own)], "center_rank int, id long, density double")
+            cover.put(*new[1:], -1)
+            cover.put(*old[1:])
+    return centers.sparkSession.createDataFrame([(k + 1, i, d) for k, (i, d, _) in enumerate(own)], "center_rank int, id long, density double")
 
 
 def center_rankings(centers: DataFrame, neighbors: DataFrame) -> DataFrame:

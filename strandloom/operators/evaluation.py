@@ -185,3 +185,14 @@ def center_quality(centers: DataFrame, cutoffs: tuple[float, ...] = (1, 0.2, 0.1
     below = F.col("p") <= F.col("cutoff")
     count = lambda c: F.sum(F.when(c, 1).otherwise(0))
     return rows.groupBy("round", "cutoff").agg(F.round(count(below) / F.count("*"), 3).alias("centers_rel"), count(below).alias("centers_abs"), count(below & F.col("perfect")).alias("perfect"), count(F.col("perfect")).alias("perfect_abs"))
+
+
+def class_similarities(sims: DataFrame, classes: DataFrame) -> DataFrame:
+    """kind, class_i, class_j, pairs, mean: similarities (kind, i, j, val) of each two classes, of all pairs within a class
+    (class_j null) and of all pairs (both null), in one pass. The lesser class comes first; ids without class are of class 0."""
+    of = lambda c: classes.select(F.col("id").alias(c), F.col("class").alias(f"_{c}"))
+    rows = sims.join(of("i"), "i", "left").join(of("j"), "j", "left").withColumns({f"_{c}": F.coalesce(f"_{c}", F.lit(0)) for c in "ij"})
+    low, high = F.least("_i", "_j"), F.greatest("_i", "_j")
+    places = [F.struct(low.alias("class_i"), high.alias("class_j")), F.when(low == high, F.struct(low.alias("class_i"), F.lit(None).cast("long").alias("class_j"))), F.struct(F.lit(None).cast("long").alias("class_i"), F.lit(None).cast("long").alias("class_j"))]
+    every = rows.select("kind", "val", F.explode(F.array(*[x.cast("struct<class_i:bigint,class_j:bigint>") for x in places])).alias("p")).where("p is not null")
+    return every.groupBy("kind", "p.class_i", "p.class_j").agg(F.count("*").alias("pairs"), F.round(F.avg("val"), 5).alias("mean"))

@@ -203,6 +203,41 @@ def bin_neighbors(bins: DataFrame, features: DataFrame, knn: int) -> DataFrame:
     return met.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= knn).select("a", "b", "rank", "sim")
 
 
+def bin_links(bins: DataFrame, features: DataFrame, least: float) -> DataFrame:
+    """a, b: links that join, inside each bin, ids whose feature sets have a Jaccard similarity of `least` or more.
+
+    A bin is compared exactly, all with all; of links that join what others have joined none is returned, so a bin
+    gives fewer links than it has ids. Values are ignored.
+    """
+    rows = bins.join(packed(features), "id").select("bin", "id", "fs")
+
+    def joined(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        ids, fs = np.asarray(t.column("id")), t.column("fs").combine_chunks()
+        m = len(ids)
+        n = np.asarray(pc.list_value_length(fs)).astype(np.int64)
+        f = np.asarray(pc.list_flatten(fs))
+        both = _products(np.repeat(np.arange(m), n), f, np.ones(len(f)), m)
+        u, v = np.nonzero(np.triu(both >= least * (n[:, None] + n[None, :] - both) - 1e-9, 1))
+        root = list(range(m))
+
+        def top(x: int) -> int:
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        found = []
+        for a, b in zip(u.tolist(), v.tolist(), strict=True):
+            p, q = top(a), top(b)
+            if p != q:
+                root[max(p, q)] = min(p, q)
+                found.append((a, b))
+        a, b = np.array(found, dtype=np.int64).reshape(-1, 2).T
+        return pa.table({"a": pa.array(ids[a]), "b": pa.array(ids[b])})
+
+    return rows.groupBy("bin").applyInArrow(joined, "a long, b long")
+
+
 def approx_knn(features: DataFrame, nhf: int, knn: int, depth: int = 2, most: int = 1000) -> DataFrame:
     """Signatures of nhf functions, a forest of nhf / depth trees, and exact comparison inside its bins."""
     trees = max(1, nhf // depth)

@@ -93,12 +93,19 @@ def merge_map(partners: DataFrame, names: DataFrame) -> DataFrame:
 
     One row for each cluster comes to the driver (a few thousand by construction: each has its best partner only).
     """
-    stands = {r["name"]: r["name"] for r in names.select("name").distinct().collect()}
+    own = sorted(r["name"] for r in names.select("name").distinct().collect())
+    group, members, label = {x: k for k, x in enumerate(own)}, [[x] for x in own], list(own)
     for r in partners.orderBy(F.desc("ratio_pct"), "i", "j").collect():
-        old, new = stands[r["i"]], stands[r["j"]]
+        old, new = group[r["i"]], group[r["j"]]
         if old != new:
-            stands = {k: new if v == old else v for k, v in stands.items()}
-    return names.sparkSession.createDataFrame(sorted(stands.items()), "name string, cluster string")
+            # the shorter list moves; the name is that of where j stands
+            name = label[new]
+            short, long = sorted((old, new), key=lambda k: len(members[k]))
+            for x in members[short]:
+                group[x] = long
+            members[long] += members[short]
+            members[short], label[long] = [], name
+    return names.sparkSession.createDataFrame([(x, label[group[x]]) for x in own], "name string, cluster string")
 
 
 def oracle_merge(classes: DataFrame) -> DataFrame:

@@ -5,12 +5,11 @@ Sequences: seq_idx int, id string, header string, seq string.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.operators.intervals import overlap_join
-from strandloom.operators.lsh import candidate_pairs, max_bin_share, minhash_signature
+from strandloom.operators.lsh import bin_links, forest_bins, minhash_signature
 from strandloom.session import shared_dir
 
 #: Fixed value: a longer run of N cuts a sequence.
@@ -104,16 +103,28 @@ def both_strands(fragments: DataFrame, grey: DataFrame | None = None) -> DataFra
     return fragments.unionByName(turned)
 
 
-def fragment_ids(fragments: DataFrame, grey: DataFrame | None = None) -> DataFrame:
-    """Fragments with value, from 1 in the order grey first, sequence, start, key.
+def totals_before(rows: DataFrame, order: list[str], count: str) -> DataFrame:
+    """rows with before: the sum of `count` over all rows that come earlier in the order.
 
-    Numbers are global, so they are made by ranges: positions within each sequence, then the sequences' running totals.
+    Rows are dealt into ranges; each is summed up by itself, and a row for each range carries the totals over.
     """
+    shared_dir(rows.sparkSession)
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()).checkpoint()
+    upto = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    base = dealt.groupBy("_pid").agg(F.sum(count).alias("_t")).select("_pid", F.coalesce(F.sum("_t").over(upto), F.lit(0)).alias("_t"))
+    own = F.sum(count).over(Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    return dealt.withColumn("_own", F.coalesce(own, F.lit(0))).join(base, "_pid").withColumn("before", F.col("_own") + F.col("_t")).drop("_pid", "_own", "_t")
+
+
+def fragment_ids(fragments: DataFrame, grey: DataFrame | None = None) -> DataFrame:
+    """Fragments with value, from 1 in the order grey first, sequence, start, key: places in each sequence, and the
+    sequences' running totals."""
     rows = fragments if grey is None else fragments.join(grey.select("seq_idx").distinct().withColumn("_g", F.lit(0)), "seq_idx", "left")
     rows = rows.withColumn("_g", F.coalesce(F.col("_g"), F.lit(1)) if grey is not None else F.lit(1))
     inner = rows.withColumn("_n", F.row_number().over(Window.partitionBy("_g", "seq_idx").orderBy("start", "key")))
-    before = inner.groupBy("_g", "seq_idx").agg(F.count("*").alias("_c")).withColumn("_b", F.coalesce(F.sum("_c").over(Window.orderBy("_g", "seq_idx").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_c")
-    return inner.join(before, ["_g", "seq_idx"]).withColumn("value", F.col("_b") + F.col("_n")).drop("_g", "_n", "_b")
+    before = totals_before(rows.groupBy("_g", "seq_idx").agg(F.count("*").alias("_c")), ["_g", "seq_idx"], "_c").drop("_c")
+    return inner.join(before, ["_g", "seq_idx"]).withColumn("value", F.col("before") + F.col("_n")).drop("_g", "_n", "before")
 
 
 def genome_locations(id_: Column, header: Column) -> Column:
@@ -154,26 +165,17 @@ def shingles(fragments: DataFrame, k: int) -> DataFrame:
 def near_duplicates(fragments: DataFrame, similarity: float = 0.9, k: int = 8, nhf: int = 32) -> DataFrame:
     """value, keeper: fragments whose k-mer sets are alike by `similarity` at least, joined to chains; the least value keeps.
 
-    Equal texts are one candidate. Bins of a min-hash index propose pairs, exact Jaccard similarity decides. Of bins too
-    large for all pairs each row is compared with the least and the greatest value in it.
+    Equal texts are one candidate. A forest of min-hash bins, of which large ones are split and none is dropped, brings
+    the others together; exact Jaccard similarity decides.
     """
-    same = Window.partitionBy("seq")
-    first = fragments.withColumn("rep", F.min("value").over(same))
-    reps = first.where("value = rep").select("value", "seq")
-    reps = reps.persist(StorageLevel.MEMORY_AND_DISK)
-    grams = shingles(reps, k).persist(StorageLevel.MEMORY_AND_DISK)
-    size = grams.groupBy("id").agg(F.count("*").alias("n"))
-    n = reps.count()
-    signed = minhash_signature(grams, nhf).persist(StorageLevel.MEMORY_AND_DISK)
-    small = candidate_pairs(signed, n, max_bin_share(n), 2).where("a < b").select("a", "b")
-    large = signed.groupBy("k", "h").agg(F.count("*").alias("size"), F.min("id").alias("lo"), F.max("id").alias("hi")).where(F.col("size") >= F.lit(max_bin_share(n) * n)).where("lo < hi")
-    ends = signed.join(large, ["k", "h"]).select("id", F.explode(F.array("lo", "hi")).alias("end")).where("id <> end")
-    pairs = small.union(ends.select(F.least("id", "end").alias("a"), F.greatest("id", "end").alias("b"))).distinct().persist(StorageLevel.MEMORY_AND_DISK)
-    x = grams.select(F.col("id").alias("a"), "f")
-    y = grams.select(F.col("id").alias("b"), "f")
-    common = pairs.select("a", "b").join(x, "a").join(y, ["b", "f"]).groupBy("a", "b").agg(F.count("*").alias("c"))
-    alike = common.join(size.select(F.col("id").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b").where(F.col("c") >= similarity * (F.col("na") + F.col("nb") - F.col("c"))).select("a", "b")
+    reps = fragments.groupBy("seq").agg(F.min("value").alias("value"))
+    shared_dir(fragments.sparkSession)
+    reps = reps.checkpoint()
+    grams = shingles(reps, k)
+    trees = max(1, nhf // 2)
+    alike = bin_links(forest_bins(minhash_signature(grams, 2 * trees), trees, 2), grams, similarity).distinct()
     labels = least_reachable(reps.select(F.col("value").alias("id")), alike)
+    first = fragments.join(reps.select("seq", F.col("value").alias("rep")), "seq")
     return first.select("value", "rep").join(labels.select(F.col("id").alias("rep"), "root"), "rep").select("value", F.col("root").alias("keeper"))
 
 

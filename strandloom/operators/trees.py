@@ -204,17 +204,24 @@ def feature_rows(df: DataFrame, cols: list[str], logs: list[str] = []) -> DataFr
     return df.crossJoin(F.broadcast(stats)).withColumns({f"z_{c}": F.round(F.coalesce((v - F.col(f"_m_{c}")) / F.nullif(F.col(f"_s_{c}"), F.lit(0.0)), F.lit(0.0)), 6) for c, v in x.items()}).drop(*[f"_{k}_{c}" for k in "ms" for c in cols])
 
 
-def balanced_extension(struct: str, start: int, stop: int) -> tuple[int, int]:
-    """The region (1-based, closed) grown at either end until its brackets balance, as far as the structure goes."""
-    while True:
-        part = struct[start - 1 : stop]
-        low = run = 0
-        for c in part:
-            run += (c == "(") - (c == ")")
-            low = min(low, run)
-        if low < 0 and start > 1:
-            start -= 1
-        elif run - low > 0 and stop < len(struct):
-            stop += 1
-        else:
-            return start, stop
+def extend_regions(regions: DataFrame, structures: DataFrame) -> DataFrame:
+    """The regions (rid, graph_id, start, stop; 1-based, closed) grown at either end until their brackets balance, as far
+    as the structure (graph_id, struct) goes.
+
+    With the depth behind each place as a running sum, a region has no bracket open to its left if the depth before it
+    is the least in it: its start moves to the nearest place before which the depth is that low. Its stop moves to the
+    nearest place behind which the depth is back at that least.
+    """
+    chars = F.filter(F.split("struct", ""), lambda c: c != "")
+    steps = structures.select("graph_id", F.posexplode(chars).alias("k", "c"))
+    step = F.when(F.col("c") == "(", 1).when(F.col("c") == ")", -1).otherwise(0)
+    depth = F.sum(step).over(Window.partitionBy("graph_id").orderBy("k"))
+    depths = steps.select("graph_id", (F.col("k") + 1).alias("k"), depth.alias("d")).union(structures.select("graph_id", F.lit(0).alias("k"), F.lit(0).cast("long").alias("d")))
+    own = regions.select("rid", "graph_id", "start", "stop")
+    inside = F.min(F.when(F.col("k").between(F.col("start"), F.col("stop")), F.col("d")))
+    least = own.join(depths, "graph_id").groupBy("rid", "graph_id", "start", "stop").agg(inside.alias("low"), F.max("k").alias("n"))
+    before = F.max(F.when((F.col("k") < F.col("start")) & (F.col("d") <= F.col("low")), F.struct("k", "d")))
+    first = F.coalesce(before, F.struct(F.lit(0).alias("k"), F.lit(0).cast("long").alias("d")))
+    left = least.join(depths, "graph_id").groupBy("rid", "graph_id", "start", "stop", "low", "n").agg(first.alias("f")).withColumn("low", F.least("low", "f.d"))
+    behind = F.min(F.when((F.col("k") >= F.col("stop")) & (F.col("d") <= F.col("low")), F.col("k")))
+    return left.join(depths, "graph_id").groupBy("rid", "graph_id", "f", "n").agg(F.coalesce(behind, F.col("n")).alias("stop")).select("rid", "graph_id", (F.col("f.k") + 1).alias("start"), "stop")

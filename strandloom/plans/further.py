@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strandloom import adapters
 from strandloom.operators import alignments, density, evaluation, graphs, intervals, partitions, trees
 from strandloom.plans.similarity import EXACT, _exact
-from strandloom.plans.structure import BACKBONE, GROUP_SIMS, _group_sims, _text_graphs
+from strandloom.plans.structure import BACKBONE, GROUP_SIMS, _group_sims, _structures, _text_graphs
 from strandloom.plans.tables import HITS, SEQUENCES, hits, overlaps_sql, read, sequences
 from strandloom.streaming import signatures as streaming
 
@@ -160,6 +160,35 @@ c AS (SELECT unnest([0, o_custkey % 3 + 1])::INT AS round, (o_custkey * 7 % 64)
 SELECT round, cutoff, round(count(*) FILTER (p <= cutoff) / count(*), 3) AS centers_rel, count(*) FILTER (p <= cutoff) AS centers_abs, count(*) FILTER (p <= cutoff AND perfect) AS perfect, count(*) FILTER (perfect) AS perfect_abs FROM c, k GROUP BY ALL"""
 
 
+def class_similarities(s, d):
+    """Vectors' products and the scores of names, as two kinds of similarity of parts and of vectors."""
+    e = read(s, d, "embeddings")
+    sims = _group_sims(s, d).select(F.lit("vectors").alias("kind"), "i", "j", F.col("sim").alias("val"))
+    other = _group_sims(s, d).select(F.lit("places").alias("kind"), "i", "j", ((F.col("i") * F.col("j")) % 64 / 64).alias("val"))
+    return evaluation.class_similarities(sims.union(other), e.select(F.col("vec_id").alias("id"), (F.col("vec_id") % 4).alias("class")).where("class > 0"))
+
+
+CLASS_SIMILARITIES = f"""WITH {GROUP_SIMS}, both_ AS (SELECT 'vectors' AS kind, i, j, sim AS val FROM sims UNION ALL SELECT 'places', i, j, (i * j) % 64 / 64 FROM sims),
+c AS (SELECT kind, least(i % 4, j % 4) AS a, greatest(i % 4, j % 4) AS b, val FROM both_),
+e AS (SELECT kind, a AS class_i, b AS class_j, val FROM c UNION ALL SELECT kind, a, NULL, val FROM c WHERE a = b UNION ALL SELECT kind, NULL, NULL, val FROM c)
+SELECT kind, class_i, class_j, count(*) AS pairs, round(avg(val), 5) AS mean FROM e GROUP BY ALL"""
+
+
+def extended_regions(s, d):
+    t = _structures(s, d)
+    regions = t.select(F.col("graph_id").alias("rid"), "graph_id", (F.col("graph_id") % 5 + 2).cast("int").alias("start"), (F.col("graph_id") % 5 + 5 + F.col("graph_id") % 3).cast("int").alias("stop"))
+    return trees.extend_regions(regions, t)
+
+
+# the structure of a part is .( k pairs around l dots .. the same again )..; depths by subqueries
+EXTENDED = """WITH st AS (SELECT p_partkey AS id, '.(' || repeat('(', p_size % 7) || repeat('.', p_size % 5 + 3) || repeat(')', p_size % 7) || '..' || repeat('(', p_size % 7) || repeat('.', p_size % 5 + 3) || repeat(')', p_size % 7) || ')..' AS s FROM part),
+p AS (SELECT id, s, id % 5 + 2 AS start, id % 5 + 5 + id % 3 AS stop, list_transform(range(0, length(s) + 1), lambda k: length(replace(substr(s, 1, k), ')', '')) - length(replace(substr(s, 1, k), '(', ''))) AS d FROM st),
+m AS (SELECT *, list_min(d[start + 1:stop + 1]) AS low FROM p),
+f AS (SELECT *, list_max(list_filter(range(0, start), lambda k: d[k + 1] <= low)) AS k FROM m),
+g AS (SELECT *, least(low, d[k + 1]) AS floor_ FROM f)
+SELECT id AS rid, id AS graph_id, (k + 1)::INT AS start, list_min(list_filter(range(stop, length(s) + 1), lambda x: d[x + 1] <= floor_))::INT AS stop FROM g"""
+
+
 # --- centres ---
 
 
@@ -241,6 +270,8 @@ QUERIES = {
     "pure_subtrees": (pure_subtrees, PURE),
     "node_lists": (node_lists, NODE_LISTS),
     "center_quality": (center_quality, CENTER_QUALITY),
+    "class_similarities": (class_similarities, CLASS_SIMILARITIES),
+    "extended_regions": (extended_regions, EXTENDED),
     "center_sims": (center_sims, CENTER_SIMS),
     "shared_members": (shared_members, f"WITH {EXACT} SELECT b AS id, count(*) AS lists FROM knn GROUP BY b HAVING count(*) > 1"),
     "alive_edges": (alive_edges, f"WITH {BACKBONE} SELECT e1.graph_id, src, dst, e1.label FROM e1 JOIN v x ON x.graph_id = e1.graph_id AND x.vid = src JOIN v y ON y.graph_id = e1.graph_id AND y.vid = dst WHERE x.label NOT IN ('A', 'E') AND y.label NOT IN ('A', 'E')"),

@@ -157,7 +157,6 @@ def test_tree(spark):
     assert {(r.height, r.leaves) for r in t.where("not leaf").collect()} == {(0.5, 2), (2.5, 3)}
     assert {r.root for r in trees.subtrees(t, 2, 2).collect()} == {r.node for r in t.where("leaves = 2").collect()}
     assert readers.parse_newick("((1:1,2:1):0.5,3:1.5):0") == [(0, None, "", 0.0), (1, 0, "", 0.5), (2, 1, "1", 1.0), (3, 1, "2", 1.0), (4, 0, "3", 1.5)]
-    assert trees.balanced_extension("((..)).", 2, 4) == (2, 5)
 
 
 def test_formats(spark, tmp_path):
