@@ -1,5 +1,8 @@
 """Operators that SQL doesn't express, formats and control, against plain Python."""
 
+import dataclasses
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -203,7 +206,8 @@ def test_config_and_rounds():
     assert next_round(s, c, 1, 1) == RoundState(2, 400) and next_round(s, c, 5, 2) == RoundState(0, 450) and next_round(RoundState(10, 1000), c, 1, 0) is None
 
 
-def test_rounds_find_families(spark, tmp_path):
+@pytest.fixture(scope="module")
+def families(spark):
     r = np.random.default_rng(3)
     fam = ["".join(r.choice(list("ACGU"), 60)) for _ in range(2)]
     rows = []
@@ -212,12 +216,48 @@ def test_rounds_find_families(spark, tmp_path):
         for p in r.integers(0, 60, 3):
             s[p] = "ACGU"[r.integers(0, 4)]
         rows.append((k + 1, f"s{k}", "", "".join(s)))
-    t = spark.createDataFrame(rows, "seq_idx int, id string, header string, seq string")
-    c = Config(GLOBAL_num_clusters=2, GLOBAL_iterations=1, nspdk_nhf=20, nspdk_knn_center=4, results_min_cluster_size=2, nspdk_radius=1, nspdk_distance=2, cm_min_bitscore=40.0)
-    out = run(spark, t, c, str(tmp_path / "run"))
+    return spark.createDataFrame(rows, "seq_idx int, id string, header string, seq string")
+
+
+ROUNDS = Config(GLOBAL_num_clusters=2, GLOBAL_iterations=1, nspdk_nhf=20, nspdk_knn_center=4, results_min_cluster_size=2, nspdk_radius=1, nspdk_distance=2, cm_min_bitscore=40.0)
+
+
+def test_rounds_find_families(spark, tmp_path, families):
+    root = str(tmp_path / "run")
+    early = run(spark, families, ROUNDS, root, until="features")
+    assert set(early) == {"fragments", "features"} and not any(x.startswith("hits") for x in os.listdir(root))
+    assert "soft" not in run(spark, families, ROUNDS, root, results_only=True)
+    out = run(spark, families, ROUNDS, root)
     assert out["soft"].count() >= out["hard"].count() > 0
-    again = run(spark, t, c, str(tmp_path / "run"))
-    assert again["soft"].count() == out["soft"].count()
+    assert {int(x[3:]) % 2 for x in (r.seqid for r in out["soft"].where("name = '1.1'").collect())} in ({0}, {1})
+    made = sorted(os.listdir(root))
+    again = run(spark, families, ROUNDS, root, results_only=True)
+    assert sorted(os.listdir(root)) == made and again["soft"].count() == out["soft"].count()
+    # a setting of the results makes nothing anew; one of the hits only what follows them
+    other = run(spark, families, dataclasses.replace(ROUNDS, results_top_num=1), root)
+    assert sorted(os.listdir(root)) == made and other["top"].groupBy("name").count().agg(F.max("count")).first()[0] == 1
+    run(spark, families, dataclasses.replace(ROUNDS, cm_min_bitscore=60.0), root)
+    fresh = {x.split("-")[0] for x in set(os.listdir(root)) - set(made)}
+    assert fresh == {"hits1", "black1", "collected"}
+
+
+def test_rounds_with_grey_and_special_lists(spark, tmp_path, families):
+    root = str(tmp_path / "run")
+    grey = spark.createDataFrame([(k,) for k in range(1, 13, 2)], "seq_idx int")
+    out = run(spark, families, ROUNDS, root, grey=grey)
+    values = {r.value: r.seq_idx for r in out["fragments"].collect()}
+    assert {values[v] for v in range(1, 7)} == set(range(1, 13, 2))
+    # clusters of grey sequences only aren't there
+    by = {}
+    for r in out["hits"].collect():
+        by.setdefault(r.name, set()).add(int(r.seqid[3:]))
+    assert by and all(any(k % 2 == 0 for k in x) for x in by.values())
+    special = spark.createDataFrame([(v,) for v, k in values.items() if k % 2 == 0 and k > 2], "id long")
+    left = run(spark, families, ROUNDS, str(tmp_path / "other"), special=spark.createDataFrame([(r.value,) for r in run(spark, families, ROUNDS, str(tmp_path / "other"), until="fragments")["fragments"].collect() if r.seq_idx % 2], "id long"))
+    near = [x for x in os.listdir(tmp_path / "other") if x.startswith("neighbors1")]
+    ids = {r.a for r in spark.read.parquet(f"{tmp_path}/other/{near[0]}").collect()}
+    odd = {r.value for r in left["fragments"].collect() if r.seq_idx % 2}
+    assert ids and not ids & odd and special.count() == 5
 
 
 def test_stream_equals_batch(spark, tmp_path):
