@@ -349,11 +349,13 @@ def vectorise(features: DataFrame, normalise: bool = True) -> DataFrame:
     """
     soft = "predicate" in features.columns
     pred = F.col("predicate") if soft else F.lit(0).cast("long")
-    rows = features.withColumn("predicate", pred)
+    # dealt once, by graph: families, selectors and predicates are counted where they begin in the order
+    rows = features.withColumn("predicate", pred).repartition("graph_id")
     g = Window.partitionBy("graph_id")
     fam = Window.partitionBy("graph_id", "rd")
     sel = Window.partitionBy("graph_id", "rd", "selector")
-    rows = rows.withColumns({"n_rd": F.size(F.collect_set("rd").over(g)), "n_sel": F.size(F.collect_set("selector").over(fam)), "n_pred": F.size(F.collect_set("predicate").over(sel))})
+    first = {"_sel": F.row_number().over(sel.orderBy("predicate")) == 1, "_rd": F.row_number().over(fam.orderBy("selector", "predicate")) == 1}
+    rows = rows.withColumns(first).withColumns({"n_rd": F.sum(F.col("_rd").cast("long")).over(g), "n_sel": F.sum(F.col("_sel").cast("long")).over(fam), "n_pred": F.count("*").over(sel)})
     norm = F.sqrt(F.col("n_rd") * F.col("n_sel") * F.col("n_pred") * F.col("n") * F.col("n")) if normalise else F.lit(1.0)
     f = feature_hash(F.array("rd", "selector", "predicate", F.lit(0).cast("long"), F.lit(0).cast("long")))
     return rows.select(F.col("graph_id").alias("id"), f.alias("f"), F.round(F.col("n") / norm, 9).alias("v")).groupBy("id", "f").agg(F.max("v").alias("v"))
