@@ -6,6 +6,10 @@ import dataclasses
 from dataclasses import dataclass, field
 
 
+#: Fixed value: how files begin the keys of what is called kernel_ here.
+FILE_PREFIX = "nspdk_"
+
+
 @dataclass(frozen=True)
 class Config:
     """Fixed values are the known defaults; names are grouped by their prefix."""
@@ -14,15 +18,15 @@ class Config:
     GLOBAL_iterations: int = 2
     GLOBAL_hit_blacklist_overlap: float = 0.2
     GLOBAL_group_size: int = 100
-    nspdk_radius: int = 3
-    nspdk_distance: int = 3
-    nspdk_excess: int = 5
-    nspdk_knn_center: int = 20
-    nspdk_nhf: int = 400
-    nspdk_nhf_max: int = 1000
-    nspdk_nhf_step: int = 50
-    nspdk_fcs: float = 1.0
-    nspdk_greylist_num: int = 0
+    kernel_radius: int = 3
+    kernel_distance: int = 3
+    kernel_excess: int = 5
+    kernel_knn_center: int = 20
+    kernel_nhf: int = 400
+    kernel_nhf_max: int = 1000
+    kernel_nhf_step: int = 50
+    kernel_fcs: float = 1.0
+    kernel_greylist_num: int = 0
     center_subtree_min: int = 3
     center_subtree_max: int = 7
     cm_min_bitscore: float = 20.0
@@ -55,23 +59,25 @@ def parse_config(text: str, force: bool = False) -> tuple[Config, list[str]]:
         words = line.split("#")[0].split()
         if not words:
             continue
-        key, value = words[0], " ".join(words[1:])
+        told, value = words[0], " ".join(words[1:])
+        key = "kernel_" + told.removeprefix(FILE_PREFIX) if told.startswith(FILE_PREFIX) else told
         if key in kinds:
             known[key] = kinds[key](float(value)) if value and kinds[key] in (int, float) else kinds[key]()
         else:
-            odd.append(key)
+            odd.append(told)
             if force:
-                extra[key] = value
+                extra[told] = value
     return Config(**known, extra=extra), odd
 
 
 def dump_config(config: Config) -> str:
     """Keys grouped by prefix, padded to 30 characters."""
     out, last = [], None
-    for key in sorted(k for k in dataclasses.asdict(config) if k != "extra"):
+    named = {FILE_PREFIX + k.removeprefix("kernel_") if k.startswith("kernel_") else k: v for k, v in dataclasses.asdict(config).items() if k != "extra"}
+    for key, value in sorted(named.items()):
         prefix = key.split("_")[0]
         if last not in (None, prefix):
             out.append("")
         last = prefix
-        out.append(f"{key:<30}{getattr(config, key)}")
+        out.append(f"{key:<30}{value}")
     return "\n".join(out) + "\n"

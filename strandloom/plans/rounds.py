@@ -30,15 +30,15 @@ def next_round(state: RoundState, config: Config, centers: int, clusters: int) -
     neighbours; with clusters from at most three fifths of the centres the hash functions grow up to their limit. If
     neither can and there were no clusters, there is no next round.
     """
-    most = config.nspdk_knn_center // 2
+    most = config.kernel_knn_center // 2
     step = max(1, most // 5)
     overlap, nhf, stuck = state.overlap, state.nhf, 0
     if centers <= config.GLOBAL_num_clusters / 2 and overlap + step <= most:
         overlap += step
     elif not clusters:
         stuck += 1
-    if clusters <= centers * 3 / 5 and config.nspdk_nhf_step > 0 and nhf + config.nspdk_nhf_step <= config.nspdk_nhf_max:
-        nhf += config.nspdk_nhf_step
+    if clusters <= centers * 3 / 5 and config.kernel_nhf_step > 0 and nhf + config.kernel_nhf_step <= config.kernel_nhf_max:
+        nhf += config.kernel_nhf_step
     elif not clusters:
         stuck += 1
     return None if stuck == 2 else RoundState(overlap, nhf)
@@ -93,7 +93,7 @@ def features_of(fragments: DataFrame, config: Config, structures: DataFrame | No
     pairs = graphs.base_pairs(folded)
     pv, pe = graphs.stacking(pairs, seqs.select("graph_id", F.length("seq").alias("n")))
     edges = e.unionByName(graphs.structure_edges(pairs)).unionByName(pe)
-    return graphs.graph_vectors(v.unionByName(pv), edges, config.nspdk_radius, config.nspdk_distance)
+    return graphs.graph_vectors(v.unionByName(pv), edges, config.kernel_radius, config.kernel_distance)
 
 
 def cluster_round(stages: Stages, fragments: DataFrame, features: DataFrame, black: DataFrame, state: RoundState, number: int, grey: DataFrame | None) -> DataFrame:
@@ -101,10 +101,10 @@ def cluster_round(stages: Stages, fragments: DataFrame, features: DataFrame, bla
     config = stages.config
     rows = features.join(black.select("id"), "id", "left_anti")
     before = "features" if number == 1 else f"black{number - 1}"
-    near = stages.table(f"neighbors{number}", ("features", before), {"nhf": state.nhf, "knn": config.nspdk_knn_center}, lambda: lsh.approx_knn(rows, state.nhf, config.nspdk_knn_center))
+    near = stages.table(f"neighbors{number}", ("features", before), {"nhf": state.nhf, "knn": config.kernel_knn_center}, lambda: lsh.approx_knn(rows, state.nhf, config.kernel_knn_center))
 
     def hits() -> DataFrame:
-        candidates = density.sampled(rows.select("id").distinct(), config.nspdk_fcs, number) if config.nspdk_fcs < 1 else None
+        candidates = density.sampled(rows.select("id").distinct(), config.kernel_fcs, number) if config.kernel_fcs < 1 else None
         centers = density.dense_centers(near, density.shared_density(near), config.GLOBAL_num_clusters, state.overlap, candidates)
         rankings = density.center_rankings(centers, near)
         if grey is not None:
@@ -115,7 +115,7 @@ def cluster_round(stages: Stages, fragments: DataFrame, features: DataFrame, bla
         found = adapters.scan(models, seqids, least=config.cm_min_bitscore).withColumn("key", intervals.make_key())
         return found.withColumn("round", F.lit(number))
 
-    return stages.table(f"hits{number}", (f"neighbors{number}",), {"overlap": state.overlap} | {k: getattr(config, k) for k in ("GLOBAL_num_clusters", "center_subtree_max", "cm_min_bitscore", "nspdk_fcs")}, hits)
+    return stages.table(f"hits{number}", (f"neighbors{number}",), {"overlap": state.overlap} | {k: getattr(config, k) for k in ("GLOBAL_num_clusters", "center_subtree_max", "cm_min_bitscore", "kernel_fcs")}, hits)
 
 
 def run(
@@ -137,15 +137,15 @@ def run(
     out = {"fragments": fragments}
     if until == "fragments":
         return out
-    out["features"] = features = stages.table("features", ("fragments",), ("nspdk_radius", "nspdk_distance"), lambda: features_of(fragments, config, structures))
+    out["features"] = features = stages.table("features", ("fragments",), ("kernel_radius", "kernel_distance"), lambda: features_of(fragments, config, structures))
     if until == "features":
         return out
     grey_ids = None if grey is None else fragments.join(grey.select("seq_idx").distinct(), "seq_idx", "left_semi").select(F.col("value").alias("id"))
-    state: RoundState | None = RoundState(0, config.nspdk_nhf)
+    state: RoundState | None = RoundState(0, config.kernel_nhf)
     none = spark.createDataFrame([], "id long")
     fixed = none if special is None else special.select(F.col("id").cast("long").alias("id"))
     black = fixed
-    stages.path("features", ("fragments",), {"nspdk_radius": config.nspdk_radius, "nspdk_distance": config.nspdk_distance, "special": listed["special"]})
+    stages.path("features", ("fragments",), {"kernel_radius": config.kernel_radius, "kernel_distance": config.kernel_distance, "special": listed["special"]})
     hits = None
     for number in range(1, config.GLOBAL_iterations + 1):
         if state is None or features.join(black, "id", "left_anti").select("id").distinct().limit(2).count() < 2:
@@ -184,5 +184,5 @@ def known_round(stages: Stages, state: RoundState, number: int) -> bool:
     """Whether the round's hits are stored, made with these settings."""
     config = stages.config
     before = "features" if number == 1 else f"black{number - 1}"
-    stages.path(f"neighbors{number}", ("features", before), {"nhf": state.nhf, "knn": config.nspdk_knn_center})
-    return stages.complete(stages.path(f"hits{number}", (f"neighbors{number}",), {"overlap": state.overlap} | {k: getattr(config, k) for k in ("GLOBAL_num_clusters", "center_subtree_max", "cm_min_bitscore", "nspdk_fcs")}))
+    stages.path(f"neighbors{number}", ("features", before), {"nhf": state.nhf, "knn": config.kernel_knn_center})
+    return stages.complete(stages.path(f"hits{number}", (f"neighbors{number}",), {"overlap": state.overlap} | {k: getattr(config, k) for k in ("GLOBAL_num_clusters", "center_subtree_max", "cm_min_bitscore", "kernel_fcs")}))

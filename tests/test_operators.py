@@ -201,7 +201,8 @@ def test_formats(spark, tmp_path):
 
 def test_config_and_rounds():
     c, odd = parse_config("nspdk_knn_center   20 # note\nnspdk_nhf 400\nwhat is this\n")
-    assert c.nspdk_nhf == 400 and odd == ["what"] and "nspdk_nhf                     400" in dump_config(c)
+    assert c.kernel_nhf == 400 and odd == ["what"] and "nspdk_nhf                     400" in dump_config(c)
+    assert parse_config("nspdk_other 3\n", force=True)[1] == ["nspdk_other"] and parse_config(dump_config(c)) == (c, [])
     s = RoundState(0, 400)
     assert next_round(s, c, 1, 1) == RoundState(2, 400) and next_round(s, c, 5, 2) == RoundState(0, 450) and next_round(RoundState(10, 1000), c, 1, 0) is None
 
@@ -219,7 +220,7 @@ def families(spark):
     return spark.createDataFrame(rows, "seq_idx int, id string, header string, seq string")
 
 
-ROUNDS = Config(GLOBAL_num_clusters=2, GLOBAL_iterations=1, nspdk_nhf=20, nspdk_knn_center=4, results_min_cluster_size=2, nspdk_radius=1, nspdk_distance=2, cm_min_bitscore=40.0)
+ROUNDS = Config(GLOBAL_num_clusters=2, GLOBAL_iterations=1, kernel_nhf=20, kernel_knn_center=4, results_min_cluster_size=2, kernel_radius=1, kernel_distance=2, cm_min_bitscore=40.0)
 
 
 def test_rounds_find_families(spark, tmp_path, families):
