@@ -338,3 +338,14 @@ def test_feature_map_names_the_features(spark):
     assert "<d:1 r:0> <A> <C>" in names.values() and "<d:0 r:1> <A:C->> <A:C->>" in names.values()
     with pytest.raises(ValueError):
         graphs.feature_map(v, both, 2, 1)
+
+
+def test_graph_joins_send_no_table_through_the_driver(spark):
+    t = spark.createDataFrame([(1, "ACGUA"), (2, "GGC")], "graph_id long, seq string")
+    v, e = graphs.backbone(t)
+    both = graphs.undirected(e)
+    dist = graphs.distances(v, both, 2)
+    ball = dist.select("graph_id", F.col("src").alias("root"), F.col("dst").alias("vid"))
+    made = [dist, graphs.shortest_path_union(dist), graphs.induced_edges(ball, both), graphs.pair_features(v, both, 1, 2), graphs.alive_edges(v, e), graphs.abstraction_features(v, e)]
+    for df in made:
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
