@@ -349,3 +349,18 @@ def test_graph_joins_send_no_table_through_the_driver(spark):
     made = [dist, graphs.shortest_path_union(dist), graphs.induced_edges(ball, both), graphs.pair_features(v, both, 1, 2), graphs.alive_edges(v, e), graphs.abstraction_features(v, e)]
     for df in made:
         assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_block_products_keep_the_best_of_a_part(spark):
+    """Rows that leave grow with the queries and the parts, not with the pairs of blocks; ties go to the smaller id."""
+    v = np.round(np.random.default_rng(3).normal(size=(96, 4)), 1)
+    v[50:60] = v[7]
+    t = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(v)], "id long, vec array<double>")
+    made = lsh.block_products(t, t, 3, block=8, parts=2)
+    assert made.count() <= 96 * 3 * 2
+    sims = np.round(v @ v.T, 6)
+    for block in (8, 64):
+        got = {(r.a, r["rank"]): (r.b, r.sim) for r in lsh.exact_knn(t, t, 3, block).collect()}
+        for a in range(96):
+            for k, b in enumerate(np.lexsort([np.arange(96), -sims[a]])[:3]):
+                assert got[a, k + 1] == (b, sims[a, b])
