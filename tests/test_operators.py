@@ -364,3 +364,13 @@ def test_block_products_keep_the_best_of_a_part(spark):
         for a in range(96):
             for k, b in enumerate(np.lexsort([np.arange(96), -sims[a]])[:3]):
                 assert got[a, k + 1] == (b, sims[a, b])
+
+
+def test_signatures_are_made_once_for_an_id(spark):
+    """No minima of parts of an id are left to be brought together after the hashing."""
+    t = spark.createDataFrame([(i % 7, i * 31 + 1, 1.0) for i in range(70)], "id long, f long, v double").repartition(5)
+    made = lsh.minhash_signature(t, 6)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("Aggregate")
+    h = {(i, k): min([x for x in lsh.mixed(np.arange(i, 70, 7) * 31 + 1, k).tolist() if x >= 0], default=lsh.UNSET) for i in range(7) for k in range(6)}
+    assert {(r.id, r.k): r.h for r in made.collect()} == h
