@@ -1,6 +1,7 @@
 """Regions that grow until their brackets balance, exchanges of centres, and similarities by classes, against plain loops."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from strandloom.operators import density, trees
 
@@ -60,3 +61,14 @@ def test_exchanges_never_lose(spark):
     for i in got:
         cover.put(dens[i], frozenset(lists[i]))
     assert abs(cover.worth() - last) < 1e-12
+
+
+def test_a_tree_as_deep_as_its_leaves(spark):
+    """A chain of 1,200 leaves: each joins what the ones before made; neither the tree nor its text recurses."""
+    n = 1200
+    t = spark.range(n).select(F.lit(1).cast("long").alias("group"), F.col("id").alias("j")).join(spark.range(n).select(F.col("id").alias("i")), F.col("i") < F.col("j"))
+    tree = trees.average_linkage(t.select("group", "i", "j", F.col("j").cast("double").alias("d"))).persist()
+    assert tree.count() == 2 * n - 1
+    assert tree.where("not leaf").agg(F.sum("leaves")).first()[0] == sum(range(2, n + 1))
+    text = trees.newick(tree).first().newick
+    assert text.count(",") == n - 1 and text.count("(") == text.count(")") == n - 1
