@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,11 +85,15 @@ def merge_islands(df: DataFrame) -> DataFrame:
     return marked.groupBy("seqid", "strand", "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.count("*").alias("n")).drop("island")
 
 
+_MERGED = pa.schema([(c, pa.int32() if c in ("start", "stop") else pa.string()) for c in ("id", "seqid", "strand", "start", "stop", "seq", "provenance")])
+
+
 def merge_fragments(df: DataFrame, removed: DataFrame | None = None, cutoff: float = 0.1) -> DataFrame:
     """id, seqid, strand, start, stop, seq, provenance: the leftmost interval takes in whatever overlaps what it has grown to.
 
     First, listed ids go, with all that overlaps them on either strand. Growth is sequential in a sequence (the share
-    refers to the grown interval), so each (seqid, strand) is one group in pandas. A minus-strand text is extended in
+    refers to the grown interval): rows come sorted by (seqid, strand) and position, many sequences to a task, and a task
+    holds the rows of one run of touching intervals, beyond which nothing grows. A minus-strand text is extended in
     front, a plus-strand one behind. Columns: id, seqid, start, stop, strand, key, seq.
     """
     if removed is not None:
@@ -95,31 +101,65 @@ def merge_fragments(df: DataFrame, removed: DataFrame | None = None, cutoff: flo
         hit = overlap_join(df.withColumn("rid", F.col("id")), gone.withColumn("rid", F.col("id")), cutoff, ignore_strand=True).select(F.col("a_id").alias("id"))
         df = df.join(hit.union(gone.select("id")).distinct(), "id", "left_anti")
 
-    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values(["start", "stop", "id"]).to_dict("records")
-        out = []
-        while rows:
-            base = rows.pop(0)
-            text, trace = base["seq"] or "", [f"{base['id']}:{base['key']}"]
-            grown = True
-            while grown:
-                grown = False
-                for r in list(rows):
-                    common = min(base["stop"], r["stop"]) - max(base["start"], r["start"]) + 1
-                    short = min(base["stop"] - base["start"], r["stop"] - r["start"]) + 1
-                    if common > 0 and (200 * common + short) // (2 * short) >= round(cutoff * 100):
-                        more = max(0, r["stop"] - base["stop"])
-                        piece = r["seq"] or ""
+    least = round(cutoff * 100)
+    names = ["id", "seqid", "start", "stop", "strand", "key", "seq"]
+
+    def grown(rows: list[tuple]) -> Iterator[tuple]:
+        """Merged intervals of one run in order; `left` are the rows passed over that none has taken in."""
+        at, left = 0, []
+        while left or at < len(rows):
+            if left:
+                base, left = left[0], left[1:]
+            else:
+                base, at = rows[at], at + 1
+            id_, seqid, start, stop, strand, key, text = base
+            text, trace, reach = text or "", [f"{id_}:{key}"], None
+            while reach != stop:
+                reach, kept, seen = stop, [], 0
+                while True:
+                    if seen < len(left):
+                        r, seen = left[seen], seen + 1
+                    elif at < len(rows) and rows[at][2] <= stop:
+                        r, at = rows[at], at + 1
+                    else:
+                        break
+                    common = min(stop, r[3]) - max(start, r[2]) + 1
+                    short = min(stop - start, r[3] - r[2]) + 1
+                    if common > 0 and (200 * common + short) // (2 * short) >= least:
+                        more, piece = max(0, r[3] - stop), r[6] or ""
                         if more:
-                            text = text + piece[-more:] if base["strand"] == "+" else piece[:more] + text
-                        base["stop"] = max(base["stop"], r["stop"])
-                        trace.append(f"{r['id']}:{r['key']}")
-                        rows.remove(r)
-                        grown = True
-            out.append({"id": f"{base['id']}.1", "seqid": base["seqid"], "strand": base["strand"], "start": base["start"], "stop": base["stop"], "seq": text, "provenance": ";".join(trace)})
-        return pd.DataFrame(out)
-
-    return df.select("id", "seqid", "start", "stop", "strand", "key", "seq").groupBy("seqid", "strand").applyInPandas(grow, "id string, seqid string, strand string, start int, stop int, seq string, provenance string")
+                            text = text + piece[-more:] if strand == "+" else piece[:more] + text
+                        stop = max(stop, r[3])
+                        trace.append(f"{r[0]}:{r[5]}")
+                    else:
+                        kept.append(r)
+                left = kept
+            yield f"{id_}.1", seqid, strand, start, stop, text, ";".join(trace)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, rows, of, reach = [], [], None, None
+
+        def batch_of(made: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made, strict=True), [f.type for f in _MERGED], strict=True)], schema=_MERGED)
+
+        for batch in batches:
+            for r in zip(*[batch.column(c).to_pylist() for c in names], strict=True):
+                if rows and ((r[1], r[4]) != of or r[2] > reach):
+                    made += grown(rows)
+                    rows = []
+                reach = max(reach, r[3]) if rows else r[3]
+                of = r[1], r[4]
+                rows.append(r)
+            if len(made) >= 10_000:
+                yield batch_of(made)
+                made = []
+        if rows:
+            made += grown(rows)
+        if made:
+            yield batch_of(made)
+
+    rows = df.select(*names).repartition("seqid", "strand").sortWithinPartitions("seqid", "strand", "start", "stop", "id")
+    return rows.mapInArrow(run, "id string, seqid string, strand string, start int, stop int, seq string, provenance string")
 
 
 def blacklist(fragments: DataFrame, hits: DataFrame, grey: DataFrame | None = None, cutoff: float = 0.2) -> DataFrame:
