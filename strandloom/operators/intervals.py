@@ -168,12 +168,31 @@ def blacklist(fragments: DataFrame, hits: DataFrame, grey: DataFrame | None = No
     return ids if grey is None else ids.join(grey.select("id"), "id", "left_anti")
 
 
+def pairs_within(fragments: DataFrame, parts: int = 32) -> DataFrame:
+    """All pairs of fragments of one seqid, each with itself too: a_ and b_ columns.
+
+    One side is dealt to `parts`, the other goes to each: sequences may be few and long, and what is sent is fragments.
+    """
+    a = fragments.select(*[F.col(c).alias(f"a_{c}") for c in fragments.columns], F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("_part"))
+    b = fragments.select(*[F.col(c).alias(f"b_{c}") for c in fragments.columns], F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part2"))
+    # a fixed number of tasks: by the size of fragments the pairs would fall to a few
+    a, b = a.repartition(4 * parts, "a_seqid", "_part"), b.repartition(4 * parts, "b_seqid", "_part2")
+    return a.join(b.hint("merge"), (F.col("a_seqid") == F.col("b_seqid")) & (F.col("_part") == F.col("_part2"))).drop("_part", "_part2")
+
+
+def damp_cells(cells: DataFrame, digits: int = 2) -> DataFrame:
+    """damp_overlapping of cells that have both fragments' places beside them (i, j, val, a_ and b_ seqid, start, stop): row by row."""
+    least = cells.where("val <> 0").agg(F.min("val").alias("least"))
+    low = F.when((F.col("least") > 0) & (F.col("least") < 1), 0.0).otherwise(F.col("least") - F.abs(F.col("least") / 2))
+    met = (F.col("i") != F.col("j")) & (F.col("a_seqid") == F.col("b_seqid")) & (F.col("a_start") <= F.col("b_stop")) & (F.col("b_start") <= F.col("a_stop"))
+    hit = met & (percent_overlap(F.col("a_start"), F.col("a_stop"), F.col("b_start"), F.col("b_stop")) >= 10)
+    return cells.crossJoin(F.broadcast(least)).select("i", "j", F.when(hit, low).otherwise(F.round("val", digits)).alias("val"))
+
+
 def damp_overlapping(matrix: DataFrame, fragments: DataFrame, digits: int = 2) -> DataFrame:
     """Cells (i, j, val) of overlapping fragments set to least - |least / 2|, least being the smallest non-zero cell (0 if it lies between 0 and 1); others rounded."""
-    least = matrix.where("val <> 0").agg(F.min("val").alias("least"))
-    low = F.when((F.col("least") > 0) & (F.col("least") < 1), 0.0).otherwise(F.col("least") - F.abs(F.col("least") / 2))
-    pairs = overlap_join(fragments.withColumn("rid", F.col("id")), fragments.withColumn("rid", F.col("id")), 0.1, ignore_strand=True).select(F.col("a_id").alias("i"), F.col("b_id").alias("j")).distinct().withColumn("hit", F.lit(True))
-    return matrix.join(pairs, ["i", "j"], "left").crossJoin(F.broadcast(least)).select("i", "j", F.when(F.col("hit"), low).otherwise(F.round("val", digits)).alias("val"))
+    place = lambda p: fragments.select(F.col("id").alias("i" if p == "a" else "j"), *[F.col(c).alias(f"{p}_{c}") for c in ("seqid", "start", "stop")])
+    return damp_cells(matrix.join(place("a"), "i", "left").join(place("b"), "j", "left"), digits)
 
 
 def to_genome(hits: DataFrame, locations: DataFrame) -> DataFrame:
