@@ -46,12 +46,15 @@ def collect_hits(hits: DataFrame, least: int = 2, grey: DataFrame | None = None)
 
 
 def filter_clusters(hits: DataFrame, least: int, merged: DataFrame | None = None) -> DataFrame:
-    """Hits of clusters (after the map name -> cluster) with at least `least` hits."""
-    rows = hits if merged is None else hits.join(merged, "name", "left").withColumn("cluster", F.coalesce("cluster", "name"))
+    """Hits of clusters (after the map name -> cluster) with at least `least` hits.
+
+    What has a row for each cluster goes to the hits, which aren't dealt by cluster: one may hold most of them.
+    """
+    rows = hits if merged is None else hits.join(F.broadcast(merged), "name", "left").withColumn("cluster", F.coalesce("cluster", "name"))
     if merged is None and "cluster" not in rows.columns:
         rows = rows.withColumn("cluster", F.col("name"))
     big = rows.groupBy("cluster").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("cluster")
-    return rows.join(big, "cluster", "left_semi")
+    return rows.join(F.broadcast(big), "cluster", "left_semi")
 
 
 def cluster_index(clusters: DataFrame) -> DataFrame:
@@ -116,7 +119,7 @@ def oracle_merge(classes: DataFrame) -> DataFrame:
 
 def partition_rows(hits: DataFrame, index: DataFrame) -> DataFrame:
     """key, bitscore, evalue, merged, name, idx, to be read in order of idx, then falling score."""
-    return hits.join(index.withColumnRenamed("name", "cluster"), "cluster").select("key", "bitscore", "evalue", F.col("cluster").alias("merged"), "name", "idx")
+    return hits.join(F.broadcast(index.withColumnRenamed("name", "cluster")), "cluster").select("key", "bitscore", "evalue", F.col("cluster").alias("merged"), "name", "idx")
 
 
 def hit_types(hits: DataFrame, models: DataFrame, removed: DataFrame) -> DataFrame:
