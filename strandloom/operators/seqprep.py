@@ -5,11 +5,16 @@ Sequences: seq_idx int, id string, header string, seq string.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.operators.intervals import overlap_join
-from strandloom.operators.lsh import bin_links, forest_bins, minhash_signature
+from strandloom.operators.lsh import agreement, alike_groups, bin_links, forest_bins, set_signature
 from strandloom.session import shared_dir
 
 #: Fixed value: a longer run of N cuts a sequence.
@@ -155,25 +160,39 @@ def grey_indices(sequences: DataFrame, indexes: list[int] | None = None, pattern
     return sequences.where(hit).select("seq_idx")
 
 
-def shingles(fragments: DataFrame, k: int) -> DataFrame:
-    """id (value), f, v: the different k-mers of a fragment."""
-    n = F.length("seq")
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda i: F.substring(F.col("seq"), i, F.lit(k)))
-    return fragments.select(F.col("value").alias("id"), F.explode(F.array_distinct(grams)).alias("g")).select("id", (F.xxhash64("g").bitwiseAND(0x7FFFFFFF)).alias("f"), F.lit(1.0).alias("v"))
+def shingle_sets(fragments: DataFrame, k: int) -> DataFrame:
+    """id (value), fs: the different k-mers of a fragment by 31 bits of their hash; a shorter text is one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = []
+            for seq in batch.column("seq").to_pylist():
+                grams = {seq[i : i + k] for i in range(max(len(seq) - k + 1, 1))}
+                sets.append(np.unique(np.array([xxhash.xxh64_intdigest(g.encode(), 42) & 0x7FFFFFFF for g in grams], np.int64)))
+            upto = np.cumsum([0, *map(len, sets)])
+            fs = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *sets])))
+            yield pa.RecordBatch.from_arrays([batch.column("value").cast(pa.int64()), fs], ["id", "fs"])
+
+    return fragments.where("value is not null and seq is not null").select("value", "seq").mapInArrow(run, "id long, fs array<long>")
 
 
 def near_duplicates(fragments: DataFrame, similarity: float = 0.9, k: int = 8, nhf: int = 32) -> DataFrame:
     """value, keeper: fragments whose k-mer sets are alike by `similarity` at least, joined to chains; the least value keeps.
 
     Equal texts are one candidate. A forest of min-hash bins, of which large ones are split and none is dropped, brings
-    the others together; exact Jaccard similarity decides.
+    the others together; exact Jaccard similarity decides. Whole sets are made again for those only whose signatures agree
+    with another's of their bin as often as sets that are alike do, but for a chance of 1e-9.
     """
-    reps = fragments.groupBy("seq").agg(F.min("value").alias("value"))
     shared_dir(fragments.sparkSession)
-    reps = reps.checkpoint()
-    grams = shingles(reps, k)
+    # dealt again: few bytes of text are much work
+    n = int(fragments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    reps = fragments.groupBy("seq").agg(F.min("value").alias("value")).repartition(n, "value").checkpoint()
     trees = max(1, nhf // 2)
-    alike = bin_links(forest_bins(minhash_signature(grams, 2 * trees), trees, 2), grams, similarity).distinct()
+    # three readers: the forest, and the groups of a bin
+    signatures = set_signature(shingle_sets(reps, k), 2 * trees).checkpoint()
+    groups = alike_groups(forest_bins(signatures, trees, 2), signatures, agreement(similarity, 2 * trees)).checkpoint()
+    some = reps.join(groups.select(F.col("id").alias("value")).distinct(), "value", "left_semi")
+    alike = bin_links(groups, shingle_sets(some, k), similarity).distinct()
     labels = least_reachable(reps.select(F.col("value").alias("id")), alike)
     first = fragments.join(reps.select("seq", F.col("value").alias("rep")), "seq")
     return first.select("value", "rep").join(labels.select(F.col("id").alias("rep"), "root"), "rep").select("value", F.col("root").alias("keeper"))
