@@ -91,10 +91,17 @@ def edge_flags(edges: DataFrame) -> DataFrame:
 
 
 def read_sparse_text(spark: SparkSession, path: str) -> DataFrame:
-    """id (from 0, empty lines don't count), f, v from lines of feature:value."""
-    rows = numbered_lines(spark, path).where(F.trim("line") != "")
-    at = Window.partitionBy("file").orderBy("no")
-    rows = rows.withColumn("id", (F.row_number().over(at) - 1).cast("long")).select("id", F.explode(F.split(F.trim("line"), r"\s+")).alias("x"))
+    """id (from 0, empty lines don't count), f, v from lines of feature:value.
+
+    Files are read in splits. A line's number is its place in its split after the lines of the file's earlier splits.
+    """
+    rows = spark.read.text(path, lineSep="\n").select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.regexp_replace("value", "\r$", "").alias("line"))
+    rows = rows.where(F.trim("line") != "")
+    upto = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy("file", "start").agg(F.count("*").alias("n")).select("file", "start", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before"))
+    at = Window.partitionBy("file", "start").orderBy("no")
+    placed = rows.withColumn("no", F.monotonically_increasing_id()).withColumn("no", F.row_number().over(at) - 1)
+    rows = placed.join(before, ["file", "start"]).select((F.col("before") + F.col("no")).alias("id"), F.explode(F.split(F.trim("line"), r"\s+")).alias("x"))
     return rows.select("id", F.split("x", ":")[0].cast("long").alias("f"), F.split("x", ":")[1].cast("double").alias("v"))
 
 
