@@ -45,35 +45,29 @@ def stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def fragments_of(sequences: DataFrame, config: dict) -> tuple[DataFrame, DataFrame]:
-    """Segments and windows of seq_idx, seq, source."""
-    segments = seqprep.split_masked(sequences.withColumn("seq", seqprep.normalize(F.col("seq"))))
-    return segments, seqprep.window_fragments(segments, config["window"], config["shift_percent"], config["min_length"])
-
-
 def add(batch: DataFrame, number: int, labels: DataFrame, out: str, config: dict) -> None:
     """The batch's sequences that the library doesn't have, as fragments of batch `number`."""
     spark = batch.sparkSession
     rows = batch.select(F.expr(config["id"]).cast("long").alias("seq_idx"), F.expr(config["source"]).cast("string").alias("source"), F.expr(config["sequence"]).alias("seq"))
-    rows = rows.where("seq_idx is not null and seq is not null").groupBy("seq_idx").agg(F.min(F.struct("seq", "source")).alias("x")).select("seq_idx", "x.seq", "x.source")
+    # dealt by sequence before they are compared: only there are rows sorted
+    rows = rows.where("seq_idx is not null and seq is not null").repartition("seq_idx").groupBy("seq_idx").agg(F.min(F.struct("seq", "source")).alias("x")).select("seq_idx", "x.seq", "x.source")
     before = stored(spark, f"{out}/sequences", SEQUENCES).where(F.col("batch") < number)
-    rows = rows.join(before.select("seq_idx"), "seq_idx", "left_anti")
-    # the batch's own sequences once; both tables come from them
+    rows = rows.join(before.select("seq_idx"), "seq_idx", "left_anti").withColumn("seq", seqprep.normalize(F.col("seq")))
+    grey = labels.where(F.expr(config["grey"])).select(F.expr(config["id"]).cast("long").alias("seq_idx")).distinct().withColumn("grey", F.lit(True))
+    # the batch's own sequences once, with what their fragments have from them; both tables come from them
     shared_dir(spark)
-    rows = rows.checkpoint()
-    segments, windows = fragments_of(rows, config)
-    windows = windows.withColumn("digest", F.md5("seq"))
+    rows = rows.join(grey, "seq_idx", "left").select("seq_idx", "source", F.coalesce("grey", F.lit(False)).alias("grey"), "seq").checkpoint()
+    windows = seqprep.cut_fragments(rows, config["window"], config["shift_percent"], config["min_length"]).withColumn("digest", F.md5("seq"))
     first = windows.groupBy("digest").agg(F.min(F.struct("seq_idx", "start", "key")).alias("own"))
     library = stored(spark, f"{out}/fragments", FRAGMENTS).where(F.col("batch") < number).where("key = first_key").select("digest", F.col("key").alias("known"))
     first = first.join(library, "digest", "left").select("digest", F.coalesce("known", "own.key").alias("first_key"))
-    grey = labels.where(F.expr(config["grey"])).select(F.expr(config["id"]).cast("long").alias("seq_idx")).distinct().withColumn("grey", F.lit(True))
-    made = windows.join(first, "digest").join(rows.select("seq_idx", "source"), "seq_idx").join(grey, "seq_idx", "left")
-    made = made.select("seq_idx", "key", F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop"), "strand", "seq", "digest", "first_key", F.coalesce("grey", F.lit(False)).alias("grey"), "source", F.lit(number).cast("long").alias("batch"))
+    made = windows.join(first, "digest")
+    made = made.select("seq_idx", "key", F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop"), "strand", "seq", "digest", "first_key", "grey", "source", F.lit(number).cast("long").alias("batch"))
     # large sources are split, small ones gathered
     made.hint("rebalance", "source").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "batch").parquet(f"{out}/fragments")
     written = stored(spark, f"{out}/fragments", FRAGMENTS).where(F.col("batch") == number)
     count = written.groupBy("seq_idx").agg(F.count("*").alias("fragments"))
-    of = rows.select("seq_idx", "source").join(segments.groupBy("seq_idx").agg(F.max("abs_end").cast("long").alias("length"), F.count("*").alias("segments")), "seq_idx", "left").join(count, "seq_idx", "left")
+    of = rows.select("seq_idx", "source").join(seqprep.segment_counts(rows.select("seq_idx", "seq")), "seq_idx", "left").join(count, "seq_idx", "left")
     of = of.select("seq_idx", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("length", "segments", "fragments")], "source", F.lit(number).cast("long").alias("batch"))
     of.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{out}/sequences")
     done = stored(spark, f"{out}/sequences", SEQUENCES).where(F.col("batch") == number).agg(F.count("*").alias("n"), F.coalesce(F.sum("fragments"), F.lit(0)).alias("f")).first()

@@ -5,6 +5,8 @@ Sequences: seq_idx int, id string, header string, seq string.
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,13 +28,48 @@ def normalize(seq: Column) -> Column:
     return F.regexp_replace(F.translate(F.regexp_replace(seq, r"\s", ""), "abcdefghijklmnopqrstuvwxyzT", "ABCDEFGHIJKLMNOPQRSUUVWXYZU"), "[^AUGCN]", "N")
 
 
+def _pieces(seq: str, masked: re.Pattern) -> list[tuple[int, int]]:
+    """Places (from, to) of a text's masked runs and of what lies between them."""
+    cuts = [0, *(x for m in masked.finditer(seq) for x in m.span()), len(seq)]
+    return [(x, y) for x, y in zip(cuts, cuts[1:], strict=False) if x < y]
+
+
+def _mapped(df: DataFrame, kept: list[str], run, fields: list[tuple[str, str]]) -> DataFrame:
+    """Rows that run(row) makes of a row's other columns, behind its columns `kept`: nothing is shuffled."""
+    others = [c for c in df.columns if c not in kept]
+    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string()}
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in others), strict=True)
+            at, found = [], []
+
+            def flushed() -> pa.RecordBatch:
+                own = pa.array(at, pa.int64())  # noqa: B023
+                cells = zip(*found, strict=True) if found else [[]] * len(fields)  # noqa: B023
+                return pa.RecordBatch.from_arrays([*[batch.column(c).take(own) for c in kept], *[pa.array(x, kinds[k]) for x, (_, k) in zip(cells, fields, strict=True)]], [*kept, *(c for c, _ in fields)])  # noqa: B023
+
+            for i, row in enumerate(rows):
+                new = run(*row)
+                found += new
+                at += [i] * len(new)
+                if len(found) > 1 << 16:
+                    yield flushed()
+                    at, found = [], []
+            yield flushed()
+
+    kinds_kept = dict(df.dtypes)
+    return df.select(*kept, *others).mapInArrow(made, ", ".join([*[f"`{c}` {kinds_kept[c]}" for c in kept], *[f"`{c}` {k}" for c, k in fields]]))
+
+
 def split_masked(sequences: DataFrame, max_n: int = MAX_N) -> DataFrame:
     """seq_idx, part, seg, abs_start, abs_end: runs of N longer than max_n are segments of their own; lengths add up."""
-    pieces = F.filter(F.split(F.regexp_replace("seq", f"(N{{{max_n + 1},}})", "|$1|"), r"\|"), lambda s: s != "")
-    rows = sequences.where(F.length("seq") > 0).select("seq_idx", pieces.alias("p"))
-    rows = rows.select("seq_idx", F.posexplode("p").alias("part", "seg"))
-    upto = F.sum(F.length("seg")).over(Window.partitionBy("seq_idx").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)).cast("int")
-    return rows.select("seq_idx", "part", "seg", (upto - F.length("seg") + 1).alias("abs_start"), upto.alias("abs_end"))
+    masked = re.compile(f"N{{{max_n + 1},}}")
+
+    def run(seq: str) -> list[tuple]:
+        return [(k, seq[x:y], x + 1, y) for k, (x, y) in enumerate(_pieces(seq, masked))]
+
+    return _mapped(sequences.where(F.length("seq") > 0).select("seq_idx", "seq"), ["seq_idx"], run, [("part", "int"), ("seg", "string"), ("abs_start", "int"), ("abs_end", "int")])
 
 
 def segment_status(segments: DataFrame, min_len: int, max_n: int = MAX_N) -> DataFrame:
@@ -40,6 +77,41 @@ def segment_status(segments: DataFrame, min_len: int, max_n: int = MAX_N) -> Dat
     return segments.withColumn("status", F.when(F.length("seg") < min_len, "SMALLER_THAN").when(F.col("seg").rlike(f"N{{{max_n},}}"), "MASKED").otherwise("USED"))
 
 
+def _windows(n: int, window: int, shift: int, min_len: int) -> list[tuple[int, int]]:
+    """Starts (from 0) and lengths of the windows of n residues, each once."""
+    if not window or n <= window:
+        return [(0, n)]
+    overlap = window - shift
+    # the earliest step at which either rule for the last window holds
+    k = max(min(math.ceil((n - window * 0.5) / shift), math.ceil((n - (overlap + shift + window * 0.1)) / shift)), 0)
+    # a full window that reaches the end stops the series before the last rule is asked
+    found = [(at, window) for at in range(0, k * shift, shift) if at == 0 or at - shift + window < n]
+    if not (k > 0 and (k - 1) * shift + window >= n):
+        tail = max(min_len, int(window * 0.6)) if k * shift >= n - window * 0.5 else max(window, n - k * shift - overlap)
+        found.append((max(n - tail, 0), min(tail, n)))
+    return list(dict.fromkeys(found))
+
+
+def _fragments(idx: int | None, seg: str, abs_start: int, window: int, shift: int, min_len: int, max_n: int) -> list[tuple]:
+    """start, stop, strand, seq, key of a segment's windows."""
+    if len(seg) < min_len or "N" * max_n in seg:
+        return []
+    right = seg.lstrip("N")
+    s, cue = right.rstrip("N"), len(seg) - len(right)
+    if not s:
+        return []
+    found = [(abs_start + cue + at, abs_start + at + size - 1, at, size) for at, size in _windows(len(s), window, shift, min_len)]
+    name = "SEQ" if idx is None else f"SEQ{idx}#"
+    return [(start, stop, "+", s[at : at + size], f"{name}{start}#{stop}#+") for start, stop, at, size in found]
+
+
+_FRAGMENT = [("start", "int"), ("stop", "int"), ("strand", "string"), ("seq", "string"), ("key", "string")]
+
+
+def _shift(window: int, shift_pct: float) -> int:
+    return min(max(int(window / 100 * shift_pct), 1), window) if window else 0
+
+
 def window_fragments(segments: DataFrame, window: int, shift_pct: float, min_len: int, max_n: int = MAX_N) -> DataFrame:
     """key, seq_idx, start, stop, strand, seq: windows of every segment that is long enough and not masked.
 
@@ -48,29 +120,33 @@ def window_fragments(segments: DataFrame, window: int, shift_pct: float, min_len
     at which either L - k * shift <= W / 2 (then it has max(min_len, 0.6 W) from the end) or what is left beyond the
     overlap is at most shift + W / 10 (then max(W, that) from the end) ends the series. No windows (0): the whole segment.
     """
-    shift = min(max(int(window / 100 * shift_pct), 1), window) if window else 0
-    used = segments.where((F.length("seg") >= min_len) & ~F.col("seg").rlike(f"N{{{max_n},}}"))
-    used = used.withColumn("cue", F.length(F.regexp_extract("seg", "^(N*)", 1))).withColumn("s", F.regexp_replace(F.regexp_replace("seg", "^N+", ""), "N+$", "")).where(F.length("s") > 0)
-    n = F.length("s")
-    if not window:
-        cut = used.withColumn("w", F.array(F.struct(F.lit(0).alias("at"), n.alias("len"))))
-    else:
-        overlap = window - shift
-        # the earliest step at which either rule for the last window holds
-        k_short = F.ceil((n - F.lit(window * 0.5)) / shift)
-        k_close = F.ceil((n - F.lit(overlap + shift + window * 0.1)) / shift)
-        k = F.greatest(F.least(k_short, k_close), F.lit(0)).cast("int")
-        short = k * shift >= n - F.lit(window * 0.5)
-        tail = F.when(short, F.greatest(F.lit(min_len), F.lit(int(window * 0.6)))).otherwise(F.greatest(F.lit(window), n - k * shift - overlap)).cast("int")
-        before = F.when(k > 0, F.transform(F.sequence(F.lit(0), F.greatest(k - 1, F.lit(0))), lambda i: F.struct((i * shift).cast("int").alias("at"), F.lit(window).alias("len")))).otherwise(F.array().cast("array<struct<at:int,len:int>>"))
-        # a full window that reaches the end stops the series before the last rule is asked
-        before = F.filter(before, lambda x: (x["at"] == 0) | (x["at"] - shift + window < n))
-        last = F.array(F.struct(F.greatest(n - tail, F.lit(0)).cast("int").alias("at"), F.least(tail, n).cast("int").alias("len")))
-        reached = F.when(k > 0, (k - 1) * shift + window >= n).otherwise(F.lit(False))
-        cut = used.withColumn("w", F.when(n <= window, F.array(F.struct(F.lit(0).alias("at"), n.cast("int").alias("len")))).when(reached, before).otherwise(F.concat(before, last)))
-    rows = cut.select("seq_idx", "abs_start", "cue", "s", F.explode("w").alias("x"))
-    rows = rows.select("seq_idx", (F.col("abs_start") + F.col("cue") + F.col("x.at")).alias("start"), (F.col("abs_start") + F.col("x.at") + F.col("x.len") - 1).alias("stop"), F.lit("+").alias("strand"), F.substring(F.col("s"), F.col("x.at") + 1, F.col("x.len")).alias("seq"))
-    return rows.withColumn("key", F.concat(F.lit("SEQ"), F.concat_ws("#", "seq_idx", "start", "stop", "strand"))).dropDuplicates(["key"])
+    shift = _shift(window, shift_pct)
+
+    def run(idx: int, seg: str, abs_start: int) -> list[tuple]:
+        return _fragments(idx, seg, abs_start, window, shift, min_len, max_n)
+
+    used = segments.where(F.length("seg") >= min_len).select("seq_idx", F.col("seq_idx").alias("_i"), "seg", "abs_start")
+    return _mapped(used, ["seq_idx"], run, _FRAGMENT).dropDuplicates(["key"])
+
+
+def cut_fragments(sequences: DataFrame, window: int, shift_pct: float, min_len: int, max_n: int = MAX_N) -> DataFrame:
+    """window_fragments of split_masked, with the sequences' other columns; of sequences of which each has its own seq_idx.
+
+    No two segments of a sequence share a place, so no key comes twice and nothing is shuffled.
+    """
+    shift, masked = _shift(window, shift_pct), re.compile(f"N{{{max_n + 1},}}")
+
+    def run(idx: int, seq: str) -> list[tuple]:
+        return [f for x, y in _pieces(seq, masked) if y - x >= min_len for f in _fragments(idx, seq[x:y], x + 1, window, shift, min_len, max_n)]
+
+    kept = [c for c in sequences.columns if c != "seq"]
+    return _mapped(sequences.where(F.length("seq") > 0).select(*kept, F.col("seq_idx").alias("_i"), "seq"), kept, run, _FRAGMENT)
+
+
+def segment_counts(sequences: DataFrame, max_n: int = MAX_N) -> DataFrame:
+    """length and segments (of split_masked) beside the sequences' other columns; empty ones are left out."""
+    masked = re.compile(f"N{{{max_n + 1},}}")
+    return _mapped(sequences.where(F.length("seq") > 0), [c for c in sequences.columns if c != "seq"], lambda seq: [(len(seq), len(_pieces(seq, masked)))], [("length", "long"), ("segments", "long")])
 
 
 def fold_windows(sequences: DataFrame, sizes: list[int], shift_pct: float, levels: dict[int, int] | None = None, level: int = 5) -> DataFrame:
