@@ -41,10 +41,17 @@ i AS (SELECT *, sum(fresh) OVER (PARTITION BY seqid, strand ORDER BY start, stop
 SELECT seqid, strand, min(start) AS start, max(stop) AS stop, count(*) AS n FROM i GROUP BY seqid, strand, island"""
 
 
+def hit_texts(rows):
+    """Hits with seq, their residues: an axis has those that the digits of its name's hash stand for, again and again; reverse-complemented on the minus strand."""
+    axis = F.translate(F.sha2("seqid", 512), "0123456789abcdef", "ACGU" * 4)
+    part = F.substring(F.repeat(axis, (F.col("stop") / 128).cast("int") + 1), F.col("start"), F.col("stop") - F.col("start") + 1)
+    return rows.withColumn("seq", F.when(F.col("strand") == "-", seqprep.reverse_complement(part)).otherwise(part))
+
+
 def merge_fragments(s, d):
     # each model by itself
-    h = hits(s, d).withColumn("seqid", F.concat_ws("/", "name", "seqid"))
-    merged = intervals.merge_fragments(h.select(F.col("rid").alias("id"), "seqid", "start", "stop", "strand", "key", F.lit("").alias("seq"))).drop("seq")
+    h = hit_texts(hits(s, d)).withColumn("seqid", F.concat_ws("/", "name", "seqid"))
+    merged = intervals.merge_fragments(h.select(F.col("rid").alias("id"), "seqid", "start", "stop", "strand", "key", "seq"))
     return merged.withColumn("seqid", F.substring_index("seqid", "/", -1))
 
 
