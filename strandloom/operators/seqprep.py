@@ -11,12 +11,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.operators.intervals import overlap_join
-from strandloom.operators.lsh import agreement, alike_groups, bin_links, forest_bins, set_signature
+from strandloom.operators.lsh import agreement, alike_groups, bin_links, forest_leaves, signed
 from strandloom.session import shared_dir
 
 #: Fixed value: a longer run of N cuts a sequence.
@@ -237,14 +236,23 @@ def grey_indices(sequences: DataFrame, indexes: list[int] | None = None, pattern
 
 
 def shingle_sets(fragments: DataFrame, k: int) -> DataFrame:
-    """id (value), fs: the different k-mers of a fragment by 31 bits of their hash; a shorter text is one."""
+    """id (value), fs: the different k-mers of a fragment by 31 bits of their hash, in order; a shorter text is one."""
+
+    def grams(text: str) -> np.ndarray:
+        c = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        h = np.full(max(len(c) - k + 1, 1), len(c) if len(c) < k else k, np.uint64)
+        for i in range(min(k, len(c))):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + c[i : i + len(h)]
+        # the last bits of such a sum depend on the last characters only
+        h ^= h >> np.uint64(33)
+        h *= np.uint64(0xFF51AFD7ED558CCD)
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0xC4CEB9FE1A85EC53)
+        return np.unique((h >> np.uint64(33)).astype(np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = []
-            for seq in batch.column("seq").to_pylist():
-                grams = {seq[i : i + k] for i in range(max(len(seq) - k + 1, 1))}
-                sets.append(np.unique(np.array([xxhash.xxh64_intdigest(g.encode(), 42) & 0x7FFFFFFF for g in grams], np.int64)))
+            sets = [grams(seq) for seq in batch.column("seq").to_pylist()]
             upto = np.cumsum([0, *map(len, sets)])
             fs = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *sets])))
             yield pa.RecordBatch.from_arrays([batch.column("value").cast(pa.int64()), fs], ["id", "fs"])
@@ -252,23 +260,30 @@ def shingle_sets(fragments: DataFrame, k: int) -> DataFrame:
     return fragments.where("value is not null and seq is not null").select("value", "seq").mapInArrow(run, "id long, fs array<long>")
 
 
-def near_duplicates(fragments: DataFrame, similarity: float = 0.9, k: int = 8, nhf: int = 32) -> DataFrame:
+def near_duplicates(fragments: DataFrame, similarity: float = 0.9, k: int = 8, nhf: int = 32, most: int = 500) -> DataFrame:
     """value, keeper: fragments whose k-mer sets are alike by `similarity` at least, joined to chains; the least value keeps.
 
-    Equal texts are one candidate. A forest of min-hash bins, of which large ones are split and none is dropped, brings
-    the others together; exact Jaccard similarity decides. Whole sets are made again for those only whose signatures agree
-    with another's of their bin as often as sets that are alike do, but for a chance of 1e-9.
+    Equal texts are one candidate, and so are equal sets, which is all that joins sets too small to miss a k-mer. A forest
+    of min-hash bins, of which large ones are split and then compared block by block, brings the others together; exact
+    Jaccard similarity decides. Whole sets are made again for those only whose signatures agree with another's of their
+    bin as often as sets that are alike do, but for a chance of 1e-9.
     """
     shared_dir(fragments.sparkSession)
     # dealt again: few bytes of text are much work
     n = int(fragments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     reps = fragments.groupBy("seq").agg(F.min("value").alias("value")).repartition(n, "value").checkpoint()
     trees = max(1, nhf // 2)
-    # three readers: the forest, and the groups of a bin
-    signatures = set_signature(shingle_sets(reps, k), 2 * trees).checkpoint()
-    groups = alike_groups(forest_bins(signatures, trees, 2), signatures, agreement(similarity, 2 * trees)).checkpoint()
+    # as deep as one pair in a hundred thousand is missed at most, if trees were independent
+    depth = max(d for d in (2, 3, 4) if d == 2 or (1 - similarity**d) ** trees <= 1e-5)
+    sets = shingle_sets(reps, k).select("id", F.size("fs").alias("n"), F.xxhash64("fs").alias("same"), "fs")
+    signatures = signed(sets, 2 * trees).checkpoint()
+    heads = signatures.groupBy("same", "n").agg(F.min("id").alias("head"), F.count("*").alias("times"))
+    equal = signatures.join(heads.where("times > 1"), ["same", "n"]).where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).checkpoint()
+    # of n k-mers one less or more leaves n / (n + 1) alike
+    large = signatures.where(F.col("n") >= F.lit(similarity) * (F.col("n") + 1) - 1e-9).join(equal.select(F.col("b").alias("id")), "id", "left_anti").select("id", "s")
+    groups = alike_groups(forest_leaves(large, trees, depth, most), large, agreement(similarity, 2 * trees)).checkpoint()
     some = reps.join(groups.select(F.col("id").alias("value")).distinct(), "value", "left_semi")
-    alike = bin_links(groups, shingle_sets(some, k), similarity).distinct()
+    alike = bin_links(groups, shingle_sets(some, k).select("id", F.col("fs").cast("array<int>").alias("fs")), similarity).union(equal).distinct()
     labels = least_reachable(reps.select(F.col("value").alias("id")), alike)
     first = fragments.join(reps.select("seq", F.col("value").alias("rep")), "seq")
     return first.select("value", "rep").join(labels.select(F.col("id").alias("rep"), "root"), "rep").select("value", F.col("root").alias("keeper"))
